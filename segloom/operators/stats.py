@@ -157,13 +157,15 @@ def parse_success(df: DataFrame, by: str = "job_type", ok: str = "ok") -> DataFr
     )
 
 
-def segment_table(df: DataFrame, by: Iterable[str] = CELL, segment: str = "segment_id", axes: Iterable[str] = DENSITY_AXES) -> DataFrame:
+def segment_table(
+    df: DataFrame, by: Iterable[str] = CELL, segment: str = "segment_id", axes: Iterable[str] = DENSITY_AXES, weight: str | None = None
+) -> DataFrame:
     """Per cell and segment: key, rows, share of the cell's operational rows, top shares.
 
     Info-poor rows (-1) are listed too; their share also uses the operational total.
     """
     by, axes = list(by), list(axes)
-    tops = top_values(df, [*by, segment], [*axes, "segment_key"])
+    tops = top_values(df, [*by, segment], [*axes, "segment_key"], weight)
     shares = [F.max(F.when(F.col("axis") == a, F.col("top_n") / F.col("total"))).alias(f"{a}_top") for a in axes]
     key = F.max(F.when(F.col("axis") == "segment_key", F.col("top"))).alias("segment_key")
     rows = tops.groupBy(*by, segment).agg(F.max("total").alias("n"), key, *shares)
@@ -220,10 +222,10 @@ def pipeline_metrics(
     return out.withColumn("focus_max_pct", pct).drop("_total")
 
 
-def cell_summary(df: DataFrame, raw: str = "raw_cluster_id", segment: str = "segment_id", by: Iterable[str] = CELL) -> DataFrame:
+def cell_summary(df: DataFrame, raw: str = "raw_cluster_id", segment: str = "segment_id", by: Iterable[str] = CELL, weight: str | None = None) -> DataFrame:
     """Per cell: rows, info-poor rows, raw clusters, segments, segment size spread, single-segment flag."""
     by = list(by)
-    small = compress(df, by, [raw, segment])
+    small = compress(df, by, [raw, segment], weight)
     sizes = small.filter(F.col(segment) != -1).groupBy(*by, segment).agg(F.sum("n").alias("size"))
     spread = sizes.groupBy(*by).agg(
         F.count("*").alias("n_segments"),
@@ -241,13 +243,13 @@ def cell_summary(df: DataFrame, raw: str = "raw_cluster_id", segment: str = "seg
     )
 
 
-def purity(df: DataFrame, axes: Iterable[str] = DENSITY_AXES, by: Iterable[str] = (*CELL, "segment_id"), segment: str = "segment_id") -> DataFrame:
+def purity(df: DataFrame, axes: Iterable[str] = DENSITY_AXES, by: Iterable[str] = (*CELL, "segment_id"), segment: str = "segment_id", weight: str | None = None) -> DataFrame:
     """Size-weighted mean over segments of the mean top share on the axes.
 
     by=(segment_id,) pools equal ids of different cells.
     """
     axes = list(axes)
-    tops = top_values(df.filter(F.col(segment) != -1), by, axes)
+    tops = top_values(df.filter(F.col(segment) != -1), by, axes, weight)
     per = tops.groupBy(*by).agg(F.max("total").alias("n"), (F.sum(F.col("top_n") / F.col("total")) / len(axes)).alias("p"))
     return per.agg(
         F.coalesce(F.sum(F.col("p") * F.col("n")) / F.sum("n"), F.lit(0.0)).alias("purity"), F.count("*").alias("n_segments")
