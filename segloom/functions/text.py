@@ -8,6 +8,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from segloom.config import (
     CATEGORY_PREFIX,
@@ -94,7 +95,7 @@ def fence_body(c: str | Column) -> Column:
     return F.coalesce(F.get(F.filter(chunks, lambda chunk: chunk.startswith("{")), F.lit(0)), col(c))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _first_object(texts: pd.Series) -> pd.Series:
     decoder = json.JSONDecoder()
 
