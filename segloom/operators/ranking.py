@@ -168,3 +168,17 @@ def split_train_test(df: DataFrame, label: str, by: Iterable[str] = (), key: str
     )
     rows = df.join(marks.drop("_n"), [*by, label])
     return mark_quota(rows, quotas, [*by, "_stratum"], key, seed, "is_test").drop("_stratum")
+
+
+def global_position(df: DataFrame, key: str, name: str = "position", width: int = 100_000) -> DataFrame:
+    """1-based position of each row in the order of its integer key.
+
+    Rows are ranked within key ranges of `width`; a range starts after the rows of
+    the lower ranges, so no task sees all rows. Ranges must hold unique keys.
+    """
+    ranged = df.withColumn("_r", F.floor(F.col(key) / width))
+    sizes = ranged.groupBy("_r").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(F.lit(1)).orderBy("_r")) - F.col("_n")  # a row per range
+    offsets = sized(sizes.select("_r", before.alias("_before")))
+    rank = F.row_number().over(Window.partitionBy("_r").orderBy(key))
+    return ranged.join(offsets, "_r").withColumn(name, F.col("_before") + rank).drop("_r", "_before")
