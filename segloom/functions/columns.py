@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from segloom.config import (
+    CELL,
     DENSITY_AXES,
     FULL_KEY,
     INFO_POOR_KEY,
@@ -31,6 +32,10 @@ def stripped(c: str | Column) -> Column:
     return F.btrim(col(c), F.lit(SPACES))
 
 
+def cell_slug(by: Iterable[str] = CELL) -> Column:
+    return F.concat_ws("_", *by)
+
+
 def active(deleted: str | Column = "is_deleted", expired: str | Column = "is_expired") -> Column:
     return (col(deleted) == 0) & (col(expired) == 0)
 

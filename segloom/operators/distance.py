@@ -65,6 +65,16 @@ def _gower_matrix(rows: pd.DataFrame, others: pd.DataFrame, axes: list[str], wei
     return np.divide(top, bottom, out=np.zeros_like(top), where=bottom > 0)
 
 
+def onehot_square(rows: pd.DataFrame, others: pd.DataFrame, axes: Iterable[str], drop_missing: bool) -> np.ndarray:
+    """Squared Euclidean distances of one-hot rows; dropped missing values are zero blocks."""
+    square = np.zeros((len(rows), len(others)))
+    for a in axes:
+        p, q = rows[a].to_numpy()[:, None], others[a].to_numpy()[None, :]
+        differ = (p != q).astype(float)
+        square += differ * (2.0 - (p == MISSING) - (q == MISSING)) if drop_missing else 2.0 * differ
+    return square
+
+
 def gower_histogram(small: DataFrame, by: Sequence[str] = CELL, axes: Sequence[str] = AXES, weights: Sequence[float] = GOWER_WEIGHTS, block: int = BLOCK) -> DataFrame:
     """Per cell and distance (6 digits): profile pairs and row pairs at that distance."""
     by = list(by)

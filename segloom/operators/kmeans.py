@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from segloom.config import CELL, MISSING
 from segloom.operators.blocks import BLOCK, over_block_pairs
+from segloom.operators.distance import onehot_square
 from segloom.operators.encoding import encode, fit_onehot
 from segloom.operators.stats import axis_counts, compress
 from segloom.runtime import cut
@@ -33,11 +34,7 @@ def silhouette_rows(
     by, axes = list(by), list(axes)
 
     def reduce(rows, others):
-        square = np.zeros((len(rows), len(others)))
-        for a in axes:
-            p, q = rows[a].to_numpy()[:, None], others[a].to_numpy()[None, :]
-            differ = (p != q).astype(float)
-            square += differ * (2.0 - (p == MISSING) - (q == MISSING)) if drop_missing else 2.0 * differ
+        square = onehot_square(rows, others, axes, drop_missing)
         labels, place = np.unique(others[label].to_numpy(), return_inverse=True)
         weight = np.zeros((len(others), len(labels)))
         weight[np.arange(len(others)), place] = others["n"].to_numpy(dtype=float)

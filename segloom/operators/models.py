@@ -28,7 +28,7 @@ from segloom.config import (
     MISSING,
     VERSION,
 )
-from segloom.functions.columns import info_density, is_missing
+from segloom.functions.columns import cell_slug, info_density, is_missing
 from segloom.operators.encoding import encode, fit_onehot
 from segloom.operators.ranking import split_train_test
 from segloom.operators.stats import compress
@@ -95,7 +95,7 @@ class CellModels:
         """Predicted id and confidence of (cell, features) tuples; cells without a model are dropped."""
         out = None
         for cell in cells if cells is not None else self.forests:
-            here = table.filter(F.concat_ws("_", *CELL) == cell)
+            here = table.filter(cell_slug() == cell)
             scored = self.forests[cell].transform(encode(here, self.encoders[cell], self.features))
             p = vector_to_array("probability")
             ids = F.array(*[F.lit(c) for c in self.classes[cell]])
@@ -132,12 +132,12 @@ def train_cells(
     gate = cell_gate(rows, label)
     split = split_train_test(rows, label, CELL, key, test_share, seed)
     table = cut(compress(split, [*CELL, "is_test"], [*features, label]))
-    decisions = gate.filter("decision = 'train'").select(F.concat_ws("_", *CELL).alias("cell")).collect()  # <= 9 cells
-    found = table.filter("NOT is_test").select(F.concat_ws("_", *CELL).alias("cell"), label).distinct().collect()
+    decisions = gate.filter("decision = 'train'").select(cell_slug().alias("cell")).collect()  # <= 9 cells
+    found = table.filter("NOT is_test").select(cell_slug().alias("cell"), label).distinct().collect()
     models = CellModels(tuple(features))
 
     def fit(cell: str) -> tuple[str, PipelineModel, RandomForestClassificationModel, list[int]]:
-        here = table.filter((F.concat_ws("_", *CELL) == cell) & ~F.col("is_test"))
+        here = table.filter((cell_slug() == cell) & ~F.col("is_test"))
         classes = sorted(r[label] for r in found if r["cell"] == cell)
         position = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1
         encoder = fit_onehot(here, features)
@@ -211,7 +211,7 @@ def assign(df: DataFrame, models: CellModels, catalog: DataFrame, ok: str | None
     names = list(models.features)
     rows = df.withColumns({a: F.when(is_missing(a), MISSING).otherwise(F.col(a)) for a in names})
     good = F.coalesce(F.col(ok), F.lit(True)) if ok else F.lit(True)
-    slug = F.concat_ws("_", *CELL)
+    slug = cell_slug()
     status = (
         F.when(~F.coalesce(F.col("job_type").isin(*job_types), F.lit(False)), "invalid_recruit_type")
         .when(~good, "phase3_fail")

@@ -8,17 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segloom.config import CELL, FOCUS_CELL, INFO_POOR_ID, INFO_POOR_KEY, SMALL_CELLS, Gates
+from segloom.functions.columns import cell_slug
 from segloom.functions.text import preview
 from segloom.operators.ranking import top_n_per_group
 from segloom.operators.stats import pipeline_metrics
 
-SLUG = F.concat_ws("_", *CELL)
 
 
 def grade(segments: DataFrame, gates: Gates = Gates(), small_cells: Iterable[str] = SMALL_CELLS, segment: str = "segment_id") -> DataFrame:
     """Adds grade (A-D) and flags to the rows of `stats.segment_table`."""
     poor = (F.col(segment) == INFO_POOR_ID) | (F.col("segment_key") == INFO_POOR_KEY)
-    small = SLUG.isin(*small_cells)
+    small = cell_slug().isin(*small_cells)
     micro = F.col("n") < gates.micro_n
     catch_all = F.col("pct_cell") > gates.catch_all_pct
     uniform = (F.col("purpose_top") >= gates.dominant) | (F.col("topic_top") >= gates.dominant)
@@ -37,7 +37,7 @@ def stop_check(graded: DataFrame, gates: Gates = Gates(), focus: str = FOCUS_CEL
     metrics = pipeline_metrics(graded, gates, focus)
     op = F.col("segment_id") != INFO_POOR_ID
     counts = graded.agg(
-        F.count_if(op & (SLUG == focus) & (F.col("grade") == "A")).alias("focus_a"),
+        F.count_if(op & (cell_slug() == focus) & (F.col("grade") == "A")).alias("focus_a"),
         F.count_if(op & F.col("grade").isin("A", "B")).alias("_ab"),
         F.count_if(op).alias("_op"),
     )
@@ -119,7 +119,7 @@ def agreement(assigned: DataFrame, predicted: DataFrame, key: str = "id") -> Dat
 
     `predicted`: id, status, predicted_id. Info-poor predictions are counted apart.
     """
-    joined = assigned.join(predicted, key).groupBy(SLUG.alias("cell"), "status", "segment_id", "predicted_id").agg(F.count("*").alias("n"))
+    joined = assigned.join(predicted, key).groupBy(cell_slug().alias("cell"), "status", "segment_id", "predicted_id").agg(F.count("*").alias("n"))
     judged = (F.col("status") == "ok") & (F.col("segment_id") != INFO_POOR_ID)
     poor = F.col("status") == "info_poor"
 

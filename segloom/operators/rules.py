@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segloom.config import CELL, DENSITY_AXES, FOCUS_CELL, MISSING
-from segloom.functions.columns import col, info_density
+from segloom.functions.columns import cell_slug, col, info_density
 from segloom.functions.text import any_marker, full_text, matches
 from segloom.operators.joins import conflicts
 
@@ -192,7 +192,7 @@ def tier_comparison(df: DataFrame, tiers: Iterable[str] = TIERS, focus: Column |
     topic is evaluated per tier, and a row becomes one small record per tier.
     """
     if focus is None:
-        focus = F.concat_ws("_", *CELL) == FOCUS_CELL if set(CELL) <= set(df.columns) else F.lit(True)
+        focus = cell_slug() == FOCUS_CELL if set(CELL) <= set(df.columns) else F.lit(True)
     base = apply_rules(df, snap=False, **names).withColumn(
         "_text", full_text(names.get("title", "title"), names.get("content", "content"))
     )

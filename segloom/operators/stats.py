@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segloom.config import AXES, CELL, DENSITY_AXES, HYBRID, KEY_AXES, MISSING, UNCLEAR_LIMITS, Gates
-from segloom.functions.columns import is_missing
+from segloom.functions.columns import active, cell_slug, is_missing
 from segloom.functions.text import any_marker, full_text
 from segloom.operators.rules import PERM, PERM_EVIDENCE
 
@@ -197,7 +197,7 @@ def pipeline_metrics(
 
     focus = focus or FOCUS_CELL
     catch = list(catch_cells if catch_cells is not None else CATCH_ALL_CELLS)
-    slug = F.concat_ws("_", *CELL)
+    slug = cell_slug()
     op = F.col(segment) != -1
     per_cell = segments.groupBy(slug.alias("slug")).agg(
         F.count_if(op).alias("segs"),
@@ -258,7 +258,6 @@ def purity(df: DataFrame, axes: Iterable[str] = DENSITY_AXES, by: Iterable[str]
 
 def assignment_stats(postings: DataFrame, version: str = "segment_version") -> DataFrame:
     """Per version and overall: rows, assigned, info-poor, unassigned, mean confidence (active rows)."""
-    from segloom.functions.columns import active
 
     label = F.coalesce(F.col(version), F.lit("미배정(NULL version)"))
     per = postings.filter(active()).groupBy(label.alias("version")).agg(

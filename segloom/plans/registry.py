@@ -13,7 +13,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
-MODULES = ("stats", "ranking")
+MODULES = ("ranking", "clusters")
 
 
 def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Callable[[Query], Query]:

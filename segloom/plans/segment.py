@@ -20,11 +20,10 @@ from segloom.config import (
     SINGLE_SEGMENT_CELL,
     SegmentConfig,
 )
-from segloom.functions.columns import density_label, info_density, is_missing
+from segloom.functions.columns import cell_slug, density_label, info_density, is_missing
 from segloom.operators import distance, linkage, merge, stats
 from segloom.runtime import cut, sized
 
-SLUG = F.concat_ws("_", *CELL)
 
 
 @dataclass
@@ -50,7 +49,7 @@ def catalogue_table(df: DataFrame, config: SegmentConfig = DEFAULT_CONFIG) -> Da
 def build_tree(table: DataFrame, config: SegmentConfig = DEFAULT_CONFIG, block: int = 1024) -> Tree:
     """Average linkage over the clusterable profiles of all cells."""
     names, weights = distance.weighted_axes(config.axes, config.gower_weights)
-    usable = table.filter((F.col("info_density") >= 1) & (SLUG != SINGLE_SEGMENT_CELL))
+    usable = table.filter((F.col("info_density") >= 1) & (cell_slug() != SINGLE_SEGMENT_CELL))
     small = usable.groupBy(*CELL, *names).agg(F.sum("n").alias("n"))
     order = F.row_number().over(distance.Window.partitionBy(*CELL).orderBy(*names))
     small = cut(small.withColumn("id", (order - 1).cast("long")))
@@ -69,7 +68,7 @@ def build_tree(table: DataFrame, config: SegmentConfig = DEFAULT_CONFIG, block:
 def segment_counts(tree: Tree, config: SegmentConfig) -> DataFrame:
     """Number of raw clusters per cell: the target, at most one per profile."""
     cells = tree.points.groupBy(*CELL).agg(F.sum("n").alias("rows"), F.count("*").alias("p"))
-    k = distance.target_raw_k(SLUG, F.col("rows"), config)
+    k = distance.target_raw_k(cell_slug(), F.col("rows"), config)
     return cells.withColumn("raw_k", k).withColumn("k", F.least("raw_k", F.col("p").cast("int")))
 
 
@@ -80,7 +79,7 @@ def label_table(table: DataFrame, tree: Tree, config: SegmentConfig) -> DataFram
     clusters = linkage.cut_tree(tree.points, tree.merges, CELL, ks.select(*CELL, "k"))
     labels = tree.profiles.join(clusters, [*CELL, "id"]).select(*CELL, *names, F.col("cluster").alias("raw_cluster_id"))
     joined = table.join(labels, [*CELL, *names], "left")
-    raw = F.when(F.col("info_density") < 1, -1).when(SLUG == SINGLE_SEGMENT_CELL, 0).otherwise(F.col("raw_cluster_id"))
+    raw = F.when(F.col("info_density") < 1, -1).when(cell_slug() == SINGLE_SEGMENT_CELL, 0).otherwise(F.col("raw_cluster_id"))
     return cut(joined.withColumn("raw_cluster_id", raw.cast("int")))
 
 
@@ -92,7 +91,7 @@ def segment_labeled(labeled: DataFrame, config: SegmentConfig) -> tuple[DataFram
     )
     # a cell with a single clusterable row is named after that row
     lone = labeled.filter("raw_cluster_id <> -1").groupBy(*CELL).agg(F.sum("n").alias("_rows"))
-    lone = lone.filter((F.col("_rows") == 1) & (SLUG != SINGLE_SEGMENT_CELL)).select(*CELL, F.lit(True).alias("_lone"))
+    lone = lone.filter((F.col("_rows") == 1) & (cell_slug() != SINGLE_SEGMENT_CELL)).select(*CELL, F.lit(True).alias("_lone"))
     row_name = F.when(F.col("purpose") == MISSING, SINGLE_ROW_KEY).otherwise(
         F.concat_ws(NAME_SEPARATOR, "purpose", "place", "topic")
     )
@@ -110,7 +109,7 @@ def cell_results(table: DataFrame, tree: Tree, first: DataFrame, final: DataFram
     ks = segment_counts(tree, config).select(*CELL, "raw_k")
     base = stats.cell_summary(final, weight="n")
     return base.join(after, [*CELL], "left").join(ks, [*CELL], "left").withColumn(
-        "raw_k", F.coalesce("raw_k", F.when(SLUG == SINGLE_SEGMENT_CELL, 1).otherwise(0))
+        "raw_k", F.coalesce("raw_k", F.when(cell_slug() == SINGLE_SEGMENT_CELL, 1).otherwise(0))
     )
 
 
