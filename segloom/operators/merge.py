@@ -1,7 +1,8 @@
 """Segments out of clusters: merge by dominant key, absorb, split, rename.
 
-All functions take rows or, with `weight`, a compressed table (see stats.compress);
-decisions are made on segment-sized tables and joined back.
+All functions take rows or, with `weight`, a compressed table (see stats.compress).
+Steps that look at rows several times work on the compressed table in both cases:
+rows are read once to build it and once to receive the new segments.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from segloom.config import (
 from segloom.functions.text import display_name, key_name
 from segloom.operators.ranking import id_map, rank_by_size
 from segloom.operators.rules import PORTFOLIO, SNAP
-from segloom.operators.stats import dominants
-from segloom.runtime import sized
+from segloom.operators.stats import compress, dominants
+from segloom.runtime import cut, sized
 
 UNNAMED = (HYBRID, MISSING)
 
@@ -61,6 +62,21 @@ def coarse_key(with_treatment: Column) -> Column:
 KeyFunction = Callable[[Column], Column]
 
 
+def through_table(df: DataFrame, by: Sequence[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Rows with the segments that `step` gives to their compressed table."""
+    keys = list(dict.fromkeys([*by, "segment_id", "segment_key", *KEY_AXES]))
+    table = cut(compress(df, [], keys).withColumns({"_old_id": F.col("segment_id"), "_old_key": F.col("segment_key")}))
+    new = step(table).select(
+        *[F.col({"segment_id": "_old_id", "segment_key": "_old_key"}.get(k, k)).alias(f"_t_{k}") for k in keys],
+        F.col("segment_id").alias("_new_id"), F.col("segment_key").alias("_new_key"),
+    )
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_t_{k}"))
+    joined = df.join(sized(new), same)
+    return joined.withColumns({"segment_id": F.col("_new_id"), "segment_key": F.col("_new_key")}).select(*df.columns)
+
+
 def cluster_info(
     df: DataFrame, label: str, by: Sequence[str] = CELL, threshold: float = 0.70, with_treatment: bool = True,
     weight: str | None = None,
@@ -168,6 +184,8 @@ def second_pass(df: DataFrame, config: SegmentConfig, by: Sequence[str] = CELL,
 def absorb_ambiguous(df: DataFrame, by: Sequence[str] = CELL, threshold: float = 0.70, weight: str | None = None) -> DataFrame:
     """Segments whose purpose and place are both hybrid or missing become info-poor."""
     by = list(by)
+    if weight is None:
+        return through_table(df, by, lambda table: absorb_ambiguous(table, by, threshold, "n"))
     doms = dominants(df.filter("segment_id <> -1"), [*by, "segment_id"], ("purpose", "place"), threshold, weight=weight)
     vague = F.col("dom_purpose").isin(*UNNAMED) & F.col("dom_place").isin(*UNNAMED)
     kept = doms.select(*by, "segment_id", vague.alias("_vague"))
@@ -241,6 +259,15 @@ def split_candidates(
 
 def _split(df: DataFrame, part: Column, by: Sequence[str], config: SegmentConfig, weight: str | None, how: str) -> tuple[DataFrame, DataFrame]:
     by = list(by)
+    if weight is None:
+        logs: list[DataFrame] = []
+
+        def step(table: DataFrame) -> DataFrame:
+            out, log = _split(table, part, by, config, "n", how)
+            logs.append(log)
+            return out
+
+        return through_table(df, by, step), logs[0]
     chosen = sized(split_candidates(df, part, by, config, weight, how))
     marked = df.withColumn("_part", part)
     inside = marked.join(chosen.select(*by, "segment_id"), [*by, "segment_id"])
@@ -280,6 +307,8 @@ def split_by_purpose(df: DataFrame, config: SegmentConfig = SegmentConfig(), by:
 def rename_segments(df: DataFrame, by: Sequence[str] = CELL, threshold: float = 0.70, weight: str | None = None) -> DataFrame:
     """Names recomputed from the dominants; place-missing parts keep their suffix."""
     by = list(by)
+    if weight is None:
+        return through_table(df, by, lambda table: rename_segments(table, by, threshold, "n"))
     rows = df.filter("segment_id <> -1")
     current = rows.groupBy(*by, "segment_id").agg(F.min("segment_key").alias("_current"))
     names = display_names(rows, [*by, "segment_id"], weight, threshold).join(current, [*by, "segment_id"])
@@ -291,17 +320,23 @@ def rename_segments(df: DataFrame, by: Sequence[str] = CELL, threshold: float =
 def postprocess(df: DataFrame, config: SegmentConfig, by: Sequence[str] = CELL, weight: str | None = None) -> tuple[DataFrame, list[DataFrame]]:
     """The optional steps in fixed order; returns rows and split logs."""
     logs: list[DataFrame] = []
-    if config.absorb_ambiguous:
-        df = absorb_ambiguous(df, by, weight=weight)
-    if config.place_split:
-        df, log = split_by_place(df, config, by, weight)
-        logs.append(log.withColumn("split", F.lit("place")))
-    if config.purpose_split:
-        df, log = split_by_purpose(df, config, by, weight)
-        logs.append(log.withColumn("split", F.lit("purpose")))
-    if config.rename:
-        df = rename_segments(df, by, weight=weight)
-    return df, logs
+
+    def steps(table: DataFrame) -> DataFrame:
+        size = weight or "n"
+        if config.absorb_ambiguous:
+            table = cut(absorb_ambiguous(table, by, weight=size))
+        if config.place_split:
+            table, log = split_by_place(table, config, by, size)
+            table = cut(table)
+            logs.append(log.withColumn("split", F.lit("place")))
+        if config.purpose_split:
+            table, log = split_by_purpose(table, config, by, size)
+            table = cut(table)
+            logs.append(log.withColumn("split", F.lit("purpose")))
+        return rename_segments(table, by, weight=size) if config.rename else table
+
+    out = steps(df) if weight else through_table(df, by, steps)
+    return out, logs
 
 
 def key_similarity(a: str, b: str) -> Column:

@@ -93,7 +93,7 @@ def axis_distribution(df: DataFrame, by: Iterable[str], axes: Iterable[str] = KE
     clean = df.withColumns({a: F.coalesce(F.col(a), F.lit(MISSING)) for a in axes})
     counts = value_counts(clean, by, axes)
     marked = (F.col("rank") == 1) & (F.col("value") != MISSING) & (F.col("share") >= bold)
-    pct = F.format_number(F.col("share") * 100, "0.0")
+    pct = F.format_number(F.col("share") * 100, 1)
     text = F.concat(F.col("value"), F.lit(": "), pct, F.lit("%"))
     line = F.when(marked, F.concat(F.lit("**"), text, F.lit("**"))).otherwise(text)
     kept = F.when(F.col("rank") <= top, F.struct("rank", line.alias("line")))
@@ -146,7 +146,7 @@ def segment_examples(df: DataFrame, texts: DataFrame, n: int = 3, key: str = "id
     out = segment_index(df).join(shape, by).join(examples, by)
     if "categories" in df.columns:
         tops = category_top(df, by, 3)
-        label = F.format_string("%s(%d, %s%%)", "category", "n", F.format_number("pct", "0.0"))
+        label = F.format_string("%s(%d, %s%%)", "category", "n", F.format_number("pct", 1))
         listed = tops.groupBy(*by).agg(
             F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", label.alias("l")))), lambda x: x["l"]), ", ").alias("top_categories")
         )

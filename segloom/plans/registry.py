@@ -13,7 +13,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
-MODULES = ("segments", "models", "quality")
+MODULES = ("sources", "scalars", "joins", "rules", "stats", "ranking", "clusters", "segments", "models", "quality")
 
 
 def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()) -> Callable[[Query], Query]:

@@ -55,15 +55,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder and go on from there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to a table in the shared folder and go on from there.
+
+    A lost executor costs nothing that was written, the plan starts afresh, and
+    the table's size is known to the planner.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Cut `df`, and mark it for broadcast only if its row count is small."""
     table = cut(df)
-    return F.broadcast(table) if table.limit(limit + 1).count() <= limit else table
+    return F.broadcast(table) if table.count() <= limit else table
 
 
 def null_safe(left: DataFrame, right: DataFrame, on) -> Column:
