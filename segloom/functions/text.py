@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable
 
 import pandas as pd
@@ -76,6 +77,35 @@ def matches(text: Column, pattern: str, ignore_case: bool = True) -> Column:
     return text.rlike(("(?iU)" if ignore_case else "(?U)") + pattern)
 
 
+def matches_phrases(text: Column, pattern: str, ignore_case: bool = True) -> Column:
+    """Same as `matches` for an alternation of phrases, without a regex over every text.
+
+    Phrases are words joined by optional white space (`\\s*`), possibly with `\\b`. A
+    single word is a plain substring search. A longer phrase is only searched as a
+    regex in texts that contain all its words. Other patterns go to `matches`.
+    """
+    phrases = pattern.split("|")
+    if any(re.search(r"[\\^$.\[\](){}?*+]", re.sub(r"\\s\*|\\b", "", p)) for p in phrases):
+        return matches(text, pattern, ignore_case)
+    found = F.lit(False)
+    rest = []
+    words_of = {p: [w for w in re.split(r"\\s\*|\\b", p) if w] for p in phrases}
+    plain = [p for p in phrases if words_of[p] == [p]]
+    for phrase in phrases:
+        words = words_of[phrase]
+        if ignore_case and any(w.lower() != w.upper() for w in words):
+            rest.append(phrase)
+        elif words == [phrase]:
+            found = found | text.contains(phrase)
+        elif not any(word in w for word in plain for w in words):
+            # otherwise a plain word above already covers the phrase
+            gate = F.lit(True)
+            for word in words:
+                gate = gate & text.contains(word)
+            found = found | (gate & text.rlike("(?U)" + phrase.replace("\\s*", "[\\s\\x1c-\\x1f]*")))
+    return found | matches(text, "|".join(rest)) if rest else found
+
+
 def has_hangul(c: str | Column) -> Column:
     return text_or_empty(c).rlike("[\\uAC00-\\uD7A3]")
 

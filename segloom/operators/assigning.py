@@ -41,7 +41,8 @@ def assign_postings(
     """
     found = attributes.withColumn("_found", F.coalesce(F.col("ok"), F.lit(True))).drop("ok")
     rows = with_cell(postings).join(found, key, "left").withColumn("_found", F.coalesce("_found", F.lit(False)))
-    fixed = apply_rules(rows, tier=tier)
+    # the corrected axes are read twice below; the texts only here
+    fixed = cut(apply_rules(rows, tier=tier).drop("title", "content"))
     return assign(fixed, models, catalog, ok="_found").drop("_found")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from segloom.config import CELL, DENSITY_AXES, FOCUS_CELL, MISSING
 from segloom.functions.columns import cell_slug, col, info_density
-from segloom.functions.text import any_marker, full_text, matches
+from segloom.functions.text import any_marker, full_text, matches_phrases
 from segloom.operators.joins import conflicts
 
 # --- fixed values -----------------------------------------------------------
@@ -72,7 +72,7 @@ class Rule:
         if self.categories:
             found = found | conflicts(categories, self.categories)
         if self.pattern:
-            found = found | matches(text, self.pattern)
+            found = found | matches_phrases(text, self.pattern)
         return found
 
 
@@ -107,23 +107,35 @@ def fill_generic_hair(treatment: Column, categories: Column, text: Column) -> Co
     return F.when(fits, F.lit(GENERIC_HAIR)).otherwise(treatment)
 
 
-def fill_topic_snap(topic: Column, categories: Column, text: Column, tier: str = DEFAULT_TIER) -> Column:
+def topic_signals(categories: Column, text: Column) -> dict[str, Column]:
+    """What the snap rule looks at: veto, everyday categories, text, portrait category, portfolio text."""
+    return {
+        "vetoed": conflicts(categories, TOPIC_CONFLICT_CATEGORIES) | matches_phrases(text, TOPIC_CONFLICT_TEXT, ignore_case=False),
+        "everyday": conflicts(categories, SNAP_CATEGORIES),
+        "in_text": matches_phrases(text, SNAP_TEXT),
+        "portrait": conflicts(categories, [PORTRAIT_CATEGORY]),
+        "portfolio": matches_phrases(text, PORTFOLIO_TEXT),
+    }
+
+
+def snap_topic(topic: Column, signals: dict[str, Column], tier: str = DEFAULT_TIER) -> Column:
+    """The topic after the snap rule.
+
+    A profile category alone never gives the topic: without a text signal and a
+    snap category no branch holds, so it needs no veto of its own.
+    """
     if tier not in TIERS:
         raise ValueError(f"unknown tier {tier!r}")
-    in_text = matches(text, SNAP_TEXT)
-    everyday = conflicts(categories, SNAP_CATEGORIES)
-    portrait = conflicts(categories, [PORTRAIT_CATEGORY])
-    vetoed = conflicts(categories, TOPIC_CONFLICT_CATEGORIES) | matches(text, TOPIC_CONFLICT_TEXT, ignore_case=False)
-    # A profile category alone never gives the topic: without a text signal and
-    # a snap category neither branch below holds, so it needs no veto of its own.
-    by_portrait = {
-        "full": F.lit(True),
-        "tier1_only": F.lit(False),
-        "tier2_body_snap": F.lit(False),  # a text signal already suffices
-        "tier2_conditional": matches(text, PORTFOLIO_TEXT),
-    }[tier]
-    fits = everyday | in_text | (portrait & by_portrait)
-    return F.when((topic == MISSING) & ~vetoed & fits, F.lit(SNAP)).otherwise(topic)
+    fits = signals["everyday"] | signals["in_text"]  # a text signal also lifts the second tier
+    if tier == "full":
+        fits = fits | signals["portrait"]
+    elif tier == "tier2_conditional":
+        fits = fits | (signals["portrait"] & signals["portfolio"])
+    return F.when((topic == MISSING) & fits & ~signals["vetoed"], F.lit(SNAP)).otherwise(topic)
+
+
+def fill_topic_snap(topic: Column, categories: Column, text: Column, tier: str = DEFAULT_TIER) -> Column:
+    return snap_topic(topic, topic_signals(categories, text), tier)
 
 
 def fill_purpose(purpose: Column, categories: Column, text: Column) -> Column:
@@ -132,14 +144,13 @@ def fill_purpose(purpose: Column, categories: Column, text: Column) -> Column:
 
 def fill_place(place: Column, categories: Column, text: Column) -> Column:
     """Studio, outdoor or home; contradicting signals leave the axis missing."""
-    listed = conflicts(categories, [STUDIO_CATEGORY])
-    studio = listed | matches(text, STUDIO_TEXT)
-    outdoor = matches(text, OUTDOOR_TEXT)
-    home = matches(text, HOME_TEXT)
-    signals = studio.cast("int") + outdoor.cast("int") + home.cast("int")
-    # with exactly one signal the order of the checks no longer matters
-    single = F.when(studio, STUDIO).when(outdoor, OUTDOOR).otherwise(HOME)
-    return F.when((place == MISSING) & (signals == 1), single).otherwise(place)
+    studio = conflicts(categories, [STUDIO_CATEGORY]) | matches_phrases(text, STUDIO_TEXT)
+    outdoor = matches_phrases(text, OUTDOOR_TEXT)
+    home = matches_phrases(text, HOME_TEXT)
+    # bit per signal; with exactly one signal the order of the checks does not matter
+    signals = studio.cast("int") + outdoor.cast("int") * 2 + home.cast("int") * 4
+    values = F.create_map(F.lit(1), F.lit(STUDIO), F.lit(2), F.lit(OUTDOOR), F.lit(4), F.lit(HOME))
+    return F.when(place == MISSING, F.coalesce(F.try_element_at(values, signals), place)).otherwise(place)
 
 
 def apply_rules(
@@ -196,16 +207,15 @@ def tier_comparison(df: DataFrame, tiers: Iterable[str] = TIERS, focus: Column |
     base = apply_rules(df, snap=False, **names).withColumn(
         "_text", full_text(names.get("title", "title"), names.get("content", "content"))
     )
-    cats = F.col(names.get("categories", "categories"))
+    signals = topic_signals(F.col(names.get("categories", "categories")), F.col("_text"))
+    base = base.select(*DENSITY_AXES, focus.alias("_focus"), *[c.alias(f"_{n}") for n, c in signals.items()])
+    once = {n: F.col(f"_{n}") for n in signals}
     per_tier = F.array(
-        *[
-            F.struct(F.lit(t).alias("tier"), fill_topic_snap(F.col("topic"), cats, F.col("_text"), t).alias("topic"))
-            for t in tiers
-        ]
+        *[F.struct(F.lit(t).alias("tier"), snap_topic(F.col("topic"), once, t).alias("topic")) for t in tiers]
     )
     others = [a for a in DENSITY_AXES if a != "topic"]
     rows = base.select(
-        info_density(others).alias("_others"), focus.alias("_focus"), F.inline(per_tier)
+        info_density(others).alias("_others"), "_focus", F.inline(per_tier)
     ).groupBy("tier", "topic", "_others", "_focus").agg(F.count("*").alias("n"))
     missing, snapped = F.col("topic") == MISSING, F.col("topic") == SNAP
     figures = rows.groupBy("tier").agg(
