@@ -24,13 +24,13 @@ def char_ngrams(text: str | Column, sizes: Sequence[int] = (1, 2)) -> Column:
     """Character n-grams within words; words are padded with one space on each side."""
     words = F.filter(F.split(F.lower(F.coalesce(col(text), F.lit(""))), WHITE_SPACE), lambda w: w != "")
 
-    def grams(word):
-        padded = F.concat(F.lit(" "), word, F.lit(" "))  # at least 3 characters, so every size <= 3 fits
-        parts = [
-            F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i, n=n: F.substring(padded, i, F.lit(n)))
-            for n in sizes
-        ]
-        return F.concat(*parts)
+    def pieces(padded: Column, n: int) -> Column:
+        # a padded word has at least 3 characters, so every size up to 3 fits
+        return F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i: F.substring(padded, i, F.lit(n)))
+
+    def grams(word: Column) -> Column:
+        padded = F.concat(F.lit(" "), word, F.lit(" "))
+        return F.concat(*[pieces(padded, n) for n in sizes])
 
     return F.flatten(F.transform(words, grams))
 
