@@ -122,13 +122,13 @@ def average_linkage(
     done: list[DataFrame] = []
     number = 0
     while True:
-        counts = state.groupBy(*by).agg(F.count("*").alias("_n"))
-        fits = counts.filter(F.col("_n") <= block).select(*by)
         if number == 0:
             state = cut(state)
-        small = state.join(F.broadcast(fits), by, "left_semi")  # a row per group
+        counts = state.groupBy(*by).agg(F.count("*").alias("_n"))
+        fits = sized(counts.filter(F.col("_n") <= block).select(*by))
+        small = state.join(fits, by, "left_semi")
         done.append(small.groupBy(*by).applyInPandas(finish, merges_schema))
-        state = state.join(F.broadcast(fits), by, "left_anti")
+        state = state.join(fits, by, "left_anti")
         if state.isEmpty():
             break
         number += 1

@@ -29,7 +29,7 @@ from segloom.functions.text import display_name, key_name
 from segloom.operators.ranking import id_map, rank_by_size
 from segloom.operators.rules import PORTFOLIO, SNAP
 from segloom.operators.stats import compress, dominants
-from segloom.runtime import cut, sized
+from segloom.runtime import beside, cut, sized
 
 UNNAMED = (HYBRID, MISSING)
 
@@ -207,7 +207,7 @@ def absorbed_count(before: DataFrame, after: DataFrame, weight: str | None = Non
     def poor(df, name):
         return df.agg(F.sum(F.when(F.col("segment_id") == -1, size).otherwise(0)).alias(name))
 
-    return poor(before, "b").crossJoin(F.broadcast(poor(after, "a"))).select((F.col("a") - F.col("b")).alias("n_absorbed"))
+    return beside(poor(before, "b"), poor(after, "a")).select((F.col("a") - F.col("b")).alias("n_absorbed"))
 
 
 def display_names(df: DataFrame, by: Sequence[str], weight: str | None = None, threshold: float = 0.70) -> DataFrame:

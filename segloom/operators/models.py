@@ -60,7 +60,7 @@ def balanced_weights(table: DataFrame, label: str, by: Sequence[str] = (), weigh
     classes = table.groupBy(*by, label).agg(F.sum(weight).alias("_c"))
     cell = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))  # one row per class
     factors = classes.select(*by, label, (F.sum("_c").over(cell) / (F.count("*").over(cell) * F.col("_c"))).alias("_f"))
-    return table.join(F.broadcast(factors), [*by, label]).withColumn("weight", F.col(weight) * F.col("_f")).drop("_f")
+    return table.join(factors, [*by, label]).withColumn("weight", F.col(weight) * F.col("_f")).drop("_f")
 
 
 @dataclass
@@ -222,7 +222,7 @@ def assign(df: DataFrame, models: CellModels, catalog: DataFrame, ok: str | None
     rows = rows.withColumn("status", status)
     tuples = rows.filter("status = 'ok'").select(*CELL, *names).distinct()
     keys = catalog.select(*CELL, F.col("segment_id").alias("predicted_id"), F.col("segment_key").alias("_key"))
-    known = models.predict(cut(tuples)).join(F.broadcast(keys), [*CELL, "predicted_id"], "left")
+    known = models.predict(cut(tuples)).join(keys, [*CELL, "predicted_id"], "left")
     lookup = known.select(*CELL, *names, "predicted_id", F.col("confidence").alias("_p"), "_key")
     joined = rows.join(sized(lookup), [*CELL, *names], "left")
     state = F.col("status")
@@ -245,7 +245,7 @@ def cluster_predict(pred: DataFrame, profiles: DataFrame, by: Sequence[str] = CE
     """
     by = list(by)
     info = profiles.select(*by, F.col("cluster").alias("predicted_id"), F.col("size").alias("cluster_size"), "dominant_values")
-    joined = pred.join(F.broadcast(info), [*by, "predicted_id"], "left")
+    joined = pred.join(info, [*by, "predicted_id"], "left")
     fault = F.raise_error(F.format_string("no profile for cluster %d", "predicted_id"))
     return joined.withColumn("cluster_size", F.when(F.col("cluster_size").isNotNull(), F.col("cluster_size")).otherwise(fault.cast("long")))
 

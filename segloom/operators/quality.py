@@ -12,6 +12,7 @@ from segloom.functions.columns import cell_slug
 from segloom.functions.text import preview
 from segloom.operators.ranking import top_n_per_group
 from segloom.operators.stats import pipeline_metrics
+from segloom.runtime import beside
 
 
 
@@ -42,7 +43,7 @@ def stop_check(graded: DataFrame, gates: Gates = Gates(), focus: str = FOCUS_CEL
         F.count_if(op).alias("_op"),
     )
     ab = F.when(F.col("_op") > 0, F.col("_ab") * 100.0 / F.col("_op")).otherwise(F.lit(0.0))
-    row = metrics.crossJoin(F.broadcast(counts)).withColumn("ab_pct", ab)  # one row each
+    row = beside(metrics, counts).withColumn("ab_pct", ab)
     checks = {
         "ok_focus_max": F.col("focus_max_pct") <= gates.focus_max_pct,
         "ok_focus_a": F.col("focus_a") >= gates.focus_a_min,

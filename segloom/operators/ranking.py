@@ -1,9 +1,7 @@
 """Top-n, ranks, queues and reproducible samples.
 
 Samples are ordered by a hash of the id, so they do not depend on partitioning.
-Exact quotas are met without sorting a whole stratum in one task: hash buckets
-are counted first, whole buckets are taken up to the quota, and only the one
-bucket on the border is ranked row by row.
+Exact quotas are met without sorting a whole stratum in one task (see `mark_quota`).
 """
 
 from __future__ import annotations
@@ -17,7 +15,7 @@ from segloom.config import CELL
 from segloom.functions.columns import active
 from segloom.runtime import sized
 
-BUCKETS = 4096
+BUCKET_BITS = 14
 
 
 def top_n_per_group(df: DataFrame, by: Iterable[str], order: Iterable[str | Column], n: int) -> DataFrame:
@@ -75,24 +73,28 @@ def mark_quota(df: DataFrame, quotas: DataFrame, by: Iterable[str], key: str = "
     """Flags exactly `quota` rows per group (or all, if fewer): the first in hash order.
 
     `quotas` has the group columns and `quota`; groups without a row get nothing.
+    The last row to take is found among the rows of one hash bucket per group; the
+    flag is then a comparison with it, and the rows themselves are not shuffled.
     """
     by = list(by)
-    hashed = df.withColumn("_h", hash_order(key, seed))
-    marked = hashed.withColumn("_b", F.shiftrightunsigned("_h", 52).cast("int"))  # 4096 buckets in hash order
-    counts = marked.groupBy(*by, "_b").agg(F.count("*").alias("_n"))
-    running = F.sum("_n").over(Window.partitionBy(*by).orderBy("_b"))
-    limits = (
-        counts.withColumn("_upto", running)
+    hashed = df.withColumn("_h", F.shiftrightunsigned(hash_order(key, seed), 1))
+    bucket = F.shiftright("_h", 63 - BUCKET_BITS)
+    counts = hashed.groupBy(*by, bucket.alias("_b")).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_b"))
+    border = (
+        counts.withColumn("_upto", upto)
         .join(quotas, by)
-        .withColumn("_left", F.col("quota") - (F.col("_upto") - F.col("_n")))
-        .filter("_left > 0")
-        .select(*by, "_b", F.col("_left").alias("_take"), (F.col("_left") >= F.col("_n")).alias("_all"))
+        .withColumn("_take", F.col("quota") - (F.col("_upto") - F.col("_n")))
+        .filter("_take > 0")
+        .groupBy(*by)
+        .agg(F.max(F.struct("_b", F.least("_take", "_n").alias("_take"))).alias("_e"))
     )
-    joined = marked.join(sized(limits), [*by, "_b"], "left").withColumn("_all", F.coalesce("_all", F.lit(False)))
-    settled = joined.filter("_all OR _take IS NULL").withColumn(flag, F.col("_all"))
-    rank = F.row_number().over(Window.partitionBy(*by, "_b").orderBy(F.shiftrightunsigned("_h", 1), key))
-    border = joined.filter("NOT _all AND _take IS NOT NULL").withColumn(flag, rank <= F.col("_take"))
-    return settled.unionByName(border).drop("_h", "_b", "_take", "_all")
+    border = sized(border.select(*by, "_e._b", "_e._take"))
+    inside = hashed.select(*by, key, "_h", bucket.alias("_b")).join(border, [*by, "_b"])
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy("_h", key))
+    last = inside.withColumn("_r", rank).filter("_r = _take").select(*by, F.struct("_h", key).alias("_last"))
+    joined = hashed.join(sized(last), by, "left")
+    return joined.withColumn(flag, F.coalesce(F.struct("_h", key) <= F.col("_last"), F.lit(False))).drop("_h", "_last")
 
 
 def take_quota(df: DataFrame, quotas: DataFrame, by: Iterable[str], key: str = "id", seed: int = 42) -> DataFrame:
@@ -170,7 +172,7 @@ def split_train_test(df: DataFrame, label: str, by: Iterable[str] = (), key: str
     return mark_quota(rows, quotas, [*by, "_stratum"], key, seed, "is_test").drop("_stratum")
 
 
-def global_position(df: DataFrame, key: str, name: str = "position", width: int = 100_000) -> DataFrame:
+def global_position(df: DataFrame, key: str, name: str = "position", width: int = 1_000_000) -> DataFrame:
     """1-based position of each row in the order of its integer key.
 
     Rows are ranked within key ranges of `width`; a range starts after the rows of

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from segloom.config import CATEGORY_PREFIX
 from segloom.functions.columns import stripped
 from segloom.functions.text import DOMAINS, has_hangul
+from segloom.runtime import beside
 
 THRESHOLDS = (0.003, 0.005, 0.01, 0.02, 0.03)
 
@@ -27,12 +28,8 @@ def signal_freq(df: DataFrame, signals: str = "all_signals") -> DataFrame:
 
 
 def _with_share(counts: DataFrame) -> DataFrame:
-    posts = counts.filter("signal IS NULL").agg(F.max("n").alias("n_posts"))  # one row
-    return (
-        counts.filter("signal IS NOT NULL")
-        .crossJoin(F.broadcast(posts))
-        .withColumn("share", F.col("n") / F.col("n_posts"))
-    )
+    posts = counts.filter("signal IS NULL").agg(F.max("n").alias("n_posts"))
+    return beside(counts.filter("signal IS NOT NULL"), posts).withColumn("share", F.col("n") / F.col("n_posts"))
 
 
 def canonical_map(norm: DataFrame) -> DataFrame:
@@ -88,12 +85,12 @@ def coverage_gates(
     hits = occurrences.join(clusters, "keyword").select("cluster_id", "id", "job_type").distinct()
     hit_counts = hits.groupBy("cluster_id", "job_type").agg(F.count("*").alias("hit"))
     totals = postings.groupBy("job_type").agg(F.count("*").alias("total"))
-    grid = clusters.select("cluster_id").distinct().crossJoin(F.broadcast(totals))  # a row per job type
-    rates = grid.join(hit_counts, ["cluster_id", "job_type"], "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
-    cover = rates.groupBy("cluster_id").agg(
-        F.sum("hit").alias("n_hit"),
-        (F.sum("hit") / F.sum("total")).alias("coverage"),
-        (F.max(F.col("hit") / F.col("total")) - F.min(F.col("hit") / F.col("total"))).alias("spread"),
+    types = beside(totals, totals.agg(F.sum("total").alias("all_posts"), F.count("*").alias("n_types")))
+    rate = F.col("hit") / F.col("total")
+    # a type without a hit has rate 0
+    lowest = F.when(F.count("*") < F.max("n_types"), F.lit(0.0)).otherwise(F.min(rate))
+    cover = hit_counts.join(types, "job_type").groupBy("cluster_id").agg(
+        F.sum("hit").alias("n_hit"), (F.sum("hit") / F.max("all_posts")).alias("coverage"), (F.max(rate) - lowest).alias("spread")
     )
     noise, covered = F.col("n_keywords") < min_keywords, F.col("coverage") >= min_coverage
     varied = F.col("max_keyword_share") < max_share

@@ -335,20 +335,20 @@ def suggest_label(
 ) -> DataFrame:
     """Per axis the commonest explicit value with enough share; distinct, joined by ' · '."""
     by, axes = list(by), list(axes)
-    counts = value_counts(df, by, axes).filter(F.col("value") != MISSING)
+    counts = value_counts(df, by, axes)
     place = F.lit(0)
     for i, axis in enumerate(axes):
         place = F.when(F.col("axis") == axis, i).otherwise(place)
-    best = counts.groupBy(*by, place.alias("pos")).agg(F.min(F.struct((-F.col("n")).alias("m"), "value", "share")).alias("b"))
+    best = counts.groupBy(*by, place.alias("pos")).agg(
+        F.min(F.when(F.col("value") != MISSING, F.struct((-F.col("n")).alias("m"), "value", "share"))).alias("b")
+    )
     parts = F.transform(
         F.sort_array(F.collect_list(F.when(F.col("b.share") >= min_ratio, F.struct("pos", F.col("b.value").alias("value"))))),
         lambda x: x["value"],
     )
     name = F.array_join(F.slice(F.array_distinct(parts), 1, max_parts), " · ")
     labels = best.groupBy(*by).agg(name.alias("label"))
-    everyone = df.select(*by).distinct()
-    joined = everyone.join(labels, by, "left")
-    return joined.withColumn("label", F.when(F.coalesce("label", F.lit("")) == "", F.lit(default)).otherwise(F.col("label")))
+    return labels.withColumn("label", F.when(F.col("label") == "", F.lit(default)).otherwise(F.col("label")))
 
 
 def segment_sources(df: DataFrame, by: Iterable[str] = CELL, segment: str = "segment_id", raw: str = "raw_cluster_id") -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from segloom.functions.columns import col
 from segloom.functions.text import WHITE_SPACE
 from segloom.operators.models import balanced_weights
+from segloom.runtime import sized
 
 VOCABULARY = 50_000
 
@@ -103,5 +104,5 @@ def train_text_model(
 
 def score_text(df: DataFrame, model: TextModel, names: DataFrame, text: str = "text") -> DataFrame:
     """Predicted class, rounded confidence and segment name; unknown ids get the default name."""
-    named = model.score(df, text).join(F.broadcast(names.select(F.col("segment_id").alias("predicted_id"), "name")), "predicted_id", "left")
+    named = model.score(df, text).join(sized(names.select(F.col("segment_id").alias("predicted_id"), "name")), "predicted_id", "left")
     return named.withColumn("name", F.coalesce("name", F.lit("미분류")))

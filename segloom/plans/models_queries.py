@@ -15,7 +15,7 @@ from segloom.operators.joins import attach_categories
 from segloom.plans import views as V
 from segloom.plans.registry import query
 from segloom.plans.stats_queries import rounded
-from segloom.runtime import cut, scratch_path
+from segloom.runtime import beside, cut, scratch_path
 from segloom.sources.sinks import ensure_columns
 from segloom.streaming import assign_stream as ST
 
@@ -243,7 +243,7 @@ def batch_summary(spark, sf):
     table = ensure_columns(V.postings(spark, sf))
     result = A.batch_assign(table, posting_lists(spark, sf), posting_attributes(spark, sf), models, catalog, limit=None)
     left = result.snapshot.agg(F.count_if(F.col("segment_id").isNull()).alias("n_still_unassigned"))
-    return result.summary().crossJoin(F.broadcast(left))  # one row each
+    return beside(result.summary(), left)
 
 
 STREAM_SCHEMA = "id long, title string, content string, payment int, job_type string"

@@ -22,7 +22,7 @@ from segloom.config import (
 )
 from segloom.functions.columns import cell_slug, density_label, info_density, is_missing
 from segloom.operators import distance, linkage, merge, stats
-from segloom.runtime import cut, sized
+from segloom.runtime import beside, cut, sized
 
 
 
@@ -156,7 +156,7 @@ def variant_grid(df: DataFrame, configs: Mapping[str, SegmentConfig]) -> DataFra
         final, _, _ = segment_labeled(label_table(table, trees[weights], config), config)
         figures = stats.pipeline_metrics(stats.segment_table(final, weight="n"))
         pure = stats.purity(final, weight="n").select("purity")
-        rows.append(figures.crossJoin(F.broadcast(pure)).withColumn("variant", F.lit(name)))  # one row each
+        rows.append(beside(figures, pure).withColumn("variant", F.lit(name)))
     return merge.union_all(rows)
 
 

@@ -13,6 +13,7 @@ from segloom.plans import segment as SG
 from segloom.plans import views as V
 from segloom.plans.registry import query
 from segloom.plans.stats_queries import INFO, dominant_sql, key_sql
+from segloom.runtime import beside
 
 M = MISSING
 CELLS = "job_type, payment_group"
@@ -210,6 +211,6 @@ def variant_grid(spark, sf):
     """Figures of four configurations and which of them is the purest."""
     grid = SG.variant_grid(V.cells(spark, sf), VARIANTS)
     best = SG.best_variant(grid).withColumnRenamed("variant", "best").drop("purity")
-    return grid.crossJoin(F.broadcast(best)).withColumn("purity", F.round("purity", 6))  # one row
+    return beside(grid, best).withColumn("purity", F.round("purity", 6))
 
 

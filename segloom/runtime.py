@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A lookup table is broadcast only when a count shows that it has at most this
@@ -71,8 +71,8 @@ def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.count() <= limit else table
 
 
-def null_safe(left: DataFrame, right: DataFrame, on) -> Column:
-    cond = F.lit(True)
-    for name in on:
-        cond = cond & left[name].eqNullSafe(right[name])
-    return cond
+def beside(rows: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Appends the columns of a single-row table (an ungrouped aggregate) to every row."""
+    key = "_beside"
+    return rows.withColumn(key, F.lit(0)).join(F.broadcast(one_row.withColumn(key, F.lit(0))), key).drop(key)
+

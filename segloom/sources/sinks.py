@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segloom.config import CELL
+from segloom.runtime import beside
 
 ASSIGNMENT_COLUMNS = {
     "segment_id": "int",
@@ -61,7 +62,7 @@ def update_summary(plan: DataFrame, key: str = "id", samples: int = 3) -> DataFr
     pair = F.struct(F.col(key), F.concat_ws(":", F.col(key), F.col("segment_id")).alias("pair"))
     first = plan.filter("action = 'update'").orderBy(key).limit(samples)
     shown = first.agg(F.array_join(F.transform(F.sort_array(F.collect_list(pair)), lambda x: x["pair"]), ",").alias("sample"))
-    return counts.crossJoin(F.broadcast(shown))  # one row each
+    return beside(counts, shown)
 
 
 def write_assignments(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
