@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -22,6 +22,7 @@ from segloom.config import (
 )
 from segloom.functions.columns import cell_slug, density_label, info_density, is_missing
 from segloom.operators import distance, linkage, merge, stats
+from segloom.operators.rules import TIERS, apply_rules, tier_comparison
 from segloom.runtime import beside, cut, sized
 
 
@@ -160,6 +161,22 @@ def variant_grid(df: DataFrame, configs: Mapping[str, SegmentConfig]) -> DataFra
     return merge.union_all(rows)
 
 
+def tier_grid(df: DataFrame, tiers: Iterable[str] = TIERS, config: SegmentConfig = DEFAULT_CONFIG, **names) -> DataFrame:
+    """Figures before clustering and of the catalogue under each tier of the snap rule.
+
+    `df`: uncorrected axes with categories, title and content.
+    """
+    tiers = list(tiers)
+    before = tier_comparison(df, tiers, **names)
+    rows = []
+    for tier in tiers:
+        table = catalogue_table(apply_rules(df, tier=tier, **names), config)
+        final, _, _ = segment_labeled(label_table(table, build_tree(table, config), config), config)
+        figures = stats.pipeline_metrics(stats.segment_table(final, weight="n"))
+        rows.append(figures.withColumnRenamed("n_poor", "n_poor_after").withColumn("tier", F.lit(tier)))
+    return before.join(merge.union_all(rows), "tier")
+
+
 def best_variant(grid: DataFrame) -> DataFrame:
     """The variant with the highest purity; fewer segments, then the name break ties."""
     order = F.struct(F.col("purity"), -F.col("n_segments"))

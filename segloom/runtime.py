@@ -37,17 +37,13 @@ def shared_dir(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+    named = named or context.getCheckpointDir()
     if named:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(named)
         return named
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the executors")
-    own = context.getCheckpointDir()
-    if own is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="segloom-"))
-        own = context.getCheckpointDir()
-    return own
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="segloom-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

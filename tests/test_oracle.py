@@ -23,7 +23,7 @@ def test_same_rows(spark, sf, con, name):
     assert same, message
 
 
-SLOW = {"variant_grid", "catalogue_cells", "streamed_assignment", "forest_scores", "batch_assignment", "cluster_predictions", "k_sweep", "kmeans_best", "assigned_rows"}
+SLOW = {"tier_grid", "variant_grid", "catalogue_cells", "streamed_assignment", "forest_scores", "batch_assignment", "cluster_predictions", "k_sweep", "kmeans_best", "assigned_rows"}
 
 
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE) - SLOW - {"split_log"}))
