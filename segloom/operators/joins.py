@@ -7,7 +7,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segloom.config import CATEGORY_PREFIX  # noqa: F401  (re-exported for callers that build signals)
 from segloom.functions.text import all_signals, text_or_empty
 
 

@@ -11,7 +11,7 @@ from segloom.config import CELL, FOCUS_CELL, INFO_POOR_ID, INFO_POOR_KEY, SMALL_
 from segloom.functions.columns import cell_slug
 from segloom.functions.text import preview
 from segloom.operators.ranking import top_n_per_group
-from segloom.operators.stats import pipeline_metrics
+from segloom.operators.stats import catalogue_metrics
 from segloom.runtime import beside
 
 
@@ -35,7 +35,7 @@ def grade(segments: DataFrame, gates: Gates = Gates(), small_cells: Iterable[str
 
 def stop_check(graded: DataFrame, gates: Gates = Gates(), focus: str = FOCUS_CELL) -> DataFrame:
     """One row: the figures, the six gates and whether all of them hold."""
-    metrics = pipeline_metrics(graded, gates, focus)
+    metrics = catalogue_metrics(graded, gates, focus)
     op = F.col("segment_id") != INFO_POOR_ID
     counts = graded.agg(
         F.count_if(op & (cell_slug() == focus) & (F.col("grade") == "A")).alias("focus_a"),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segloom.config import AXES, CELL, DENSITY_AXES, HYBRID, KEY_AXES, MISSING, UNCLEAR_LIMITS, Gates
-from segloom.functions.columns import active, cell_slug, is_missing
+from segloom.functions.columns import active, cell_slug
 from segloom.functions.text import any_marker, full_text
 from segloom.operators.rules import PERM, PERM_EVIDENCE
 
@@ -185,7 +185,7 @@ def segment_rows(df: DataFrame, digits: int | None = None, **kw) -> DataFrame:
     )
 
 
-def pipeline_metrics(
+def catalogue_metrics(
     segments: DataFrame, gates: Gates = Gates(), focus: str | None = None, focus_total: int | None = None,
     catch_cells: Iterable[str] | None = None, segment: str = "segment_id",
 ) -> DataFrame:
@@ -370,6 +370,3 @@ def text_quality(df: DataFrame, by: str = "job_type", text: str = "text") -> Dat
         F.count("*").alias("n_rows"), F.count_if(length == 0).alias("n_empty"), F.max(length).alias("max_chars")
     )
 
-
-def missing_share(c: str) -> Column:
-    return F.avg(is_missing(c).cast("double"))

@@ -155,7 +155,7 @@ def variant_grid(df: DataFrame, configs: Mapping[str, SegmentConfig]) -> DataFra
         if weights not in trees:
             trees[weights] = build_tree(table, config)
         final, _, _ = segment_labeled(label_table(table, trees[weights], config), config)
-        figures = stats.pipeline_metrics(stats.segment_table(final, weight="n"))
+        figures = stats.catalogue_metrics(stats.segment_table(final, weight="n"))
         pure = stats.purity(final, weight="n").select("purity")
         rows.append(beside(figures, pure).withColumn("variant", F.lit(name)))
     return merge.union_all(rows)
@@ -172,7 +172,7 @@ def tier_grid(df: DataFrame, tiers: Iterable[str] = TIERS, config: SegmentConfig
     for tier in tiers:
         table = catalogue_table(apply_rules(df, tier=tier, **names), config)
         final, _, _ = segment_labeled(label_table(table, build_tree(table, config), config), config)
-        figures = stats.pipeline_metrics(stats.segment_table(final, weight="n"))
+        figures = stats.catalogue_metrics(stats.segment_table(final, weight="n"))
         rows.append(figures.withColumnRenamed("n_poor", "n_poor_after").withColumn("tier", F.lit(tier)))
     return before.join(merge.union_all(rows), "tier")
 

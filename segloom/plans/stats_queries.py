@@ -264,7 +264,7 @@ METRICS = """m AS (SELECT count(*) FILTER (segment_id <> -1) AS n_segments, CAST
 
 @query("catalogue_metrics", f"WITH {SEGMENTS}, {METRICS} SELECT * FROM m", ASSIGNED)
 def catalogue_metrics(spark, sf):
-    return S.pipeline_metrics(S.segment_table(V.assigned(spark, sf)))
+    return S.catalogue_metrics(S.segment_table(V.assigned(spark, sf)))
 
 
 @query(
@@ -273,7 +273,7 @@ def catalogue_metrics(spark, sf):
     ASSIGNED,
 )
 def catalogue_metrics_fixed_total(spark, sf):
-    out = S.pipeline_metrics(S.segment_table(V.assigned(spark, sf)), focus_total=4908)
+    out = S.catalogue_metrics(S.segment_table(V.assigned(spark, sf)), focus_total=4908)
     return out.select("n_segments", "focus_max", "focus_max_pct")
 
 

@@ -339,3 +339,15 @@ def test_density_clusters_of_two_groups(spark):
     assert label[("C", "v", "u")] == -1
     few = DN.density_clusters(df, ["a", "b", "c"], by=["g"], min_sizes={"c": 500})
     assert few.filter("cluster <> -1").count() == 0
+
+
+def test_key_similarity(spark):
+    df = spark.createDataFrame([(["a", "b"], ["a", "c", "b"]), (["a", "b", "c"], ["a", "b", "c"]), ([], ["a"])], "x array<string>, y array<string>")
+    assert [r[0] for r in df.select(MG.key_similarity("x", "y")).collect()] == [1, 3, 0]
+
+
+def test_absorbed_count(spark, sf):
+    rows = V.assigned(spark, sf)
+    out = MG.absorb_ambiguous(rows)
+    gained = out.filter("segment_id = -1").count() - rows.filter("segment_id = -1").count()
+    assert MG.absorbed_count(rows, out).first()["n_absorbed"] == gained
