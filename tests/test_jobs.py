@@ -283,3 +283,9 @@ def test_view_counts(spark, sf):
     rows = nested.select("job_type", F.explode("payment_groups").alias("g", "v")).select("job_type", "g", F.explode("v.segments").alias("s"))
     assert rows.filter("s.posts_shown > 2 OR size(s.posts) <> s.posts_shown").count() == 0
     assert rows.select(*["job_type", "g"]).distinct().count() == V.assigned(spark, sf).select(*CELL).distinct().count()
+
+
+def test_worker_functions_travel_with_the_job():
+    from pyspark import cloudpickle
+
+    assert "segloom" in cloudpickle.list_registry_pickle_by_value()
