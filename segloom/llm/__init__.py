@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("fingerprints", "chat", "lines")
+MODULES = ("fingerprints", "chat", "toxicity", "mixing", "lines")
 
 
 def load() -> tuple[dict, dict]:
