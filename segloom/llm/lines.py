@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segloom.llm.common import query, table
+from segloom.runtime import cut
 
 RATIO = 0.1
 MIN_PAGES = 10
@@ -104,4 +105,5 @@ FROM marked GROUP BY page_id, host
 def op10_line_dedup(spark, sf_dir):
     """Text of every page without its site's boilerplate lines."""
     pages = table(spark, sf_dir, "pages").select("page_id", url_host(F.col("url")).alias("host"), html_text(F.col("html")).alias("text"))
+    pages = cut(pages)  # markup is taken out once, and read back three times
     return drop_boilerplate(pages, "text", "host").select("page_id", "host", "text", "n_lines", "n_dropped")
