@@ -107,13 +107,15 @@ def likeness(a: Column, b: Column) -> Column:
 
 def edited_pairs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text, its key, the next document's key, and the text whose last quarter is the next document's beginning."""
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    own = own.withColumn("_key", row_key("doc_id", "text"))
-    order = own.select("doc_id", "_key", F.floor(F.length("text") / 4).alias("_take")).distinct()
-    order = cut(successors(order, ["doc_id", "_key"], ["_key", "_take"]).select("_key", "_take", "next__key", "prev__key", "prev__take"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    rows = rows.withColumn("_key", row_key("doc_id", "text"))
+    order = rows.select("doc_id", "_key", F.floor(F.length("text") / 4).alias("_take")).distinct()
+    order = cut(successors(order, ["doc_id", "_key"], ["_key", "_take"]).select("doc_id", "_key", "_take", "next__key", "prev__key", "prev__take"))
+    # Both joins deal out the same two columns by the same key, so texts are shuffled once.
+    own = rows.select("_key", "text")
     heads = own.join(order, "_key").select(F.col("prev__key").alias("_key"), F.substring("text", F.lit(1), F.col("prev__take").cast("int")).alias("_head"))
     heads = heads.groupBy("_key").agg(F.max("_head").alias("_head"))  # repeated rows send equal heads
-    joined = own.join(order.select("_key", F.col("next__key").alias("_next"), "_take"), "_key").join(heads, "_key")
+    joined = own.join(order.select("doc_id", "_key", F.col("next__key").alias("_next"), "_take"), "_key").join(heads, "_key")
     keep = F.substring("text", F.lit(1), (F.length("text") - F.col("_take")).cast("int"))
     return joined.select("doc_id", "text", "_key", "_next", F.concat(keep, F.col("_head")).alias("edited"))
 
