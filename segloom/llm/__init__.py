@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("fingerprints", "chat", "neardup", "toxicity", "mixing", "lines")
+MODULES = ("fingerprints", "pieces", "chat", "neardup", "toxicity", "mixing", "lines")
 
 
 def load() -> tuple[dict, dict]:
