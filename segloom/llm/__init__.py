@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("pii", "fingerprints", "pieces", "chat", "neardup", "toxicity", "mixing", "lines")
+MODULES = ("pii", "fingerprints", "pieces", "embeddings", "chat", "neardup", "toxicity", "mixing", "lines")
 
 
 def load() -> tuple[dict, dict]:

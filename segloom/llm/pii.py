@@ -177,6 +177,8 @@ def _variant(kind: int, body: str, turn: int) -> str:
     if kind == 2:
         digits = _digits(body)
         return (" / ", ".", "_", ", ")[turn % 4].join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    if turn % 4 == 2:
+        return re.sub(r"^\+[0-9]+[ .-]?", "", body)  # without the country
     return body.replace("+", ("", "00", "", "(0)")[turn % 4], 1).strip()
 
 
