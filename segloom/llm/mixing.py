@@ -178,7 +178,8 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     taken = mix(sizes, plan, **settings)
     runs = taken.groupBy("row", "key", "pass").agg(F.collect_list(F.struct("first", "words")).alias("_ranges"))
     # Repeated rows share a key and a text, so one of them stands for all.
-    rows = docs.withColumn("key", row_key("doc_id", "source", "text")).dropDuplicates(["key"]).join(runs.select("key", "_ranges"), "key")
+    whole = docs.select(F.struct("*").alias("_row"), row_key("doc_id", "source", "text").alias("key")).dropDuplicates(["key"])
+    rows = whole.join(runs.select("key", "_ranges"), "key")
 
     word = re.compile(WORD)
 
@@ -196,10 +197,11 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     def pieces(text: pd.Series, ranges: pd.Series) -> pd.Series:
         return pd.Series([cut_out(x, y) for x, y in zip(text, ranges, strict=True)])
 
-    done = rows.withColumn("text", F.explode(pieces("text", "_ranges")))
+    done = rows.select("_row", F.explode(pieces("_row.text", "_ranges")).alias("_text"))
+    out = {c: F.col("_row")[c] for c in docs.columns} | {"text": F.col("_text")}
     if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return done.select(*docs.columns)
+        out["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return done.select(*[v.alias(c) for c, v in out.items()])
 
 
 @query("op9_source_mixing")
