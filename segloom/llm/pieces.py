@@ -421,7 +421,9 @@ def decode(v: Vocabulary, ids) -> str:
     if v.shown is None:
         v.shown = _piece_bytes(v)
     text = b"".join(map(v.shown.__getitem__, ids)).decode("utf-8", "replace")
-    return text[1:] if v.prefix and text.startswith(" ") else text
+    # The mark put before every text, if the first id that shows anything has it.
+    first = next((i for i in ids if v.shown[i]), None)
+    return text[1:] if v.prefix and first is not None and v.pieces[first].startswith(MARK) else text
 
 
 _ENCODERS: dict[str, Encoder] = {}

@@ -25,7 +25,7 @@ def test_boundaries_and_exceptions():
     assert found("TR4SH! (clown)") == (5.0, 2)
 
 
-def made(spark, n=600):
+def made(spark, n=1500):
     rng = random.Random(8)
     bad = ["zorg", "blarf", "quux"]
     rows = []
@@ -34,7 +34,7 @@ def made(spark, n=600):
         toxic = i % 4 == 0
         if toxic:
             w.insert(rng.randrange(len(w)), rng.choice(bad).replace("o", rng.choice(["o", "0"])).upper())
-        elif i % 4 == 1:
+        elif i % 140 == 1:
             w[1:1] = ["zorg", "bay"]  # harmless together
         rows.append((i, " ".join(w), int(toxic)))
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
@@ -44,11 +44,11 @@ def made(spark, n=600):
 def test_held_out(spark):
     docs, labels, rows = made(spark)
     model = toxicity.fit(docs, labels)
-    assert set(model.weights) >= {"blarf", "quux"}
+    assert set(model.weights) == {"blarf", "quux", "zorg"} and "zorg bay" in model.exceptions
     got = {r.doc_id: r for r in toxicity.scored(docs, model).withColumn("h", toxicity.held_out()).collect()}
     assert all(r.h == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
     test = [(r.predicted, rows[i][2]) for i, r in got.items() if r.h]
-    assert sum(a == b for a, b in test) / len(test) > 0.9
+    assert sum(a == b for a, b in test) / len(test) > 0.98
 
 
 def test_held_out_labels_are_not_used(spark):
