@@ -73,8 +73,8 @@ def markers_found(text: Column, markers: Iterable[str], n: int = 4) -> Column:
 
 
 def matches(text: Column, pattern: str, ignore_case: bool = True) -> Column:
-    """Regex search with Unicode classes and word boundaries."""
-    return text.rlike(("(?iU)" if ignore_case else "(?U)") + pattern)
+    """Regex search with Unicode classes and word boundaries; `\\s` outside brackets also takes \\x1c to \\x1f."""
+    return text.rlike(("(?iU)" if ignore_case else "(?U)") + re.sub(r"(?<!\\)\\s(?![^\[]*\])", r"[\\s\\x1c-\\x1f]", pattern))
 
 
 def matches_phrases(text: Column, pattern: str, ignore_case: bool = True) -> Column:
@@ -127,7 +127,8 @@ def fence_body(c: str | Column) -> Column:
 
 @F.pandas_udf(StringType())
 def _first_object(texts: pd.Series) -> pd.Series:
-    decoder = json.JSONDecoder()
+    # NaN and the infinities become strings, so that the result is JSON for every reader.
+    decoder = json.JSONDecoder(parse_constant=str)
 
     def first(text):
         start = text.find("{") if text is not None else -1
@@ -142,21 +143,14 @@ def _first_object(texts: pd.Series) -> pd.Series:
     return texts.map(first)
 
 
-def flat_object(c: str | Column) -> Column:
-    """The first brace pair without nesting, if Spark can parse it as JSON."""
-    candidate = F.regexp_extract(c, "\\{[^{}]*\\}", 0)
-    return F.when(F.try_parse_json(candidate).isNotNull() & (candidate != ""), candidate)
-
-
 def extract_json_object(c: str | Column) -> Column:
-    """First decodable JSON object of a raw response, as text; NULL if there is none.
+    """First decodable JSON object of a raw response, in one form of text; NULL if there is none.
 
-    Texts with one pair of braces are settled by built-in functions. The others
-    (nested or several objects) need a scanning decoder, in Arrow batches.
+    One rule for all texts, flat or nested, one object or several: the first brace from which a
+    JSON object can be read. Of repeated keys the last one counts.
     """
     body = fence_body(c)
-    nested = F.length(F.regexp_replace(body, "[^{}]", "")) > 2
-    return F.when(nested, _first_object(F.when(nested, body))).otherwise(flat_object(body))
+    return _first_object(F.when(body.contains("{"), body))
 
 
 def repair_tail(c: str | Column) -> Column:

@@ -147,11 +147,14 @@ def compare_runs(runs: Mapping[str, DataFrame], axes: Iterable[str] = AXES, limi
     )
 
 
-def parse_success(df: DataFrame, by: str = "job_type", ok: str = "ok") -> DataFrame:
-    """Success counts per type and overall (`by` NULL)."""
+def parse_success(df: DataFrame, by: str = "job_type", ok: str = "ok", kind: str | None = None) -> DataFrame:
+    """Success counts per type and overall (`by` NULL); with `kind`, also per kind of post (each type's and all)."""
     good = F.coalesce(F.col(ok), F.lit(False))
-    out = df.groupBy(by).agg(F.count("*").alias("n"), F.count_if(good).alias("n_ok"))
-    out = out.groupingSets([[F.col(by)], []], by).agg(F.sum("n").alias("n_rows"), F.sum("n_ok").alias("n_ok"))
+    keys = [by, kind] if kind else [by]
+    out = df.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(good).alias("n_ok"))
+    sets = [[F.col(by)], []] + ([[F.col(by), F.col(kind)], [F.col(kind)]] if kind else [])
+    level = [F.grouping_id().alias("level")] if kind else []  # tells a total from a kind that is NULL
+    out = out.groupingSets(sets, *keys).agg(F.sum("n").alias("n_rows"), F.sum("n_ok").alias("n_ok"), *level)
     return out.withColumns(
         {"n_fail": F.col("n_rows") - F.col("n_ok"), "ok_pct": F.col("n_ok") * 100.0 / F.col("n_rows")}
     )

@@ -260,17 +260,16 @@ def markers_found(spark, sf):
 @query(
     "regex_rules",
     r"""SELECT id, CAST(regexp_matches(txt, '(?i)before\s*after') AS INT) AS before_after, CAST(regexp_matches(txt, '(?i)실내\s*촬영|야외\s*촬영') AS INT) AS shoot,
-        CAST(regexp_matches(txt, '(?i)\bthe\b') AS INT) AS the_word FROM v_rule_text""",
+        CAST(regexp_matches(txt, '(?i)(^|[^\p{L}\p{M}\p{N}_])the($|[^\p{L}\p{M}\p{N}_])') AS INT) AS the_word FROM v_rule_text""",
     ("v_rule_text",),
 )
 def regex_rules(spark, sf):
     text = X.full_text("title", "content")
-    # '[^\W]' neighbours outside ASCII count as word characters here; the word occurs between ASCII ones only
     return V.rule_text(spark, sf).select(
         "id",
         X.matches(text, r"before\s*after").cast("int").alias("before_after"),
         X.matches(text, r"실내\s*촬영|야외\s*촬영").cast("int").alias("shoot"),
-        text.rlike(r"(?i)\bthe\b").cast("int").alias("the_word"),
+        X.matches(text, r"\bthe\b").cast("int").alias("the_word"),
     )
 
 
@@ -284,9 +283,31 @@ def script_flags(spark, sf):
     return V.rule_text(spark, sf).select("id", X.has_hangul(text).cast("int").alias("hangul"), X.has_cjk(text).cast("int").alias("cjk"))
 
 
-@query("json_objects", f"SELECT id, json_extract_string({PARSED}, '$.k') AS k FROM v_responses", ("v_responses",))
+# Shapes that a response may have besides a flat object; the first object's last `k` counts.
+SHAPES = (
+    "raw_text",
+    "concat('{\"k\": 0, \"k\": ', v, '}')",
+    "concat('{\"a\": NaN, \"k\": ', v, ', \"b\": -Infinity}')",
+    "concat('x {bad} {\"n\": {\"m\": [1, {\"k\": -1}]}, \"k\": ', v, '} {\"k\": -2}')",
+    "concat('```JSON', chr(10), '{\"k\": ', v, ', \"t\": \"}{\"}', chr(10), '``` {\"k\": -3}')",
+    "concat('[1, 2, ', v, ']')",
+    "concat('{\"k\": ', v)",
+    "''",
+)
+
+
+@query(
+    "json_objects",
+    f"""SELECT id, CASE id % 8 WHEN 0 THEN json_extract_string({PARSED}, '$.k') WHEN 1 THEN v WHEN 2 THEN v WHEN 3 THEN v WHEN 4 THEN v END AS k
+        FROM (SELECT id, raw_text, regexp_extract(raw_text, '[0-9]+') AS v FROM v_responses)""",
+    ("v_responses",),
+)
 def json_objects(spark, sf):
-    return V.responses(spark, sf).select("id", F.get_json_object(X.extract_json_object("raw_text"), "$.k").alias("k"))
+    rows = V.responses(spark, sf).withColumn("v", F.regexp_extract("raw_text", "[0-9]+", 0))
+    shape = F.lit(None).cast("string")
+    for i, text in enumerate(SHAPES):
+        shape = F.when(F.col("id") % 8 == i, F.expr(text)).otherwise(shape)
+    return rows.select("id", F.get_json_object(X.extract_json_object(shape), "$.k").alias("k"))
 
 
 @query(

@@ -112,16 +112,19 @@ def unclear_limits(spark, sf):
 
 @query(
     "parse_success",
-    r"""SELECT t AS job_type, count(*) AS n_rows, count(*) FILTER (ok) AS n_ok, count(*) FILTER (NOT ok) AS n_fail, round(count(*) FILTER (ok) * 100.0::DOUBLE / count(*), 6) AS ok_pct
-        FROM (SELECT CAST(id % 3 AS VARCHAR) AS t, coalesce(json_valid(nullif(regexp_extract(raw_text, '\{[^{}]*\}'), '')), FALSE) AS ok FROM v_responses)
-        GROUP BY GROUPING SETS ((t), ())""",
+    r"""SELECT t AS job_type, k AS post_kind, grouping(t, k) AS level, count(*) AS n_rows, count(*) FILTER (ok) AS n_ok, count(*) FILTER (NOT ok) AS n_fail, round(count(*) FILTER (ok) * 100.0::DOUBLE / count(*), 6) AS ok_pct
+        FROM (SELECT CAST(id % 3 AS VARCHAR) AS t, CASE id % 5 WHEN 0 THEN '구인글' WHEN 1 THEN '지원글' END AS k, coalesce(json_valid(nullif(regexp_extract(raw_text, '\{[^{}]*\}'), '')), FALSE) AS ok FROM v_responses)
+        GROUP BY GROUPING SETS ((t), (), (t, k), (k))""",
     ("v_responses",),
 )
 def parse_success(spark, sf):
+    kind = F.col("id") % 5
     rows = V.responses(spark, sf).select(
-        (F.col("id") % 3).cast("string").alias("job_type"), X.extract_json_object("raw_text").isNotNull().alias("ok")
+        (F.col("id") % 3).cast("string").alias("job_type"),
+        F.when(kind == 0, "구인글").when(kind == 1, "지원글").alias("post_kind"),
+        X.extract_json_object("raw_text").isNotNull().alias("ok"),
     )
-    return rounded(S.parse_success(rows), "ok_pct")
+    return rounded(S.parse_success(rows, kind="post_kind"), "ok_pct")
 
 
 # --- signals: words of the title as keywords, the language as category ----------

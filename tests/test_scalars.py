@@ -93,6 +93,11 @@ def test_json_objects(spark):
         '{broken {"a": 1}': '{"a": 1}',
         '{"a": {"b": 1}': '{"b": 1}',
         '{"a": 1': None,
+        '{"a":1,"a":2}': '{"a": 2}',
+        '{"a":1,"a":{"b":2}}': '{"a": {"b": 2}}',
+        '{"a": NaN}': '{"a": "NaN"}',
+        'x {"a": NaN, "b": {}}': '{"a": "NaN", "b": {}}',
+        '{"a": [Infinity, -Infinity]}': '{"a": ["Infinity", "-Infinity"]}',
         "[1, 2]": None,
         "": None,
         None: None,
