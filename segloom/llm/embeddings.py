@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segloom.llm.common import query, table
-from segloom.llm.graph import components
+from segloom.llm.graph import components, forest
 from segloom.runtime import cut
 
 LIMIT = 0.93
@@ -153,7 +153,7 @@ def _links(lists: DataFrame, pivots: int, dims: int, limit: float, shared: int)
             total[left] += found @ count[right]
             total[right] += found.T @ count[left]
             i, j = np.nonzero(found)
-            links.append(_forest(i + left.start, j + right.start))
+            links.append(forest(i + left.start, j + right.start))
         pairs = np.concatenate(links) if links else np.zeros((0, 2), np.int64)
         some = np.flatnonzero(total)
         return pd.concat(
@@ -167,23 +167,6 @@ def _links(lists: DataFrame, pivots: int, dims: int, limit: float, shared: int)
     return dealt.groupBy("group").applyInPandas(run, "node long, partners long, a long, b long")
 
 
-def _forest(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Every end of a link with the smallest end it is connected with, which is fewer rows than there are ends."""
-    ends, back = np.unique(np.concatenate([i, j]), return_inverse=True)
-    i, j = back[: len(i)], back[len(i) :]
-    root = np.arange(len(ends))
-    while True:
-        new = root.copy()
-        np.minimum.at(new, i, root[j])
-        np.minimum.at(new, j, root[i])
-        new = new[new]
-        if (new == root).all():
-            break
-        root = new
-    moved = np.flatnonzero(root != np.arange(len(ends)))
-    return np.column_stack([ends[moved], ends[root[moved]]])
-
-
 def near_vectors(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label", limit: float = LIMIT, nearest: int = NEAREST, shared: int = SHARED) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row."""
     all_ = cut(described(rows, vec_id, embedding, label))

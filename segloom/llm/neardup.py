@@ -7,13 +7,16 @@ of minima after the other, and dropped as soon as the posterior probability
 (uniform prior) that its similarity reaches the limit falls below `MISS`;
 survivors are verified on their full sets.
 
-Candidates are not written out as all pairs of a band. In each round every
-class of a band that holds more than one component meets one partner of
-another component, and links join components. After `ROUNDS` rounds, what is
-still apart within a band is compared in blocks inside tasks, which give out
-only the pairs that pass the signature test. So a group of k near copies costs
-some k verifications, and every pair that shares a band is either compared or
-already connected.
+Candidates are not written out as all pairs of a band. In each of `ROUNDS` rounds
+every class of a band that holds more than one component meets one member of
+another component, and links join components. Then `BEST` rounds compare what is
+still apart within a band in blocks inside tasks, where each component keeps
+only its likeliest partner by the signatures. At last the blocks come with their
+full sets, every pair of different components that passes the signature test is
+verified where it stands (in the first band that it shares), and a task gives out
+what connects its classes, not its pairs. So a group of k near copies gives some
+k rows, and every pair that shares a band is either compared or already
+connected.
 
 Cases: null text is empty text; documents without words link with nothing and
 are components of their own; a null doc_id has the smallest doc_id of its group
@@ -33,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segloom.llm.common import query, table
-from segloom.llm.graph import components
+from segloom.llm.graph import components, forest
 from segloom.llm.textbytes import shingles
 from segloom.runtime import cut
 
@@ -41,9 +44,9 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 BATCH = 32
 MISS = 1e-6
-ROUNDS = 3
+ROUNDS, BEST = 2, 1
 BLOCK = 512
-_GROUP = 20_000  # rows that a task compares at once, about
+_GROUP = 24_000_000  # bytes that a task compares at once, about
 
 _MULT = np.random.default_rng(11).integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -82,17 +85,21 @@ def least_matches(percent: int, miss: float = MISS) -> list[int]:
     return out
 
 
-def passes(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
-    """Which rows of two signature matrices pass the sequential test."""
+def matching(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
+    """Matches of the rows of two signature matrices that pass the sequential test; -1 for others."""
     alive = np.arange(len(a))
     matches = np.zeros(len(a), np.int32)
     for i, need in enumerate(least):
         part = slice(i * BATCH, (i + 1) * BATCH)
         matches[alive] += (a[alive, part] == b[alive, part]).sum(1, dtype=np.int32)
         alive = alive[matches[alive] >= need]
-    keep = np.zeros(len(a), bool)
-    keep[alive] = True
-    return keep
+    out = np.full(len(a), -1, np.int32)
+    out[alive] = matches[alive]
+    return out
+
+
+def passes(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
+    return matching(a, b, least) >= 0
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -141,6 +148,14 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return made.dropDuplicates(["node"])
 
 
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets reach the limit."""
+    if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _verified(pairs: DataFrame, table_: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of nodes that reach the limit, as links."""
     least = least_matches(percent)
@@ -150,11 +165,7 @@ def _verified(pairs: DataFrame, table_: DataFrame, percent: int) -> DataFrame:
             if not len(batch):
                 continue
             batch = batch[passes(_matrix(batch["sa"]), _matrix(batch["sb"]), least)]
-            keep = []
-            for x, y in zip(batch["xa"], batch["xb"], strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)) else 0
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep = [alike(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(batch["xa"], batch["xb"], strict=True)]
             yield batch.loc[keep, ["a", "b"]] if keep else batch[["a", "b"]]
 
     left = table_.select(F.col("node").alias("a"), F.col("signature").alias("sa"), F.col("shingles").alias("xa"))
@@ -176,33 +187,61 @@ def _mixed(rows: DataFrame) -> DataFrame:
     return rows.join(ends.where("low.component < high.component"), "bucket")
 
 
-def _apart(rows: DataFrame, table_: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components within a bucket that pass the signature test, block against block."""
+def _likeliest(found: np.ndarray) -> np.ndarray:
+    """Of pairs (a, b, component of a, component of b, matches) each component's with most matches."""
+    ends = np.concatenate([found, found[:, [1, 0, 3, 2, 4]]])
+    ends = ends[np.lexsort([ends[:, 1], ends[:, 0], -ends[:, 4], ends[:, 2]])]
+    return ends[np.r_[True, ends[1:, 2] != ends[:-1, 2]]] if len(ends) else ends
+
+
+def _apart(rows: DataFrame, table_: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Pairs (a, b) of different components within a bucket, block against block.
+
+    With `best`, each component's likeliest partner by the signatures; else links that connect what the
+    verified pairs connect.
+    """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = rows.join(table_.select("node", "signature"), "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    carried = ["signature"] if best else ["signature", "shingles"]
+    dealt = rows.join(table_.select("node", *carried), "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    dealt = dealt.select("bucket", "node", "component", "signature", "block", other.alias("other"))
-    dealt = dealt.select("*", F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("part"), (F.col("block") == F.col("other")).alias("alone"))
-    groups = max(1, dealt.count() // _GROUP + 1)
+    dealt = dealt.select("bucket", "band", "node", "component", *carried, "block", other.alias("other"))
+    dealt = dealt.withColumn("part", F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")))
+    weight = F.lit(4 * HASHES) if best else F.length("shingles") + 4 * HASHES
+    groups = int((dealt.agg(F.sum(weight).alias("n")).first()["n"] or 0) // _GROUP + 1)
     least = least_matches(percent)
 
+    def pairs(s: int, e: int, block, sig, node, comp) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(i, j, matches) of rows s to e that pass: all pairs of one block, or those across two."""
+        one = block[s] == block[e - 1]
+        m = e if one else s + int(np.searchsorted(block[s:e], block[s], "right"))
+        j = np.arange(s, e) if one else np.arange(m, e)
+        for at in range(s, m, 128):
+            i = np.arange(at, min(m, at + 128))
+            apart = comp[i][:, None] != comp[j][None, :]
+            x, y = np.nonzero(apart & (node[i][:, None] < node[j][None, :]) if one else apart)
+            if len(x):
+                matches = matching(sig[i[x]], sig[j[y]], least)
+                ok = matches >= 0
+                yield i[x[ok]], j[y[ok]], matches[ok]
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        found = []
+        found = [np.zeros((0, 2), np.int64)]
         group = group.sort_values(["part", "block", "node"], ignore_index=True)
         sig, node, comp = _matrix(group["signature"]), group["node"].to_numpy(), group["component"].to_numpy()
-        block, part = group["block"].to_numpy(), group["part"].to_numpy()
+        block, part, band = group["block"].to_numpy(), group["part"].to_numpy(), group["band"].to_numpy()
+        sets = None if best else [np.frombuffer(x, np.uint64) for x in group["shingles"]]
         edges = np.flatnonzero(np.r_[True, part[1:] != part[:-1], True])
         for s, e in zip(edges[:-1], edges[1:], strict=True):
-            first = np.arange(s, e) if block[s] == block[e - 1] else np.arange(s, s + np.searchsorted(block[s:e], block[s], "right"))
-            for at in range(0, len(first), 128):
-                i = first[at : at + 128]
-                j = np.arange(s, e) if block[s] == block[e - 1] else np.arange(first[-1] + 1, e)
-                x, y = np.nonzero((comp[i][:, None] != comp[j][None, :]) & (node[i][:, None] < node[j][None, :] if block[s] == block[e - 1] else True))
-                if len(x):
-                    ok = passes(sig[i[x]], sig[j[y]], least)
-                    a, b = node[i[x[ok]]], node[j[y[ok]]]
-                    found.append(np.column_stack([np.minimum(a, b), np.maximum(a, b)]))
-        out = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+            for i, j, matches in pairs(s, e, block, sig, node, comp):
+                if best:
+                    found.append(_likeliest(np.column_stack([node[i], node[j], comp[i], comp[j], matches]))[:, :2])
+                elif len(i):
+                    same = (sig[i] == sig[j]).reshape(len(i), BANDS, ROWS).all(2)
+                    here = np.flatnonzero(same.argmax(1) == band[s])
+                    ok = [k for k in here if alike(sets[i[k]], sets[j[k]], percent)]
+                    tied = forest(i[ok], j[ok])
+                    found.append(np.column_stack([node[tied[:, 0]], node[tied[:, 1]]]))
+        out = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
         return pd.DataFrame(out, columns=["a", "b"])
 
     dealt = dealt.withColumn("group", F.pmod("part", F.lit(groups)))
@@ -215,7 +254,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     rows = cut(described(own, size))
     classes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"))
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("signature", b * (4 * ROWS) + 1, F.lit(4 * ROWS))))
-    banded = classes.select("node", F.explode(bands).alias("bucket"))
+    banded = classes.select("node", F.posexplode(bands).alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     buckets = cut(banded.join(shared, "bucket"))
     wanted = buckets.select("node").distinct()
@@ -230,8 +269,10 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
         pairs = pairs.select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct()
         new = cut(_verified(pairs, table_, percent))
         links = new if links is None else links.unionAll(new)
-    left = cut(_mixed(_labelled(buckets, links)).select("bucket", "node", "component", "size"))
-    links = links.unionAll(cut(_verified(_apart(left, table_, percent), table_, percent)))
+    for k in range(BEST + 1):
+        left = cut(_mixed(_labelled(buckets, links)).select("bucket", "band", "node", "component", "size"))
+        new = _apart(left, table_, percent, best=k < BEST)
+        links = links.unionAll(cut(_verified(new, table_, percent) if k < BEST else new))
 
     found = components(links)
     of_node = classes.select("node", "doc_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
