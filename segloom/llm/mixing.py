@@ -163,7 +163,7 @@ def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
 
 def mix(sizes: DataFrame, plan: pd.DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
     """Slots with what their blocks hold: shard, pass, number, block, doc_id, row, key, first, words."""
-    return slots(sizes.sparkSession, plan, shard, seed).join(packed_blocks(sizes, plan, block), ["number", "block"])
+    return slots(sizes.sparkSession, plan, shard, seed).hint("merge").join(packed_blocks(sizes, plan, block), ["number", "block"])
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
@@ -210,7 +210,8 @@ def op9_source_mixing(spark, sf_dir):
     sizes = sized(table(spark, sf_dir, "documents"))
     plan = source_plan(sizes)
     times = slots(spark, plan).groupBy("number", "block").agg(F.count("*").alias("times"))
-    taken = times.join(packed_blocks(sizes, plan), ["number", "block"]).groupBy("row").agg(F.sum(F.col("times") * F.col("words")).alias("taken"))
+    # Counts compress so well that their shuffle looks small enough for a broadcast; both sides grow with the words.
+    taken = times.hint("merge").join(packed_blocks(sizes, plan), ["number", "block"]).groupBy("row").agg(F.sum(F.col("times") * F.col("words")).alias("taken"))
     known = spark.createDataFrame([(s, int(n), float(t)) for s, n, t in zip(plan["source"], plan["source_size"], plan["target"], strict=True)], "name string, source_size long, target double")
     rows = sizes.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("name"))).join(taken, "row", "left")
     return rows.select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
