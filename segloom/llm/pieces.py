@@ -24,6 +24,7 @@ pass through (columns named as the added ones are replaced).
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 from segloom.llm.common import query, table
 
 MARK = "▁"
-_BATCH = 2_000_000  # characters
+_BATCH = 1_000_000  # characters
 _WORD = re.compile("▁+[^▁]*|[^▁]+")
 _KNOWN = 300_000  # words that are remembered between batches, about
 _NONE = np.int64(-1)
@@ -222,7 +223,8 @@ class Encoder:
         while size < self.longest:
             far = np.concatenate([rank[size:], np.zeros(size, np.uint64)])
             rank, size = _ranks(rank << np.uint64(32) | far), size * 2
-        order = np.argsort(rank[:n])
+        order = np.argsort(rank[:n]).astype(np.int32)
+        del rank
         columns = [four[order + k] for k in range(0, self.longest, 4)]
         wanted = _fours(self.rows)
         # Above a piece's occurrences: the same piece followed by the largest number.
@@ -230,8 +232,8 @@ class Encoder:
         above[np.arange(self.longest)[None, :] >= self.size[:, None]] = 0xFFFF
         low, high = _search(columns, wanted), _search(columns, _fours(above))
         count = high - low
-        piece = np.repeat(np.arange(len(count)), count)
-        at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+        piece = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        at = np.arange(int(count.sum()), dtype=np.int32) + np.repeat((low - np.cumsum(count) + count).astype(np.int32), count)
         return order[at], piece
 
     def _run(self, n: int) -> np.ndarray:
@@ -294,15 +296,16 @@ class Encoder:
         points = np.zeros(len(inside), np.uint32)
         points[inside] = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
         data = np.where(inside, self._numbers(points), 0).astype(np.uint16)
-        begin_of = np.repeat(begin, sizes + 1)
+        begin_of = np.repeat(begin.astype(np.int32), sizes + 1)
         start, piece = self._edges(data)
         # A character without a piece is an edge of its own.
         lone = inside.copy()
         lone[start[self.size[piece] == 1]] = False
-        alone = np.flatnonzero(lone)
+        alone = np.flatnonzero(lone).astype(np.int32)
         start = np.concatenate([start, alone])
-        ids = np.concatenate([self.v.order[piece], np.full(len(alone), _FREE)])
-        end = start + np.concatenate([self.size[piece], np.ones(len(alone), np.int64)])
+        ids = np.concatenate([self.v.order.astype(np.int32)[piece], np.full(len(alone), _FREE, np.int32)])
+        end = start + np.concatenate([self.size.astype(np.int32)[piece], np.ones(len(alone), np.int32)])
+        del piece
         step = end - begin_of[start]  # characters from the part's start
         by = np.argsort(step.astype(np.uint16) if len(step) and step.max() < 1 << 16 else step, kind="stable")
         start, ids, end, step = start[by], ids[by], end[by], step[by]
@@ -317,7 +320,7 @@ class Encoder:
             free = (before[rest] == _FREE) | (ids[s:e][rest] == _FREE)
             ok[rest[free]] = True
             rest = rest[~free]
-            ok[rest] = self.relation(before[rest], ids[s:e][rest])
+            ok[rest] = self.relation(before[rest], ids[s:e][rest].astype(np.int64))
             taken = np.flatnonzero(ok) + s
             last[end[taken]] = ids[taken]
             chosen[end[taken]] = start[taken]
@@ -350,17 +353,19 @@ class Encoder:
         return np.repeat(place, count), filled
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
-        """Ids of each text; the batch is cut by its characters."""
-        out: list[np.ndarray | None] = []
+        """Ids of each text."""
+        return [x for _, some in self.encode_some(texts) for x in some]
+
+    def encode_some(self, texts: list[str | None]) -> Iterator[tuple[slice, list[np.ndarray | None]]]:
+        """The same, some texts at a time: a batch is cut by its characters."""
         at = 0
         while at < len(texts):
             end, n = at, 0
             while end < len(texts) and (end == at or n + len(texts[end] or "") <= _BATCH):
                 n += len(texts[end] or "")
                 end += 1
-            out += self._encode_some(texts[at:end])
+            yield slice(at, end), self._encode_some(texts[at:end])
             at = end
-        return out
 
     def _encode_some(self, texts: list[str | None]) -> list[np.ndarray | None]:
         first = MARK if self.v.prefix else ""
@@ -444,7 +449,8 @@ def encoded(docs: DataFrame, text: str = "text", path: str | None = None) -> Dat
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tool = encoder(path)
         for batch in batches:
-            yield pd.Series(tool.encode(batch.tolist()), index=batch.index, dtype=object)
+            for _, ids in tool.encode_some(batch.tolist()):
+                yield pd.Series(ids, dtype=object)
 
     return docs.withColumn("ids", run(F.col(text)))
 
@@ -465,6 +471,25 @@ def decoded(rows: DataFrame, ids: str = "ids", path: str | None = None) -> DataF
 @query("op4_sentencepiece")
 def op4_sentencepiece(spark, sf_dir):
     """Ids of every document, and whether they decode to its text."""
+    path = default_model()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tool = encoder(path)
+        for batch in batches:
+            texts, doc_ids = batch["text"].tolist(), batch["doc_id"]
+            for at, ids in tool.encode_some(texts):
+                back = [None if x is None else decode(tool.v, x.tolist()) for x in ids]
+                digest = [None if t is None else hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in back]
+                yield pd.DataFrame(
+                    {
+                        "doc_id": doc_ids.iloc[at].to_numpy(),
+                        "n_ids": pd.array([None if x is None else len(x) for x in ids], dtype="Int64"),
+                        "ids": ids,
+                        "decoded_sha256": digest,
+                        "round_trip": [a == b for a, b in zip(back, texts[at], strict=True)],
+                    }
+                )
+
+    # Encoding and decoding in one worker: a task holds one vocabulary and some texts at a time.
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = decoded(encoded(docs))
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    return docs.mapInPandas(run, "doc_id long, n_ids long, ids array<int>, decoded_sha256 string, round_trip boolean")
