@@ -12,7 +12,7 @@ from segloom.functions.columns import job_type_norm, payment_group
 from segloom.operators.models import CellModels, assign
 from segloom.operators.ranking import queue
 from segloom.operators.rules import DEFAULT_TIER, apply_rules
-from segloom.runtime import cut
+from segloom.runtime import cut, sized
 from segloom.sources.sinks import merge_assignments
 
 
@@ -70,6 +70,11 @@ def failure_rows(results: DataFrame, key: str = "id") -> DataFrame:
     )
 
 
+def only(static: DataFrame, waiting: DataFrame, key: str = "id") -> DataFrame:
+    """Rows of a static table that the waiting ids need; the table is not shuffled for a short queue."""
+    return static.join(sized(waiting.select(key).distinct()), key, "left_semi")
+
+
 def batch_assign(
     table: DataFrame, categorised: DataFrame, attributes: DataFrame, models: CellModels, catalog: DataFrame,
     limit: int | None = 500, key: str = "id", write_back: bool = True,
@@ -78,9 +83,9 @@ def batch_assign(
 
     `categorised` gives the category list per id. `limit=None` takes the whole queue.
     """
-    waiting = queue(table, limit, key)
-    posts = waiting.select(key, "title", "content", "payment", "job_type").join(categorised.select(key, "categories"), key, "left")
-    results = cut(assign_postings(posts, attributes, models, catalog, key))
+    waiting = cut(queue(table, limit, key).select(key, "title", "content", "payment", "job_type"))
+    posts = waiting.join(only(categorised.select(key, "categories"), waiting, key), key, "left")
+    results = cut(assign_postings(posts, only(attributes, waiting, key), models, catalog, key))
     updates = update_rows(results, key)
     snapshot = merge_assignments(table, updates, key) if write_back else None
     return BatchResult(results, updates, failure_rows(results, key), snapshot)

@@ -142,8 +142,7 @@ def train_cells(
         position = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1
         encoder = fit_onehot(here, features)
         data = encode(balanced_weights(here, label), encoder, features).withColumn("label", position.cast("double"))
-        points = data.select("features", "label", "weight").coalesce(1) if _is_small(data) else data.select("features", "label", "weight")
-        return cell, encoder, forest(trees, depth, seed).fit(points), classes
+        return cell, encoder, forest(trees, depth, seed).fit(data.select("features", "label", "weight")), classes
 
     with ThreadPool(PARALLEL_FITS) as pool:
         for cell, encoder, model, classes in pool.map(fit, sorted(r["cell"] for r in decisions)):
@@ -152,10 +151,6 @@ def train_cells(
     return models, gate, held_out
 
 
-def _is_small(df: DataFrame, limit: int = 50_000) -> bool:
-    return df.limit(limit + 1).count() <= limit
-
-
 def confusion(pred: DataFrame, by: Sequence[str] = (), y: str = "segment_id", predicted: str = "predicted_id", weight: str | None = None) -> DataFrame:
     """Confusion counts in long form."""
     size = F.sum(weight) if weight else F.count("*")

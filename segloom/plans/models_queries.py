@@ -22,7 +22,7 @@ from segloom.streaming import assign_stream as ST
 CELLS = "job_type, payment_group"
 ASSIGNED = ("v_assigned",)
 LABELED = ("v_labeled",)
-TREES = 20
+_CLEAN: dict[tuple[str, str], tuple] = {}
 
 
 def assigned(spark, sf):
@@ -59,7 +59,7 @@ def cell_gates(spark, sf):
 @query("forest_scores")
 def forest_scores(spark, sf):
     """Held-out scores of one forest per cell on the noisy labels."""
-    _, _, held_out = MD.train_cells(frame(spark, sf), trees=TREES, depth=15)
+    _, _, held_out = MD.train_cells(frame(spark, sf))
     held_out = cut(held_out)
     scores = MD.score_summary(MD.class_report(MD.confusion(held_out, CELL, weight="n"), CELL), CELL)
     shares = MD.confidence_buckets(held_out, CELL, weight="n").drop("n")
@@ -114,13 +114,21 @@ def segment_catalog(spark, sf):
     return RP.segment_catalog(V.assigned(spark, sf))
 
 
-def clean_models(spark, sf, trees=TREES):
-    """Forests that reproduce the purpose classes, and their catalogue; photo cells of one group are left out."""
-    rows = V.lines(spark, sf).filter("job_type <> ''").withColumnRenamed("posting_id", "id")
-    rows = rows.withColumns({"segment_id": F.col("type_code"), "segment_key": F.concat(F.lit("class"), F.col("type_code"))})
-    rows = rows.filter("NOT (job_type = 'photo' AND payment_group = 'n3')")
-    models, _, _ = MD.train_cells(rows, trees=trees, depth=15)
-    return models, RP.segment_catalog(rows)
+def clean_models(spark, sf):
+    """Forests that reproduce the purpose classes, and their catalogue; photo cells of one group are left out.
+
+    Trained once in a session for each table; the queries that assign load the saved models.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CLEAN:
+        rows = V.lines(spark, sf).filter("job_type <> ''").withColumnRenamed("posting_id", "id")
+        rows = rows.withColumns({"segment_id": F.col("type_code"), "segment_key": F.concat(F.lit("class"), F.col("type_code"))})
+        rows = rows.filter("NOT (job_type = 'photo' AND payment_group = 'n3')")
+        models, _, _ = MD.train_cells(rows)
+        path = scratch_path(spark, "models")
+        models.save(spark, path)
+        _CLEAN[key] = (MD.CellModels.load(spark, path), cut(RP.segment_catalog(rows)))
+    return _CLEAN[key]
 
 
 @query("assigned_rows")
@@ -172,7 +180,7 @@ def text_split(spark, sf):
 def text_baseline_char(spark, sf):
     """Held-out scores of the character n-gram classifier on whole texts."""
     rows = text_split(spark, sf)
-    model = T.train_text_model(rows.filter("NOT is_test"), kind="char", balanced=True, max_iter=50)
+    model = T.train_text_model(rows.filter("NOT is_test"), kind="char", balanced=True)
     report = MD.class_report(MD.confusion(model.score(rows.filter("is_test")), (), "y"))
     return rounded(MD.score_summary(report), "accuracy", "macro_f1", "weighted_f1")
 
@@ -181,7 +189,7 @@ def text_baseline_char(spark, sf):
 def text_baseline_word(spark, sf):
     """Held-out scores of the word n-gram classifier on whole texts."""
     rows = text_split(spark, sf)
-    model = T.train_text_model(rows.filter("NOT is_test"), kind="word", balanced=False, max_iter=50)
+    model = T.train_text_model(rows.filter("NOT is_test"), kind="word", balanced=False)
     report = MD.class_report(MD.confusion(model.score(rows.filter("is_test")), (), "y"))
     return rounded(MD.score_summary(report), "accuracy", "macro_f1", "weighted_f1")
 
@@ -190,7 +198,7 @@ def text_baseline_word(spark, sf):
 def scored_texts(spark, sf):
     """Classes of all documents by a model of the labelled ones, with class names."""
     rows = V.texts(spark, sf)
-    model = T.train_text_model(rows, kind="word", balanced=False, max_iter=20)
+    model = T.train_text_model(rows, kind="word", balanced=False)
     names = rows.select(F.col("y").alias("segment_id")).distinct().withColumn("name", F.concat(F.lit("class "), F.col("segment_id")))
     scored = T.score_text(V.table(spark, sf, "documents").select("doc_id", "text"), model, names)
     return scored.select("doc_id", "predicted_id", "name", "confidence")

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,8 +49,27 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_SCOPE: ContextVar[str | None] = ContextVar("scope", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_SCOPE.get() or shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Tables cut inside go to one folder, which is removed at the end: for jobs that run again and again.
+
+    What the job gives back must be written (or collected) before the end.
+    """
+    path = scratch_path(spark, "scope")
+    token = _SCOPE.set(path)
+    try:
+        yield path
+    finally:
+        _SCOPE.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -61,14 +83,24 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Bytes on disk below which a table of few rows may be broadcast; columns of few rows can still be wide.
+BROADCAST_BYTES = 64 << 20
+
+
 def sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Cut `df`, and mark it for broadcast only if its row count is small."""
+    """Cut `df`, and mark it for broadcast only if its rows and its bytes are few."""
     table = cut(df)
-    return F.broadcast(table) if table.count() <= limit else table
+    return F.broadcast(table) if table.count() <= limit and written_bytes(table) <= BROADCAST_BYTES else table
+
+
+def written_bytes(table: DataFrame) -> int:
+    """Size of the files behind a table that was read from files."""
+    return int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def beside(rows: DataFrame, one_row: DataFrame) -> DataFrame:
     """Appends the columns of a single-row table (an ungrouped aggregate) to every row."""
     key = "_beside"
-    return rows.withColumn(key, F.lit(0)).join(F.broadcast(one_row.withColumn(key, F.lit(0))), key).drop(key)
-
+    # An aggregate with a constant key has one row whatever it is given; more rows are an error, not a broadcast.
+    single = one_row.withColumn(key, F.lit(0)).limit(2)
+    return rows.withColumn(key, F.lit(0)).join(F.broadcast(single), key).drop(key)

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from segloom.operators.assigning import assign_postings, failure_rows, update_rows
+from segloom.operators.assigning import assign_postings, failure_rows, only, update_rows
 from segloom.operators.models import CellModels
+from segloom.runtime import cut, scratch
+
+# The sink is dealt by a hash of the id, so that a batch reads the history of its own ids only.
+BUCKETS = 256
 
 
 def read_posting_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet", max_files: int | None = None) -> DataFrame:
@@ -19,16 +23,22 @@ def read_posting_stream(spark: SparkSession, path: str, schema, fmt: str = "parq
     return reader.load(path)
 
 
-def append_once(batch: DataFrame, path: str, batch_id: int) -> None:
-    """Write one micro-batch to its own folder; a replayed batch replaces itself."""
-    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def bucket_of(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def append_once(batch: DataFrame, path: str, batch_id: int, key: str = "id") -> None:
+    """Write one micro-batch to its own folders; a replayed batch replaces itself."""
+    dealt = batch.withColumns({"bucket": bucket_of(key), "batch_id": F.lit(batch_id)})
+    writer = dealt.repartition("bucket").write.partitionBy("bucket", "batch_id")
+    writer.option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
 def read_sink(spark: SparkSession, path: str, schema, key: str = "id") -> DataFrame:
     """Assigned rows, one per id: the earliest batch that saw it."""
     rows = spark.read.schema(schema).option("basePath", path).parquet(path)
     first = rows.groupBy(key).agg(F.min("batch_id").alias("_b"))
-    return rows.join(first, key).filter(F.col("batch_id") == F.col("_b")).drop("_b", "batch_id")
+    return rows.join(first, key).filter(F.col("batch_id") == F.col("_b")).drop("_b", "batch_id", "bucket")
 
 
 def assign_stream(
@@ -47,25 +57,27 @@ def assign_stream(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.dropDuplicates([key]).join(categorised.select(key, "categories"), key, "left")
-        done = known_ids(spark, sink, batch_id, key, dict(batch.dtypes)[key])
-        if done is not None:
-            rows = rows.join(done, key, "left_anti")
-        results = assign_postings(rows, attributes, models, catalog, key).persist()
-        append_once(update_rows(results, key), sink, batch_id)
-        append_once(failure_rows(results, key), f"{path}/failures", batch_id)
-        if after_batch:
-            after_batch(results, batch_id)
-        results.unpersist()
+        with scratch(spark):  # what a batch cuts is gone when it is written
+            rows = cut(batch.dropDuplicates([key]))
+            done = known_ids(spark, sink, batch_id, key, rows)
+            if done is not None:
+                rows = cut(rows.join(done, key, "left_anti"))
+            posts = rows.join(only(categorised.select(key, "categories"), rows, key), key, "left")
+            results = cut(assign_postings(posts, only(attributes, rows, key), models, catalog, key))
+            append_once(update_rows(results, key), sink, batch_id, key)
+            append_once(failure_rows(results, key), f"{path}/failures", batch_id, key)
+            if after_batch:
+                after_batch(results, batch_id)
 
     writer = postings.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def known_ids(spark: SparkSession, sink: str, batch_id: int, key: str, key_type: str) -> DataFrame | None:
-    """Ids in the sink from earlier batches; None before the first write."""
+def known_ids(spark: SparkSession, sink: str, batch_id: int, key: str, rows: DataFrame) -> DataFrame | None:
+    """Ids of `rows` in the sink from earlier batches; None before the first write. Only the buckets of these ids are read."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(sink)
     if not hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path):
         return None
-    rows = spark.read.schema(f"{key} {key_type}, batch_id int").option("basePath", sink).parquet(sink)
-    return rows.filter(F.col("batch_id") < batch_id).select(key)
+    buckets = [r[0] for r in rows.select(bucket_of(key)).distinct().collect()]  # at most BUCKETS
+    history = spark.read.schema(f"{key} {dict(rows.dtypes)[key]}, bucket int, batch_id int").option("basePath", sink).parquet(sink)
+    return history.filter(F.col("bucket").isin(*buckets) & (F.col("batch_id") < batch_id)).select(key) if buckets else None
