@@ -6,23 +6,20 @@ profiles with their counts as weights; a label per profile is a label per row.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segloom.config import CELL, MISSING
 from segloom.operators.blocks import BLOCK, over_block_pairs
 from segloom.operators.distance import onehot_square
-from segloom.operators.encoding import encode, fit_onehot
 from segloom.operators.stats import axis_counts, compress
 from segloom.runtime import cut
 
-PARALLEL_FITS = 8
-
 
 def silhouette_rows(
     points: DataFrame, by: Sequence[str], axes: Sequence[str], label: str = "cluster", drop_missing: bool = False, block: int = BLOCK
@@ -88,49 +85,158 @@ def calinski_harabasz(df: DataFrame, by: Sequence[str], axes: Sequence[str], lab
     return overall.join(within, by).select(*by, F.col("size").alias("n"), F.col("k"), score.alias("score"))
 
 
-def fit_labels(points: DataFrame, features: str, k: int, seed: int, max_iter: int = 300) -> DataFrame:
-    model = KMeans(featuresCol=features, predictionCol="cluster", k=k, seed=seed, weightCol="n", maxIter=max_iter).fit(points)
-    return model.transform(points)
+@dataclass
+class Runs:
+    """All runs (cell, k, seed) with their centres: runs x k x values numbers, whatever the rows."""
+
+    by: list[str]
+    axes: list[str]
+    slots: dict[tuple, dict[tuple[str, str], int]]  # per cell: (axis, value) -> place in a vector
+    runs: list[tuple[tuple, int, int]]
+    centres: list[np.ndarray]
+    drop_missing: bool
+
+    def vectors(self, rows: pd.DataFrame, cell: tuple) -> np.ndarray:
+        """One-hot vectors of a cell's rows; a value that has no place is a zero block."""
+        slots = self.slots[cell]
+        out = np.zeros((len(rows), len(slots)))
+        for axis in self.axes:
+            value = rows[axis].where(rows[axis].notna(), MISSING)
+            place = value.map(lambda v, axis=axis: slots.get((axis, v), -1)).to_numpy()
+            known = np.flatnonzero(place >= 0)
+            out[known, place[known]] = 1.0
+        return out
+
+    def of_cells(self, batch: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, np.ndarray, list[int]]]:
+        """(rows, vectors, numbers of the runs) of each cell in a batch."""
+        numbers: dict[tuple, list[int]] = {}
+        for i, (cell, _, _) in enumerate(self.runs):
+            numbers.setdefault(cell, []).append(i)
+        for cell, rows in batch.groupby(self.by, sort=False, dropna=False):
+            if cell in numbers:
+                yield rows, self.vectors(rows, cell), numbers[cell]
+
+
+def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of rows and centres."""
+    return np.maximum((x * x).sum(1)[:, None] - 2 * x @ centres.T + (centres * centres).sum(1)[None, :], 0.0)
+
+
+def _chance(pid: np.ndarray, run: int, seed: int, step: int) -> np.ndarray:
+    """A number in (0, 1) for each point, the same in every partitioning."""
+    x = pid.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((seed * 1_000_003 + step * 7919 + 17) % 2**63)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) / 2**53 + 2**-55
+
+
+def _seeded(points: DataFrame, state: Runs) -> None:
+    """k-means++ centres of all runs, one centre of each per pass.
+
+    The next centre is drawn with probability proportional to count x squared distance: it is the point with
+    the smallest exponential draw over that weight, which tasks find alone and a maximum joins.
+    """
+    step, want = 0, max((k for _, k, _ in state.runs), default=0)
+    while step < want:
+
+        def draw(batches: Iterator[pd.DataFrame], step=step) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                out = []
+                for rows, x, numbers in state.of_cells(batch):
+                    pid, n = rows["pid"].to_numpy(), rows["n"].to_numpy(float)
+                    for i in numbers:
+                        _, k, seed = state.runs[i]
+                        if step < k:
+                            weight = n * (_distances(x, state.centres[i]).min(1) if step else 1.0)
+                            key = np.where(weight > 0, np.log(np.maximum(weight, 1e-300)) - np.log(-np.log(_chance(pid, i, seed, step))), -np.inf)
+                            best = int(np.lexsort([pid, -key])[0])
+                            if np.isfinite(key[best]):
+                                out.append((i, float(key[best]), int(pid[best]), x[best].tolist()))
+                yield pd.DataFrame(out, columns=["run", "key", "pid", "point"])
+
+        found = points.mapInPandas(draw, "run int, key double, pid long, point array<double>")
+        best = found.groupBy("run").agg(F.max_by("point", F.struct("key", -F.col("pid"))).alias("point")).collect()  # a row per run
+        for r in best:
+            state.centres[r["run"]] = np.vstack([state.centres[r["run"]], np.array(r["point"])])
+        if not best:
+            break
+        step += 1
+
+
+def _moved(points: DataFrame, state: Runs, max_iter: int, tol: float = 1e-4) -> None:
+    """Lloyd's steps of all runs together until no centre moves; a run that has settled takes no more part."""
+    open_ = set(range(len(state.runs)))
+    for _ in range(max_iter):
+
+        def sums(batches: Iterator[pd.DataFrame], open_=frozenset(open_)) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                out = []
+                for rows, x, numbers in state.of_cells(batch):
+                    n = rows["n"].to_numpy(float)
+                    for i in numbers:
+                        if i in open_:
+                            nearest = _distances(x, state.centres[i]).argmin(1)
+                            own = np.zeros((len(rows), len(state.centres[i])))
+                            own[np.arange(len(rows)), nearest] = n
+                            out.append((i, np.column_stack([own.T @ x, own.sum(0)]).tobytes()))
+                yield pd.DataFrame(out, columns=["run", "sums"])
+
+        def total(rows: pd.DataFrame) -> pd.DataFrame:
+            whole = np.sum([np.frombuffer(r) for r in rows["sums"]], axis=0)
+            return pd.DataFrame({"run": rows["run"].iloc[:1], "sums": [whole.tobytes()]})
+
+        made = points.mapInPandas(sums, "run int, sums binary").groupBy("run").applyInPandas(total, "run int, sums binary").collect()
+        for r in made:
+            old = state.centres[r["run"]]
+            whole = np.frombuffer(r["sums"]).reshape(len(old), -1)
+            new = np.where(whole[:, -1:] > 0, whole[:, :-1] / np.maximum(whole[:, -1:], 1e-300), old)
+            state.centres[r["run"]] = new
+            if np.sqrt(((new - old) ** 2).sum(1)).max() <= tol:
+                open_.discard(r["run"])
+        if not open_ or not made:
+            break
 
 
 def kmeans_runs(profiles: DataFrame, axes: Sequence[str], runs: Iterable[tuple[tuple[str, ...], int, int]], by: Sequence[str] = CELL, drop_missing: bool = True, max_iter: int = 300) -> DataFrame | None:
-    """Labels of all runs (cell, k, seed); jobs of different runs overlap.
+    """Labels of all runs (cell, k, seed), fitted together: a pass over the profiles serves every run.
 
     A cell without explicit values, with k <= 1 or with fewer than 3 rows is one cluster.
     """
     by, axes = list(by), list(axes)
-    runs = list(runs)
+    runs = list(dict.fromkeys(runs))
+    if not runs:
+        return None
     sizes = {tuple(r[b] for b in by): r["rows"] for r in profiles.groupBy(*by).agg(F.sum("n").alias("rows")).collect()}
-    encoded: dict[tuple, DataFrame | None] = {}
-
-    def cell_points(cell):
-        here = profiles
-        for name, value in zip(by, cell):
-            here = here.filter(F.col(name) == value)
-        model = fit_onehot(here, axes, drop_missing)
-        return here, (encode(here, model, axes, drop_missing).cache() if model else None)
-
-    def one(run):
-        cell, k, seed = run
-        here, points = encoded[cell]
-        if k <= 1 or sizes[cell] < 3 or points is None:
-            labels = here.withColumn("cluster", F.lit(0))
-        else:
-            labels = fit_labels(points, "features", k, seed, max_iter)
-        return labels.select(*by, "pid", *axes, "n", F.col("cluster").cast("int").alias("cluster"), F.lit(k).alias("k"), F.lit(seed).alias("seed"))
-
-    with ThreadPool(PARALLEL_FITS) as pool:
-        cells = list(dict.fromkeys(r[0] for r in runs))
-        encoded.update(zip(cells, pool.map(cell_points, cells)))
-        parts = pool.map(one, runs)
-    out = None
-    for part in parts:
-        out = part if out is None else out.unionByName(part)
-    out = cut(out) if out is not None else None
-    for _, points in encoded.values():
-        if points is not None:
-            points.unpersist()
-    return out
+    values = F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.coalesce(F.col(a), F.lit(MISSING)).alias("value")) for a in axes]))
+    slots: dict[tuple, dict[tuple[str, str], int]] = {cell: {} for cell in sizes}
+    # The values of the axes, which bound the vectors.
+    for r in sorted(profiles.select(*by, values.alias("v")).select(*by, "v.*").distinct().collect()):
+        if not (drop_missing and r["value"] == MISSING):
+            own = slots[tuple(r[b] for b in by)]
+            own[r["axis"], r["value"]] = len(own)
+    plain = [(c, k, s) for c, k, s in runs if k <= 1 or sizes.get(c, 0) < 3 or not slots.get(c)]
+    fitted = [r for r in runs if r not in set(plain)]
+    state = Runs(by, axes, slots, fitted, [np.zeros((0, len(slots[c]))) for c, _, _ in fitted], drop_missing)
+    points = cut(profiles.select(*by, "pid", *axes, "n"))
+    if fitted:
+        _seeded(points, state)
+        _moved(points, state, max_iter)
+    types = dict(points.dtypes)
+    schema = ", ".join([f"{c} {types[c]}" for c in points.columns] + ["cluster int", "k int", "seed int"])
+
+    def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for rows, x, numbers in state.of_cells(batch):
+                for i in numbers:
+                    _, k, seed = state.runs[i]
+                    yield rows.assign(cluster=_distances(x, state.centres[i]).argmin(1), k=k, seed=seed)
+
+    out = points.mapInPandas(label, schema)
+    if plain:
+        listed = profiles.sparkSession.createDataFrame([(*c, k, s) for c, k, s in plain], ", ".join([*[f"{b} {types[b]}" for b in by], "k int, seed int"]))
+        alone = points.join(F.broadcast(listed), by).select(*points.columns, F.lit(0).alias("cluster"), "k", "seed")
+        out = out.unionByName(alone)
+    return cut(out)
 
 
 def score_runs(labels: DataFrame, axes: Sequence[str], by: Sequence[str] = CELL, drop_missing: bool = True) -> DataFrame:

@@ -221,12 +221,11 @@ def _cells(small):
 
 @query("kmeans_best")
 def kmeans_best(spark, sf):
-    """Best of two seeds per cell on three axes, with the cluster number that fits the cell."""
+    """Best of ten seeds per cell on three axes, with the cell's cluster number."""
     from segloom.config import K_CAP
 
     small = cell_profiles(spark, sf, CORE)
-    ks = {c: min(4, K_CAP["_".join(c)]) for c in _cells(small)}
-    best = K.kmeans_best(small, CORE, ks, n_seeds=2)
+    best = K.kmeans_best(small, CORE, {c: K_CAP["_".join(c)] for c in _cells(small)})
     return best.groupBy(*CELL, "cluster").agg(F.sum("n").alias("n"), F.round(F.max("silhouette"), 6).alias("silhouette"))
 
 
@@ -252,9 +251,13 @@ def silhouette(spark, sf):
 
 @query("k_sweep")
 def k_sweep(spark, sf):
-    """Silhouette and variance ratio for k = 3..5 in every cell, with the recommended k."""
+    """Silhouette and variance ratio for every k from 3 to the cell's cap, with the recommended k; a cell with the cap 1 has none."""
+    from segloom.config import K_CAP
+
     small = cell_profiles(spark, sf, CORE)
-    table = cut(K.k_sweep(small, CORE, {c: range(3, 6) for c in _cells(small)}, n_seeds=1))
+    caps = {c: K_CAP["_".join(c)] for c in _cells(small)}
+    ks = {c: range(min(3, cap), cap + 1) for c, cap in caps.items() if cap > 1}
+    table = cut(K.k_sweep(small, CORE, ks))
     chosen = K.recommend_k(table, CELL)
     best = K.sweep_choice(table)
     return rounded(table.join(chosen, [*CELL]).join(best, [*CELL]).withColumn("all_low", F.col("all_low").cast("int")), "silhouette", "ch", "best_silhouette")

@@ -129,13 +129,13 @@ def tier_comparison(spark, sf):
 
 @query("tier_grid")
 def tier_grid(spark, sf):
-    """Two tiers with the catalogue each of them leads to."""
+    """All tiers with the catalogue each of them leads to."""
     from segloom.functions.columns import job_type_norm, payment_group
     from segloom.plans.segment import tier_grid as grid
 
     cells = V.postings(spark, sf).select("id", job_type_norm("job_type").alias("job_type"), payment_group("payment").alias("payment_group"))
     rows = V.rule_text(spark, sf).join(cells, "id").withColumns({"career": F.lit(M), "continuity": F.lit(M)})
-    out = grid(rows, ("full", "tier1_only"))
+    out = grid(rows)
     return out.withColumns({"poor_pct": F.round("poor_pct", 6), "topic_missing_pct": F.round("topic_missing_pct", 6)})
 
 
