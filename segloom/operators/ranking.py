@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from segloom.config import CELL
 from segloom.functions.columns import active
-from segloom.runtime import sized
+from segloom.runtime import cut, sized
 
 BUCKET_BITS = 14
 
@@ -172,13 +172,13 @@ def split_train_test(df: DataFrame, label: str, by: Iterable[str] = (), key: str
     return mark_quota(rows, quotas, [*by, "_stratum"], key, seed, "is_test").drop("_stratum")
 
 
-def global_position(df: DataFrame, key: str, name: str = "position", width: int = 1_000_000) -> DataFrame:
-    """1-based position of each row in the order of its integer key.
+def global_position(df: DataFrame, key: str, name: str = "position") -> DataFrame:
+    """1-based position of each row in the order of its key, for keys of any spread.
 
-    Rows are ranked within key ranges of `width`; a range starts after the rows of
-    the lower ranges, so no task sees all rows. Ranges must hold unique keys.
+    Rows are dealt into ranges with sampled bounds, of about equal size; a range
+    starts after the rows of the lower ranges, so no task sees all rows.
     """
-    ranged = df.withColumn("_r", F.floor(F.col(key) / width))
+    ranged = cut(df.repartitionByRange(key).withColumn("_r", F.spark_partition_id()))
     sizes = ranged.groupBy("_r").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy(F.lit(1)).orderBy("_r")) - F.col("_n")  # a row per range
     offsets = sized(sizes.select("_r", before.alias("_before")))

@@ -33,9 +33,10 @@ def segment_index(df: DataFrame, by: Iterable[str] = CELL) -> DataFrame:
 
 
 def segment_view(df: DataFrame, posts: DataFrame | None = None, cap: int = 30, key: str = "id") -> DataFrame:
-    """One nested row per job type: payment group -> segment -> its first posts.
+    """One row per segment, with its cell and its first posts nested (texts, if `posts` has them).
 
-    Only `cap` ids per segment survive the ranking; texts are joined to those.
+    Only `cap` ids per segment survive the ranking; texts are joined to those. The levels above a
+    segment (job type, payment group) stay columns, so no row grows with the number of segments.
     """
     index = segment_index(df)
     first = top_n_per_group(df.select(*CELL, "segment_id", key), [*CELL, "segment_id"], [key], cap)
@@ -47,22 +48,11 @@ def segment_view(df: DataFrame, posts: DataFrame | None = None, cap: int = 30, k
     shown = first.groupBy(*CELL, "segment_id").agg(
         F.transform(F.sort_array(F.collect_list(record)), lambda x: x["post"]).alias("posts")
     )
-    segment = F.struct(
-        "segment_id", "segment_key", "grade", "merge_key", F.col("n").alias("post_count"), F.size("posts").alias("posts_shown"), "posts"
-    )
-    last = F.when(F.col("segment_id") == INFO_POOR_ID, 1).otherwise(0)
-    joined = index.join(shown, [*CELL, "segment_id"])
-    cells = joined.groupBy(*CELL).agg(
-        F.sum("n").alias("cell_count"),
-        F.transform(
-            F.sort_array(F.collect_list(F.struct(last.alias("o"), F.col("segment_id").alias("i"), segment.alias("s")))), lambda x: x["s"]
-        ).alias("segments"),
-    )
-    group = F.struct("payment_group", F.struct(F.concat_ws("_", "payment_group", "job_type").alias("cell_key"), "cell_count", "segments").alias("g"))
-    return cells.groupBy("job_type").agg(
-        F.lit(VERSION).alias("version"),
-        F.map_from_entries(F.sort_array(F.collect_list(group))).alias("payment_groups"),
-    )
+    cells = index.groupBy(*CELL).agg(F.sum("n").alias("cell_count"))
+    return index.join(shown, [*CELL, "segment_id"]).join(cells, [*CELL]).select(
+        *CELL, F.concat_ws("_", "payment_group", "job_type").alias("cell_key"), "cell_count", F.lit(VERSION).alias("version"),
+        "segment_id", "segment_key", "grade", "merge_key", F.col("n").alias("post_count"), F.size("posts").alias("posts_shown"), "posts",
+    )
 
 
 def segment_catalog(rows: DataFrame, by: Iterable[str] = CELL) -> DataFrame:

@@ -120,27 +120,40 @@ def move_examples(spark, sf):
 VIEW_KEYS = dominant_sql("(SELECT * FROM v_assigned WHERE segment_id <> -1)", CELLS + ", segment_id", KEY_AXES)
 
 
+def post_frame(spark, sf):
+    """Title, content and category of the document behind each posting."""
+    rows = V.assigned(spark, sf).select("posting_id", F.col("l_orderkey").alias("doc_id"))
+    documents = V.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    joined = rows.join(documents, "doc_id", "left")
+    return joined.select("posting_id", F.split("text", "\n")[0].alias("title"), F.col("text").alias("content"), F.array("lang").alias("categories"))
+
+
 @query(
     "segment_view",
     f"""WITH {SEGMENTS}, {GRADED}, mk AS (SELECT {CELLS}, segment_id, '(' || replace({key_sql()}, '|', ', ') || ')' AS merge_key FROM ({VIEW_KEYS})),
-        f AS (SELECT {CELLS}, segment_id, posting_id, row_number() OVER (PARTITION BY {CELLS}, segment_id ORDER BY posting_id) AS r FROM v_assigned QUALIFY r <= 30),
-        p AS (SELECT {CELLS}, segment_id, CAST(count(*) AS INT) AS posts_shown, string_agg(CAST(posting_id AS VARCHAR), ',' ORDER BY r) AS posts FROM f GROUP BY ALL)
+        f AS (SELECT {CELLS}, segment_id, posting_id, l_orderkey, row_number() OVER (PARTITION BY {CELLS}, segment_id ORDER BY posting_id) AS r FROM v_assigned QUALIFY r <= 30),
+        d AS (SELECT doc_id, lang, nullif(trim(string_split(text, chr(10))[1], e' \t\n\r'), '') AS t, nullif(trim(text, e' \t\n\r'), '') AS c FROM documents),
+        p AS (SELECT {CELLS}, segment_id, CAST(count(*) AS INT) AS posts_shown, string_agg(posting_id || ':' || coalesce(lang, '') || ':' || md5(concat_ws(chr(10), t, c)), ',' ORDER BY r) AS posts FROM f LEFT JOIN d ON doc_id = l_orderkey GROUP BY ALL)
         SELECT job_type, payment_group, payment_group || '_' || job_type AS cell_key, CAST(sum(n) OVER (PARTITION BY {CELLS}) AS BIGINT) AS cell_count, segment_id, segment_key, grade, merge_key, n AS post_count, posts_shown, posts
         FROM graded LEFT JOIN mk USING (job_type, payment_group, segment_id) JOIN p USING (job_type, payment_group, segment_id)""",
     ASSIGNED,
 )
 def segment_view(spark, sf):
-    """The nested view, flattened again."""
-    nested = RP.segment_view(V.assigned(spark, sf), cap=30, key="posting_id")
-    groups = nested.select("job_type", F.explode("payment_groups").alias("payment_group", "g"))
-    rows = groups.select(*CELL, "g.cell_key", "g.cell_count", F.explode("g.segments").alias("s"))
-    return rows.select(*CELL, "cell_key", "cell_count", "s.segment_id", "s.segment_key", "s.grade", "s.merge_key", "s.post_count", "s.posts_shown",
-        F.array_join(F.transform("s.posts", lambda p: p["id"].cast("string")), ",").alias("posts"))
+    """Segments with their first posts; the posts' texts as digests."""
+    rows = RP.segment_view(V.assigned(spark, sf), post_frame(spark, sf), cap=30, key="posting_id")
+    shown = F.transform("posts", lambda p: F.concat_ws(":", p["id"].cast("string"), F.coalesce(p["categories"][0], F.lit("")), F.md5(p["text"])))
+    return rows.drop("version").withColumn("posts", F.array_join(shown, ","))
 
 
 COUNTS = f"SELECT *, n / sum(n) OVER (PARTITION BY {CELLS}, segment_id, axis) AS share, row_number() OVER (PARTITION BY {CELLS}, segment_id, axis ORDER BY n DESC, value) AS rank FROM ({long_sql('v_assigned', CELLS + ', segment_id', AXES)})"
 
 
+# Shares are written with one digit, halves to the even one as Java's formatter does; counts that leave a half are settled by the exact share.
+_PCT = "format('{:,.1f}', round_even(share * 100, 1))"
+SHOWN = f"""string_agg(CASE WHEN rank = 1 AND value <> '불명확' AND share >= 0.7 THEN '**' || value || ': ' || {_PCT} || '%**' ELSE value || ': ' || {_PCT} || '%' END, ', ' ORDER BY rank) FILTER (rank <= 8)
+        || CASE WHEN count(*) > 8 THEN ', … (외 ' || (count(*) - 8) || '값)' ELSE '' END"""
+
+
 @query(
     "axis_distributions",
     f"""SELECT {CELLS}, segment_id, axis, count(*) FILTER (rank > 3) AS n_more, CAST(bool_or(rank = 1 AND value <> '불명확' AND share >= 0.7) AS INT) AS has_bold,
@@ -160,14 +173,21 @@ def axis_distributions(spark, sf):
         c AS (SELECT {CELLS}, sum(n) AS n, coalesce(sum(n) FILTER (segment_id = -1), 0) AS p, count(*) FILTER (segment_id <> -1) AS s FROM t GROUP BY ALL)
         SELECT {CELLS}, -2 AS segment_id, 0 AS part, '[' || job_type || ' x ' || payment_group || '] rows ' || n || ', info-poor ' || p || ', raw ' || s || ', segments ' || s AS line FROM c
         UNION ALL SELECT {CELLS}, segment_id, 1, 'segment ' || segment_id || ' ' || k || ': ' || n FROM t
-        UNION ALL SELECT {CELLS}, segment_id, 2, 'sources ' || segment_id || ':' || n FROM t WHERE segment_id <> -1""",
+        UNION ALL SELECT {CELLS}, segment_id, 2, 'sources ' || segment_id || ':' || n FROM t WHERE segment_id <> -1
+        UNION ALL SELECT {CELLS}, segment_id, 3, axis || ' ' || {SHOWN} FROM ({COUNTS}) GROUP BY {CELLS}, segment_id, axis""",
     ASSIGNED,
 )
 def report_lines(spark, sf):
-    return RP.report_lines(V.assigned(spark, sf)).filter("part < 3").select(*CELL, "segment_id", "part", "line")
+    return RP.report_lines(V.assigned(spark, sf)).select(*CELL, "segment_id", "part", "line")
 
 
-@query("written_report")
+@query(
+    "written_report",
+    f"""WITH t AS (SELECT DISTINCT {CELLS}, segment_id FROM v_assigned), x AS (SELECT count(*) AS n, count(*) FILTER (segment_id <> -1) AS s, count(DISTINCT ({CELLS})) AS c FROM t)
+        SELECT 'segment' AS word, n FROM x UNION ALL SELECT 'sources', s FROM x UNION ALL SELECT '[' || job_type, count(DISTINCT payment_group) FROM t GROUP BY job_type
+        UNION ALL SELECT axis, x.n FROM x, unnest([{', '.join(f"'{a}'" for a in AXES)}]) AS a(axis)""",
+    ASSIGNED,
+)
 def written_report(spark, sf):
     """The text report, written and read back: number of lines per first word."""
     from segloom.runtime import scratch_path

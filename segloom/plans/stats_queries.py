@@ -228,14 +228,15 @@ def representative_keywords(spark, sf):
 
 @query(
     "dimension_summary",
-    """SELECT p_size AS threshold, count(*) AS signal_count, CAST(count(*) FILTER (p_partkey % 2 = 0 AND p_partkey % 3 <> 0) AS INT) AS n_kept,
-       CAST(count(*) FILTER (NOT (p_partkey % 2 = 0 AND p_partkey % 3 <> 0)) AS INT) AS n_removed FROM part GROUP BY 1""",
+    """SELECT p_partkey // 20 AS threshold, count(*) AS signal_count, CAST(count(*) FILTER (kept) AS INT) AS n_kept, CAST(count(*) FILTER (NOT kept) AS INT) AS n_removed,
+       coalesce(string_agg(p_name, ',' ORDER BY p_partkey) FILTER (kept), '') AS kept_names FROM (SELECT *, p_partkey % 2 = 0 AND p_partkey % 3 <> 0 AS kept FROM part) GROUP BY 1""",
 )
 def dimension_summary(spark, sf):
     key = F.col("p_partkey")
-    item = F.struct(F.col("p_name").alias("name"), (key % 2 == 0).alias("is_useful"), (key % 3 == 0).alias("is_redundant"))
-    results = V.table(spark, sf, "part").groupBy(F.col("p_size").alias("threshold")).agg(F.count("*").alias("signal_count"), F.collect_list(item).alias("dimensions"))
-    return G.dimension_summary(results).drop("kept_names")
+    item = F.struct(key.alias("key"), F.col("p_name").alias("name"), (key % 2 == 0).alias("is_useful"), (key % 3 == 0).alias("is_redundant"))
+    # some twenty dimensions for a threshold, however large the table
+    results = V.table(spark, sf, "part").groupBy(F.floor(key / 20).alias("threshold"))
+    return G.dimension_summary(results.agg(F.count("*").alias("signal_count"), F.sort_array(F.collect_list(item)).alias("dimensions")))
 
 
 # --- segments -------------------------------------------------------------------
@@ -357,7 +358,8 @@ def cluster_profiles(spark, sf):
 @query(
     "profile_documents",
     f"""WITH c AS ({long_sql('v_labeled', 'raw_cluster_id', DOMAIN)}) SELECT raw_cluster_id, sum(n) FILTER (axis = 'career')::BIGINT AS size,
-        round(coalesce(sum(n) FILTER (value = 'senior'), 0) / sum(n) FILTER (axis = 'career'), 6) AS senior_share, 'any' AS career
+        round(coalesce(sum(n) FILTER (value = 'senior'), 0) / sum(n) FILTER (axis = 'career'), 6) AS senior_share,
+        arg_max(value, n) FILTER (axis = 'career') AS career
         FROM c GROUP BY 1""",
     LABELED,
 )
