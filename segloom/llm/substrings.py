@@ -10,9 +10,10 @@ one). Matches never cross documents, and are judged on the input.
    smallest string, so they can only meet among the parts of one such string, and
    parts whose string occurs once hold no repeated window.
 2. Equal parts enter once, with their first place; all windows of a later one are
-   repeated.
-3. The different parts of a string form a collection with the parts of other
-   strings. Its Burrows-Wheeler transform and common prefixes are built from the
+   repeated. The different parts of a string are cut in two, windows that begin far
+   before the string and the others, which have more bytes in common, and once more equal
+   ones enter once, and those that share theirs with no other stay out.
+3. What is left forms collections. A collection's Burrows-Wheeler transform and common prefixes are built from the
    parts' ends: each round inserts one symbol per part, at the place that the
    symbol's rank in the transform gives, and the common prefixes of its neighbours
    follow from the smallest one between equal symbols. Both are read from and written
@@ -21,10 +22,10 @@ one). Matches never cross documents, and are judged on the input.
 4. Runs of the suffix array with common prefixes of `length` or more are equal
    windows; all but the earliest are repeated.
 
-Collections are bounded (`COLLECTION` bytes). A string whose different parts would
-not fit (a phrase in a large share of all documents, with different
-surroundings) is dealt out further: its windows are parts of their own then,
-equal ones again entering once, so that no group grows with a hot phrase.
+Collections are bounded (`COLLECTION` bytes). Where too many different parts share a
+string (a phrase in a large share of all documents, with different
+surroundings), every window is a part of its own, equal ones again entering once,
+so that no group grows with a hot phrase.
 
 Cases: null text is empty text; texts shorter than `length` keep all; repeated
 rows (doc_id and text) are one document, given more than once; other rows of a
@@ -51,8 +52,8 @@ from segloom.runtime import cut
 LENGTH = 100
 MER = 32
 CHUNK = 60_000  # windows that are looked at together; below 2^16
-COLLECTION = 4_000_000  # bytes, about
-HOT = 8_000  # different parts of one string that are compared in one collection
+COLLECTION = 1_000_000  # bytes, about
+HOT = 4_000  # different parts of one string that are compared in one collection
 
 _TABLE = np.random.default_rng(23).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FORTH, _BACK = _powers(_BASE, CHUNK + 4 * LENGTH), _powers(_BASE_INVERSE, CHUNK + 4 * LENGTH)
@@ -68,8 +69,8 @@ def _hashes(total: np.ndarray, start: np.ndarray, size) -> np.ndarray:
     return mixed((total[start + size] - total[start]) * _BACK[start])
 
 
-def parts(data: np.ndarray, length: int = LENGTH, mer: int = MER) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start, windows, smallest string, digest) of a text's parts, in order."""
+def parts(data: np.ndarray, length: int = LENGTH, mer: int = MER) -> tuple[np.ndarray, ...]:
+    """(start, windows, smallest string's place from the start, its hash, digest) of a text's parts, in order."""
     found = []
     last = len(data) - length  # the last window's start
     for at in range(0, last + 1, CHUNK):
@@ -89,9 +90,10 @@ def parts(data: np.ndarray, length: int = LENGTH, mer: int = MER) -> tuple[np.nd
         count = np.diff(np.r_[start, windows])
         spans = count + length - 1
         digest = mixed(_hashes(total, start, spans) + spans.astype(np.uint64))
-        found.append((start + at, count, low[start] >> np.uint64(16), digest))
+        inner = (low[start] & np.uint64(0xFFFF)).astype(np.int64) - start
+        found.append((start + at, count, inner, low[start] >> np.uint64(16), digest))
     if not found:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -232,37 +234,50 @@ def covered(docs: DataFrame, length: int = LENGTH, mer: int = MER) -> DataFrame:
                 one = parts(np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8), length, mer)
                 rows.append(np.full(len(one[0]), row, np.int64))
                 found.append(one)
-            start, count, key, digest = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 4
-            yield pd.DataFrame({"key": key.view(np.int64), "digest": digest.view(np.int64), "row": np.concatenate(rows) if rows else start, "span": start << 8 | count})
+            start, count, inner, key, digest = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 5
+            yield pd.DataFrame({"key": key.view(np.int64), "digest": digest.view(np.int64), "row": np.concatenate(rows) if rows else start, "span": start << 16 | inner << 8 | count})
 
-    # A part's windows are fewer than 2^8, so start and number are one number.
+    # A part's place, its string's place in it and its windows (both below 2^8) are one number.
     cut_parts = docs.mapInPandas(cut_up, "key long, digest long, row long, span long")
     several = cut_parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     shared = cut(cut_parts.join(several.hint("shuffle_hash"), "key"))
-    place = F.struct("row", "span")
-    first = cut(shared.groupBy("key", "digest").agg(F.min(place).alias("first"), F.count("*").alias("n")))
-    begin = F.shiftright("span", 8)
+    first = cut(shared.groupBy("key", "digest").agg(F.min(F.struct("row", "span")).alias("first"), F.count("*").alias("n")))
     again = shared.join(first.where("n > 1").select("key", "digest", "first"), ["key", "digest"]).where((F.col("row") != F.col("first.row")) | (F.col("span") != F.col("first.span")))
+    begin = F.shiftright("span", 16)
     again = again.select("row", begin.alias("start"), (begin + F.col("span").bitwiseAND(255) + (length - 1)).alias("end"))
 
-    different = first.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    wanted = first.select("key", "first.*").join(different, "key").withColumn("hot", F.col("n") > HOT)
-    asked = wanted.groupBy("row").agg(F.collect_list(F.struct("key", "span", "hot")).alias("asked"))  # a document's own parts
+    different = first.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    wanted = first.select("key", "first.*").join(different, "key")
+    asked = wanted.groupBy("row").agg(F.collect_list("span").alias("asked"))  # a document's own parts
 
-    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The asked parts' bytes; of a hot string's parts every window's hash instead, as a key."""
+    def number(raw: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "big", signed=True)
+
+    half = (length - mer) // 2
+
+    def halves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The asked parts' bytes, cut in two by how far before the string a window begins."""
         for batch in batches:
             out = []
             for row, text, asked_ in zip(batch["row"], batch["text"], batch["asked"], strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
-                for one in asked_:
-                    begin_, count = one["span"] >> 8, one["span"] & 255
-                    if one["hot"]:
-                        windows = (hashlib.blake2b(raw[s : s + length], digest_size=8).digest() for s in range(begin_, begin_ + count))
-                        out += [(int.from_bytes(w, "big", signed=True), row, begin_ + i, None) for i, w in enumerate(windows)]
-                    else:
-                        out.append((one["key"], row, begin_, raw[begin_ : begin_ + count + length - 1]))
-            yield pd.DataFrame(out, columns=["key", "row", "start", "bytes"]).astype({"key": "int64", "row": "int64", "start": "int64"})
+                for span in asked_:
+                    begin_, inner, count = span >> 16, span >> 8 & 255, span & 255
+                    far = max(0, min(count, inner - half + 1))  # windows that begin `half` bytes or more before the string
+                    at = begin_ + inner
+                    for start, n, same in ((begin_, far, raw[at - half : at + mer]), (begin_ + far, count - far, raw[at : at + length - half + 1])):
+                        if n:
+                            bytes_ = raw[start : start + n + length - 1]
+                            out.append((number(same), number(bytes_), row, start, bytes_))
+            yield pd.DataFrame(out, columns=["key", "digest", "row", "start", "bytes"]).astype({"key": "int64", "digest": "int64", "row": "int64", "start": "int64"})
+
+    strings = cut(docs.join(asked, "row").mapInPandas(halves, "key long, digest long, row long, start long, bytes binary"))
+    once = strings.groupBy("key", "digest").agg(F.min(F.struct("row", "start", "bytes")).alias("first"), F.count("*").alias("n"))
+    once = cut(once.select("key", "digest", "first.*", "n"))
+    places = once.where("n > 1").select("key", "digest", F.col("row").alias("r"), F.col("start").alias("s"))
+    same = strings.join(places, ["key", "digest"]).where("row <> r OR start <> s").select("row", "start", (F.col("start") + F.length("bytes")).alias("end"))
+    crowd = once.groupBy("key").agg(F.count("*").alias("of_key")).where("of_key > 1")
+    unsettled = cut(once.select("key", "row", "start", "bytes").join(crowd, "key"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -283,15 +298,20 @@ def covered(docs: DataFrame, length: int = LENGTH, mer: int = MER) -> DataFrame:
             at = end
         return pd.DataFrame(out, columns=["row", "start", "end"]).astype("int64")
 
-    strings = cut(docs.join(asked, "row").mapInPandas(fetch, "key long, row long, start long, bytes binary"))
-    whole = strings.where("bytes IS NOT NULL")
+    whole = unsettled.where(F.col("of_key") <= HOT)
     groups = int((whole.agg(F.sum(F.length("bytes")).alias("n")).first()["n"] or 0) // COLLECTION + 1)
     compared = whole.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups))).groupBy("group").applyInPandas(compare, "row long, start long, end long")
 
-    windows = strings.where("bytes IS NULL").select("key", F.struct("row", "start").alias("place"))
-    firsts = windows.groupBy("key").agg(F.min("place").alias("first"))
-    later = windows.join(firsts, "key").where("place <> first").select("place.row", "place.start", (F.col("place.start") + length).alias("end"))
-    return again.unionAll(compared).unionAll(later)
+    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = [(number(b[i : i + length]), row, start + i) for row, start, b in zip(batch["row"], batch["start"], batch["bytes"], strict=True) for i in range(len(b) - length + 1)]
+            yield pd.DataFrame(out, columns=["key", "row", "start"]).astype("int64")
+
+    hot = unsettled.where(F.col("of_key") > HOT).select("row", "start", "bytes").mapInPandas(windows, "key long, row long, start long")
+    hot = hot.select("key", F.struct("row", "start").alias("place"))
+    firsts = hot.groupBy("key").agg(F.min("place").alias("first"))
+    later = hot.join(firsts, "key").where("place <> first").select("place.row", "place.start", (F.col("place.start") + length).alias("end"))
+    return again.unionAll(same).unionAll(compared).unionAll(later)
 
 
 def in_order(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
