@@ -219,6 +219,28 @@ def _runs(flags: np.ndarray, length: int) -> list[tuple[int, int]]:
     return [(int(a), int(b) - 1 + length) for a, b in zip(edges[0::2], edges[1::2], strict=True)]
 
 
+def _without_own_repeats(found: tuple[np.ndarray, ...], row: int, length: int) -> tuple[np.ndarray, ...]:
+    """Parts of a text without those that are equal to an earlier one of it; their stretches as rows without windows.
+
+    So a periodic text gives a few rows, not one for each of its bytes. A stretch's digest is its end, and its
+    key one of its own.
+    """
+    start, count, inner, key, digest = found
+    order = np.argsort(digest, kind="stable")
+    repeated = np.zeros(len(order), bool)
+    repeated[order[1:]] = digest[order][1:] == digest[order][:-1]
+    if not repeated.any():
+        return found
+    begin, end = start[repeated], start[repeated] + count[repeated] + length - 1
+    reach = np.maximum.accumulate(end)
+    new = np.flatnonzero(np.r_[True, begin[1:] > reach[:-1]])
+    begin, end = begin[new], np.r_[reach[new[1:] - 1], reach[-1:]]
+    none = np.zeros(len(begin), np.int64)
+    own = mixed(np.arange(len(begin), dtype=np.uint64) + np.uint64(row * 0x9E3779B97F4A7C15 % 2**64))
+    kept = [x[~repeated] for x in found]
+    return tuple(np.concatenate(x) for x in zip(kept, (begin, none, none, own, end.astype(np.uint64)), strict=True))
+
+
 _PLACE = 1 << 31  # bytes of a text at most, in a place number
 
 
@@ -231,16 +253,20 @@ def covered(docs: DataFrame, length: int = LENGTH, mer: int = MER) -> DataFrame:
         for batch in batches:
             rows, found = [], []
             for row, text in zip(batch["row"], batch["text"], strict=True):
-                one = parts(np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8), length, mer)
+                one = _without_own_repeats(parts(np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8), length, mer), row, length)
                 rows.append(np.full(len(one[0]), row, np.int64))
                 found.append(one)
             start, count, inner, key, digest = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 5
             yield pd.DataFrame({"key": key.view(np.int64), "digest": digest.view(np.int64), "row": np.concatenate(rows) if rows else start, "span": start << 16 | inner << 8 | count})
 
-    # A part's place, its string's place in it and its windows (both below 2^8) are one number.
+    # A part's place, its string's place in it and its windows (both below 2^8) are one number; no windows: a settled stretch.
     cut_parts = docs.mapInPandas(cut_up, "key long, digest long, row long, span long")
-    several = cut_parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    shared = cut(cut_parts.join(several.hint("shuffle_hash"), "key"))
+    windows_of = F.col("span").bitwiseAND(255)
+    several = cut_parts.groupBy("key").agg(F.count("*").alias("n"), F.min(windows_of).alias("least")).where("n > 1 OR least = 0")
+    # Written first, so that the join reads two shuffles and the rows of a hot string can be split.
+    found = cut(cut_parts.join(cut(several.select("key")).hint("shuffle_hash"), "key"))
+    settled = found.where(windows_of == 0).select("row", F.shiftright("span", 16).alias("start"), F.col("digest").alias("end"))
+    shared = found.where(windows_of > 0)
     first = cut(shared.groupBy("key", "digest").agg(F.min(F.struct("row", "span")).alias("first"), F.count("*").alias("n")))
     again = shared.join(first.where("n > 1").select("key", "digest", "first"), ["key", "digest"]).where((F.col("row") != F.col("first.row")) | (F.col("span") != F.col("first.span")))
     begin = F.shiftright("span", 16)
@@ -311,7 +337,7 @@ def covered(docs: DataFrame, length: int = LENGTH, mer: int = MER) -> DataFrame:
     hot = hot.select("key", F.struct("row", "start").alias("place"))
     firsts = hot.groupBy("key").agg(F.min("place").alias("first"))
     later = hot.join(firsts, "key").where("place <> first").select("place.row", "place.start", (F.col("place.start") + length).alias("end"))
-    return again.unionAll(same).unionAll(compared).unionAll(later)
+    return settled.unionAll(again).unionAll(same).unionAll(compared).unionAll(later)
 
 
 def in_order(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
