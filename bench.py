@@ -33,6 +33,12 @@ HEADLINE = (
     "assignment_diff",
     "segment_view",
     "batch_assignment",
+    "kmeans_best",
+    "k_sweep",
+    "keyword_clusters",
+    "density_clusters",
+    "tier_grid",
+    "text_baseline_word",
 )
 
 

@@ -73,17 +73,37 @@ UNCLEAR_LIMITS = {
     "career": 0.50,
     "continuity": 0.50,
 }
+GOWER_WEIGHTS = (1.0, 1.0, 3.0, 3.0, 0.0, 0.0)
+PARTIAL_DISTANCE = 0.35
+PARTIAL_WEIGHT = 0.5
+SIGNAL_SHARES = (0.003, 0.005, 0.01, 0.02, 0.03)
+
+
+@dataclass(frozen=True)
+class Gates:
+    """Limits of the grading and of the acceptance check."""
+
+    micro_n: int = 30
+    catch_all_pct: float = 40.0
+    a_min_n: int = 50
+    a_max_pct: float = 25.0
+    dominant: float = 0.70
+    focus_max_pct: float = 30.0
+    focus_a_min: int = 10
+    micro_max: int = 3
+    catch_all_max: int = 0
+    poor_max: int = 120
+    ab_pct_min: float = 75.0
+    low_confidence: float = 0.7
+
+
 # --- end of fixed values ----------------------------------------------------
 
 CELL = ("job_type", "payment_group")
 AXES = ("place", "purpose", "topic", "treatment", "career", "continuity")
 DENSITY_AXES = AXES[:4]
-CORE_AXES = ("place", "purpose", "treatment")
 # merge keys list the purpose first
 KEY_AXES = ("purpose", "place", "topic", "treatment", "career", "continuity")
-GOWER_WEIGHTS = (1.0, 1.0, 3.0, 3.0, 0.0, 0.0)
-PARTIAL_DISTANCE = 0.35
-PARTIAL_WEIGHT = 0.5
 
 
 @dataclass(frozen=True)
@@ -114,21 +134,3 @@ class SegmentConfig:
 DEFAULT_CONFIG = SegmentConfig()
 TUNED_CONFIG = SegmentConfig(cell_raw_k_scale=dict(TUNED_K_SCALE), min_segment_size=25)
 COARSE_CONFIG = SegmentConfig(coarse_merge=True)
-
-
-@dataclass(frozen=True)
-class Gates:
-    """Limits of the grading and of the acceptance check."""
-
-    micro_n: int = 30
-    catch_all_pct: float = 40.0
-    a_min_n: int = 50
-    a_max_pct: float = 25.0
-    dominant: float = 0.70
-    focus_max_pct: float = 30.0
-    focus_a_min: int = 10
-    micro_max: int = 3
-    catch_all_max: int = 0
-    poor_max: int = 120
-    ab_pct_min: float = 75.0
-    low_confidence: float = 0.7

@@ -7,12 +7,12 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from segloom.config import CATEGORY_PREFIX
+from segloom.config import CATEGORY_PREFIX, SIGNAL_SHARES
 from segloom.functions.columns import stripped
 from segloom.functions.text import DOMAINS, has_hangul
 from segloom.runtime import beside
 
-THRESHOLDS = (0.003, 0.005, 0.01, 0.02, 0.03)
+THRESHOLDS = SIGNAL_SHARES
 
 
 def explode_keywords(df: DataFrame, keep: Iterable[str], keywords: str = "keywords") -> DataFrame:

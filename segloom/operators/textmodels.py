@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from segloom.functions.columns import col
 from segloom.functions.text import WHITE_SPACE
 from segloom.operators.models import balanced_weights
-from segloom.runtime import sized
+from segloom.runtime import cut, sized
 
+# The number of terms that the known results rest on (a fixed value).
 VOCABULARY = 50_000
 
 
@@ -25,13 +26,14 @@ def char_ngrams(text: str | Column, sizes: Sequence[int] = (1, 2)) -> Column:
     """Character n-grams within words; words are padded with one space on each side."""
     words = F.filter(F.split(F.lower(F.coalesce(col(text), F.lit(""))), WHITE_SPACE), lambda w: w != "")
 
-    def pieces(padded: Column, n: int) -> Column:
+    def pieces(chars: Column, n: int) -> Column:
         # a padded word has at least 3 characters, so every size up to 3 fits
-        return F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i: F.substring(padded, i, F.lit(n)))
+        return F.transform(F.sequence(F.lit(1), F.size(chars) - (n - 1)), lambda i: F.array_join(F.slice(chars, i, n), ""))
 
     def grams(word: Column) -> Column:
-        padded = F.concat(F.lit(" "), word, F.lit(" "))
-        return F.concat(*[pieces(padded, n) for n in sizes])
+        # the word is taken apart once: a search for the i-th character of a text walks through all before it
+        chars = F.regexp_extract_all(F.concat(F.lit(" "), word, F.lit(" ")), F.lit("(?s)."), F.lit(0))
+        return F.element_at(F.transform(F.array(chars), lambda c: F.concat(*[c if n == 1 else pieces(c, n) for n in sizes])), 1)
 
     return F.flatten(F.transform(words, grams))
 
@@ -72,10 +74,11 @@ class TextModel:
 
 def train_text_model(
     train: DataFrame, label: str = "y", text: str = "text", kind: str = "char", balanced: bool = True, c: float = 1.0,
-    max_iter: int = 1000, vocabulary: int = VOCABULARY,
+    max_iter: int = 1000, *, vocabulary: int,
 ) -> TextModel:
     """TF-IDF (smoothed, +1, L2-normalised) and multinomial logistic regression.
 
+    Only the `vocabulary` commonest terms take part.
     The penalty equals 1 / (C * sum of weights) because Spark averages the loss.
     """
     classes = sorted(r[label] for r in train.select(label).distinct().collect())
@@ -84,7 +87,7 @@ def train_text_model(
     rows = balanced_weights(rows, "label") if balanced else rows.withColumn("weight", F.lit(1.0))
     rows = rows.select("grams", "label", "weight")
     counter = CountVectorizer(inputCol="grams", outputCol="_tf", vocabSize=vocabulary, minDF=1.0).fit(rows)
-    counted = counter.transform(rows).select("_tf", "label", "weight")
+    counted = cut(counter.transform(rows).select("_tf", "label", "weight"))  # read three times
     idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf.toArray() + 1.0
     weigher = PipelineModel(
         [

@@ -180,7 +180,7 @@ def text_split(spark, sf):
 def text_baseline_char(spark, sf):
     """Held-out scores of the character n-gram classifier on whole texts."""
     rows = text_split(spark, sf)
-    model = T.train_text_model(rows.filter("NOT is_test"), kind="char", balanced=True)
+    model = T.train_text_model(rows.filter("NOT is_test"), kind="char", balanced=True, vocabulary=T.VOCABULARY)
     report = MD.class_report(MD.confusion(model.score(rows.filter("is_test")), (), "y"))
     return rounded(MD.score_summary(report), "accuracy", "macro_f1", "weighted_f1")
 
@@ -189,7 +189,7 @@ def text_baseline_char(spark, sf):
 def text_baseline_word(spark, sf):
     """Held-out scores of the word n-gram classifier on whole texts."""
     rows = text_split(spark, sf)
-    model = T.train_text_model(rows.filter("NOT is_test"), kind="word", balanced=False)
+    model = T.train_text_model(rows.filter("NOT is_test"), kind="word", balanced=False, vocabulary=T.VOCABULARY)
     report = MD.class_report(MD.confusion(model.score(rows.filter("is_test")), (), "y"))
     return rounded(MD.score_summary(report), "accuracy", "macro_f1", "weighted_f1")
 
@@ -198,7 +198,7 @@ def text_baseline_word(spark, sf):
 def scored_texts(spark, sf):
     """Classes of all documents by a model of the labelled ones, with class names."""
     rows = V.texts(spark, sf)
-    model = T.train_text_model(rows, kind="word", balanced=False)
+    model = T.train_text_model(rows, kind="word", balanced=False, vocabulary=T.VOCABULARY)
     names = rows.select(F.col("y").alias("segment_id")).distinct().withColumn("name", F.concat(F.lit("class "), F.col("segment_id")))
     scored = T.score_text(V.table(spark, sf, "documents").select("doc_id", "text"), model, names)
     return scored.select("doc_id", "predicted_id", "name", "confidence")

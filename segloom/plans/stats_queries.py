@@ -12,6 +12,7 @@ from segloom.operators import signals as G
 from segloom.operators import stats as S
 from segloom.plans import views as V
 from segloom.plans.registry import query
+from segloom.runtime import cut
 
 M = MISSING
 LINES = ("v_lines",)
@@ -190,9 +191,9 @@ def occurrences(spark, sf):
     return G.explode_keywords(rows, ["id", "job_type"])
 
 
-def keyword_clusters(spark, sf):
+def keyword_clusters(found):
     code = F.ascii(F.lower(F.left("keyword", F.lit(1))))
-    return occurrences(spark, sf).select("keyword", code.alias("cluster_id")).distinct()
+    return found.select("keyword", code.alias("cluster_id")).distinct()
 
 
 @query(
@@ -210,7 +211,8 @@ def keyword_clusters(spark, sf):
 )
 def coverage_gates(spark, sf):
     posts = V.postings(spark, sf).select("id", F.col("lang").alias("job_type"))
-    out = G.coverage_gates(keyword_clusters(spark, sf), occurrences(spark, sf), posts)
+    found = cut(occurrences(spark, sf))  # the texts are taken apart once
+    out = G.coverage_gates(keyword_clusters(found), found, posts)
     return rounded(out, "max_keyword_share", "coverage", "spread").select(
         "cluster_id", "n_keywords", "max_keyword_share", "n_hit", "coverage", "spread", "verdict"
     )
@@ -223,7 +225,8 @@ def coverage_gates(spark, sf):
     POSTS,
 )
 def representative_keywords(spark, sf):
-    return G.representative_keywords(keyword_clusters(spark, sf), occurrences(spark, sf)).select("cluster_id", "keyword", "n", "rank")
+    found = cut(occurrences(spark, sf))
+    return G.representative_keywords(keyword_clusters(found), found).select("cluster_id", "keyword", "n", "rank")
 
 
 @query(

@@ -34,6 +34,10 @@ def _pick(key, values, default):
     return out
 
 
+# A line's id: 60 bits of these fields' digest, so that keys of any size keep apart.
+LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+
+
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """V1: one profile row per line item."""
     line = table(spark, sf, "lineitem").select(
@@ -44,7 +48,7 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
     nation = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf, "region")
     part = table(spark, sf, "part").select("p_partkey", "p_type", "p_size")
-    packed = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")
+    fields = F.concat_ws("-", *[F.col(c).cast("string") for c in LINE_KEY])
     kind = F.col("p_type")
     return (
         line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -53,7 +57,7 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
-            (packed * 10000 + F.col("l_suppkey")).alias("posting_id"),
+            F.conv(F.substring(F.md5(fields), 1, 15), 16, 10).cast("long").alias("posting_id"),
             "l_orderkey",
             "l_partkey",
             F.when(F.col("c_mktsegment") == "BUILDING", "model")
@@ -215,7 +219,7 @@ def _sql_pick(expr: str, values, default: str) -> str:
 
 VIEW_SQL = {
     "v_lines": f"""
-SELECT ((l.l_orderkey*8 + l.l_linenumber)*100000 + l.l_partkey)*10000 + l.l_suppkey AS posting_id, l.l_orderkey, l.l_partkey,
+SELECT ('0x' || substr(md5(concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_returnflag, l.l_linestatus)), 1, 15))::BIGINT AS posting_id, l.l_orderkey, l.l_partkey,
  CASE c.c_mktsegment WHEN 'BUILDING' THEN 'model' WHEN 'AUTOMOBILE' THEN 'beauty' WHEN 'MACHINERY' THEN 'photo' ELSE '' END AS job_type,
  CASE o.o_orderstatus WHEN 'F' THEN 'n2' WHEN 'O' THEN 'n3' ELSE 'pay' END AS payment_group,
  CASE l.l_returnflag WHEN 'N' THEN '{MISSING}' ELSE l.l_returnflag END AS place,

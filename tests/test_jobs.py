@@ -1,3 +1,6 @@
+from pathlib import Path
+from urllib.parse import urlparse
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +15,7 @@ from segloom.operators import textmodels as T
 from segloom.operators.joins import attach_categories, dedup_by_id
 from segloom.operators.typed import attribute_types, attribute_values
 from segloom.plans import views as V
-from segloom.runtime import cut, scratch_path
+from segloom.runtime import cut, scratch, scratch_path, shared_dir
 from segloom.sources import readers, sinks
 from segloom.streaming import assign_stream as ST
 
@@ -247,6 +250,14 @@ def test_stream_equals_batch(spark, fitted):
     wanted = batch.updates.select("id", "segment_id", F.round("segment_confidence", 5).alias("c"))
     assert streamed.count() == wanted.count() == streamed.select("id").distinct().count()
     assert streamed.exceptAll(wanted).count() == 0
+    # every batch has removed its intermediate tables
+    assert not list(Path(urlparse(shared_dir(spark)).path).glob("scope-*"))
+
+
+def test_scratch_is_removed(spark):
+    with scratch(spark) as path:
+        assert cut(spark.range(5)).count() == 5 and list(Path(urlparse(path).path).iterdir())
+    assert not Path(urlparse(path).path).exists()
 
 
 ST_SCHEMA = "id long, title string, content string, payment int, job_type string"
@@ -262,7 +273,7 @@ def test_text_models(spark):
     rows = [(i, "가나 다라 red apple" if i % 2 else "마바 사아 blue sky", i % 2 * 3) for i in range(30)]
     df = spark.createDataFrame(rows, "id long, text string, y int")
     for kind in ("char", "word"):
-        model = T.train_text_model(df, kind=kind, max_iter=20)
+        model = T.train_text_model(df, kind=kind, max_iter=20, vocabulary=T.VOCABULARY)
         scored = model.score(df)
         assert scored.filter("predicted_id <> y").count() == 0
         names = spark.createDataFrame([(3, "three")], "segment_id int, name string")
