@@ -47,15 +47,3 @@ def attribute_values(spark: SparkSession, schema: Mapping) -> DataFrame:
         for i, v in enumerate(a.get("values") or [])
     ]
     return spark.createDataFrame(rows, "job_type string, attr string, value string, ord int")
-
-
-def dimension_values(spark: SparkSession, schema: Mapping) -> DataFrame:
-    """(attr, value, ord, role) rows of a schema with dimensions and filter tags."""
-    rows = [
-        (str(a["name"]), str(v), i, role)
-        for role in ("dimensions", "filter_tags")
-        for a in schema.get(role) or []
-        if isinstance(a, dict) and a.get("name")
-        for i, v in enumerate(a.get("values") or [])
-    ]
-    return spark.createDataFrame(rows, "attr string, value string, ord int, role string")

@@ -8,37 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POSTING_SCHEMA = T.StructType(
-    [
-        T.StructField("id", T.LongType()),
-        T.StructField("title", T.StringType()),
-        T.StructField("content", T.StringType()),
-        T.StructField("job_type", T.StringType()),
-        T.StructField("payment", T.IntegerType()),
-        T.StructField("created_at", T.TimestampType()),
-        T.StructField("is_deleted", T.IntegerType()),
-        T.StructField("is_expired", T.IntegerType()),
-    ]
-)
-PHASE1_SCHEMA = (
-    "recruitId long, recruitType string, "
-    "llm_result struct<`글_유형`: string, `도메인`: string, keywords: array<string>>, ok boolean"
-)
-SIGNALS_SCHEMA = (
-    "recruitId long, payment_group string, payment int, categories array<string>, "
-    "keywords array<string>, all_signals array<string>, llm_domain string, ok boolean"
-)
-ATTRIBUTES_SCHEMA = (
-    "recruitId long, payment_group string, payment int, categories array<string>, "
-    "attributes map<string,string>, ok boolean"
-)
-EVIDENCE_SCHEMA = (
-    "recruitId long, recruitType string, attributes map<string,string>, evidence map<string,string>, ok boolean"
-)
-ASSIGNMENT_SCHEMA = (
-    "id long, job_type string, payment_group string, info_density int, density_label string, "
-    "raw_cluster_id int, segment_id int, segment_key string"
-)
 
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
