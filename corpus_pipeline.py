@@ -13,7 +13,6 @@ from segloom.llm import lines, mixing, neardup, pieces, toxicity
 from segloom.llm.common import table
 from segloom.runtime import cut
 
-#: A site here is a source, of some hundred documents at least; see lines.RATIO and lines.MIN_PAGES.
 SHINGLE, PERCENT = 5, 80
 
 
@@ -24,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that are boilerplate in their source; n_chars set anew."""
+    """All documents, without the lines that are boilerplate among the different texts of their source; n_chars set anew."""
     cleaned = lines.drop_boilerplate(docs, "text", "source")
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 

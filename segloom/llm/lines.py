@@ -5,8 +5,11 @@ Pages are grouped by site; a line on more than `ratio` of a site's pages, and on
 A line counts once per page, compared without blanks at its ends; blank lines
 count nowhere and stay.
 
+Equal texts of a site are one page, unless `copies` is set: a text that was
+copied often has no boilerplate for that.
+
 Cases: null text counts as a page without lines and stays null; null site is a
-site of its own; repeated rows are pages of their own; an empty table gives an
+site of its own; repeated rows stay as often as they come; an empty table gives an
 empty table; other columns of the rows pass through unchanged whatever their
 names (a column named like an added one is replaced).
 
@@ -31,13 +34,16 @@ def _key(site: Column, line: Column) -> Column:
     return F.xxhash64(site.isNull(), site, F.btrim(line, F.lit(" \t\r")))
 
 
-def boilerplate(df: DataFrame, text: str, site: str, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(df: DataFrame, text: str, site: str, ratio: float = RATIO, min_pages: int = MIN_PAGES, copies: bool = False) -> DataFrame:
     """Keys of the lines that go, one column `_line`."""
     pages = df.select(F.col(site).alias("_site"), F.col(text).alias("_text"))
-    named = F.xxhash64(F.col("_site").isNull(), "_site")
-    totals = pages.groupBy(named.alias("_host")).agg(F.count("*").alias("_pages"))
-    keys = F.array_distinct(F.transform(_lines(F.col("_text")), lambda x: _key(F.col("_site"), x)))
-    found = pages.select(named.alias("_host"), F.explode(keys).alias("_line"))
+    named = F.xxhash64(F.col("_site").isNull(), "_site").alias("_host")
+    same = F.xxhash64(F.col("_text").isNull(), "_text").alias("_same")
+    totals = pages.select(named) if copies else pages.select(named, same).distinct()
+    totals = totals.groupBy("_host").agg(F.count("*").alias("_pages"))
+    keys = F.array_distinct(F.transform(_lines(F.col("_text")), lambda x: _key(F.col("_site"), x))).alias("_keys")
+    found = pages.select(named, keys) if copies else pages.select(named, same, keys).groupBy("_host", "_same").agg(F.first("_keys").alias("_keys"))
+    found = found.select("_host", F.explode("_keys").alias("_line"))
     counts = found.groupBy("_host", "_line").agg(F.count("*").alias("_on")).where(F.col("_on") >= min_pages)
     return counts.join(totals, "_host").where(F.col("_on") > F.col("_pages") * F.lit(float(ratio))).select("_line")
 
@@ -47,12 +53,12 @@ def _lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\r")) != "")
 
 
-def drop_boilerplate(df: DataFrame, text: str = "text", site: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def drop_boilerplate(df: DataFrame, text: str = "text", site: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, copies: bool = False) -> DataFrame:
     """`df` with boilerplate lines removed from `text`, and `n_lines`, `n_dropped` (long) appended."""
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     pages = df.select(row.alias("_row"), F.col(site).alias("_site"), F.col(text).alias("_text"))
     pages = pages.withColumn("_page", F.xxhash64(F.col("_site").isNull(), "_site", "_text"))
-    gone = boilerplate(df, text, site, ratio, min_pages)
+    gone = boilerplate(df, text, site, ratio, min_pages, copies)
     keys = F.array_distinct(F.transform(_lines(F.col("_text")), lambda x: _key(F.col("_site"), x)))
     found = pages.select("_page", F.explode(keys).alias("_line")).join(gone, "_line", "left_semi")
     found = found.groupBy("_page").agg(F.collect_set("_line").alias("_gone"))  # at most a page's own lines
@@ -106,4 +112,4 @@ def op10_line_dedup(spark, sf_dir):
     """Text of every page without its site's boilerplate lines."""
     pages = table(spark, sf_dir, "pages").select("page_id", url_host(F.col("url")).alias("host"), html_text(F.col("html")).alias("text"))
     pages = cut(pages)  # markup is taken out once, and read back three times
-    return drop_boilerplate(pages, "text", "host").select("page_id", "host", "text", "n_lines", "n_dropped")
+    return drop_boilerplate(pages, "text", "host", copies=True).select("page_id", "host", "text", "n_lines", "n_dropped")

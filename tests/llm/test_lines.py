@@ -43,6 +43,16 @@ def test_hot_site(spark):
     assert got.where("site = 'hot' AND n_dropped = 1 AND text LIKE 'own%'").count() == 3000
 
 
+def test_copies_are_one_page(spark):
+    """Copies of a text are no reason to drop its lines; lines of other texts of the site still go."""
+    rows = [("s", "menu\ncopied one\ncopied two")] * 30 + [("s", f"menu\nown {i}") for i in range(70)]
+    df = rows_of(spark, [(s, t, None, None, None) for s, t in rows])
+    want = ["copied one\ncopied two"] * 30 + sorted(f"own {i}" for i in range(70))
+    assert sorted(r.text for r in drop_boilerplate(df, "text", "site").collect()) == want
+    each = drop_boilerplate(df, "text", "site", copies=True)
+    assert sorted(r.text for r in each.collect()) == [""] * 30 + want[30:]
+
+
 def test_empty(spark):
     assert drop_boilerplate(rows_of(spark, []), "text", "site").collect() == []
 

@@ -62,6 +62,16 @@ def test_stages_on_odd_rows(spark, docs, no_docs, clashing, rows, sf, tmp_path):
     assert {r[0] for r in rows if not (r[1] or "").split()} <= kept
 
 
+def test_copies_stay_once(spark, sf):
+    """A text that holds 30% of a source's rows leaves line dedup whole and near-dedup once."""
+    copied = "first line of the copied text\nsecond line of it"
+    rows = [(i, copied if i % 10 < 3 else f"own text number {i} with some words\nand line {i}", "en", "s", 0) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_copies(spark, corpus_pipeline.drop_boilerplate(spark, df, sf), sf).collect()
+    assert [r.doc_id for r in got if r.text == copied] == [0]
+    assert not [r for r in got if not r.text] and len(got) == 141
+
+
 def test_run(spark, sf):
     got = corpus_pipeline.run(spark, sf)
     assert got.count() > 100 and got.columns == ["doc_id", "source", "ids", "n_ids"]
