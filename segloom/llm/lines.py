@@ -27,7 +27,7 @@ from segloom.llm.common import query, table
 from segloom.runtime import cut
 
 RATIO = 0.1
-MIN_PAGES = 10
+MIN_PAGES = 2  # a line on one page is not repeated; what goes beyond that is the ratio's to decide
 
 
 def _key(site: Column, line: Column) -> Column:

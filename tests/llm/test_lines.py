@@ -43,6 +43,16 @@ def test_hot_site(spark):
     assert got.where("site = 'hot' AND n_dropped = 1 AND text LIKE 'own%'").count() == 3000
 
 
+def test_small_sites(spark):
+    """The ratio decides at any size; a line on a single page stays."""
+    rows = [("three", f"menu\nown {i}") for i in range(3)] + [("one", "menu\nown")] + [("forty", ("menu\n" if i < 5 else "rare\n" if i < 9 else "") + f"own {i}") for i in range(40)]
+    got = drop_boilerplate(rows_of(spark, [(s, t, None, None, None) for s, t in rows]), "text", "site").collect()
+    for site, texts in (("three", ["own 0", "own 1", "own 2"]), ("one", ["menu\nown"])):
+        assert sorted(r.text for r in got if r.site == site) == texts
+    assert sum("menu" in r.text for r in got if r.site == "forty") == 0  # 5 pages of 40
+    assert sum("rare" in r.text for r in got if r.site == "forty") == 4  # 4 pages of 40 are no more than a tenth
+
+
 def test_copies_are_one_page(spark):
     """Copies of a text are no reason to drop its lines; lines of other texts of the site still go."""
     rows = [("s", "menu\ncopied one\ncopied two")] * 30 + [("s", f"menu\nown {i}") for i in range(70)]
