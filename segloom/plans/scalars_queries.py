@@ -283,7 +283,7 @@ def script_flags(spark, sf):
     return V.rule_text(spark, sf).select("id", X.has_hangul(text).cast("int").alias("hangul"), X.has_cjk(text).cast("int").alias("cjk"))
 
 
-# Shapes that a response may have besides a flat object; the first object's last `k` counts.
+# Every response as it is, and in shapes that it may have besides; the first object's last `k` counts.
 SHAPES = (
     "raw_text",
     "concat('{\"k\": 0, \"k\": ', v, '}')",
@@ -298,16 +298,14 @@ SHAPES = (
 
 @query(
     "json_objects",
-    f"""SELECT id, CASE id % 8 WHEN 0 THEN json_extract_string({PARSED}, '$.k') WHEN 1 THEN v WHEN 2 THEN v WHEN 3 THEN v WHEN 4 THEN v END AS k
-        FROM (SELECT id, raw_text, regexp_extract(raw_text, '[0-9]+') AS v FROM v_responses)""",
+    f"""SELECT id, shape, CASE shape WHEN 0 THEN json_extract_string({PARSED}, '$.k') WHEN 1 THEN v WHEN 2 THEN v WHEN 3 THEN v WHEN 4 THEN v END AS k
+        FROM (SELECT id, raw_text, regexp_extract(raw_text, '[0-9]+') AS v FROM v_responses), (SELECT CAST(unnest(range({len(SHAPES)})) AS INT) AS shape)""",
     ("v_responses",),
 )
 def json_objects(spark, sf):
     rows = V.responses(spark, sf).withColumn("v", F.regexp_extract("raw_text", "[0-9]+", 0))
-    shape = F.lit(None).cast("string")
-    for i, text in enumerate(SHAPES):
-        shape = F.when(F.col("id") % 8 == i, F.expr(text)).otherwise(shape)
-    return rows.select("id", F.get_json_object(X.extract_json_object(shape), "$.k").alias("k"))
+    rows = rows.select("id", F.posexplode(F.array(*[F.expr(text) for text in SHAPES])).alias("shape", "text"))
+    return rows.select("id", "shape", F.get_json_object(X.extract_json_object("text"), "$.k").alias("k"))
 
 
 @query(

@@ -106,6 +106,20 @@ def test_json_objects(spark):
     assert got == list(cases.values())
 
 
+def test_json_objects_of_every_response(spark, tmp_path):
+    """Fenced, surrounded, bare and truncated responses, each as it is and in all shapes."""
+    from segloom.plans.scalars_queries import json_objects
+
+    events = [(i, '{"k": %d}' % (i + 10)) for i in range(16)]
+    spark.createDataFrame(events, "event_id long, props string").write.parquet(str(tmp_path / "events.parquet"))
+    want = []
+    for i in range(16):
+        k = str(i + 10)
+        want += [(i, 0, None if i % 4 == 3 else k), *[(i, n, k) for n in (1, 2, 3, 4)], *[(i, n, None) for n in (5, 6, 7)]]
+    got = json_objects(spark, str(tmp_path))
+    assert sorted((r.id, r.shape, r.k) for r in got.collect()) == want
+
+
 def test_repair(spark):
     assert results(column(spark, ['{"k": [1]] ', '{"k": [1]}']), X.repair_tail("v")) == ['{"k": [1]}', '{"k": [1]}']
 
