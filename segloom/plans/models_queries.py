@@ -31,13 +31,13 @@ def assigned(spark, sf):
 
 def frame(spark, sf):
     rows = assigned(spark, sf)
-    attributes = V.lines(spark, sf).filter("l_orderkey % 7 <> 0").withColumnRenamed("posting_id", "id")
+    attributes = V.lines(spark, sf).withColumnRenamed("posting_id", "id")
     return MD.training_frame(rows, attributes)
 
 
 @query(
     "training_frame",
-    "SELECT posting_id AS id, job_type, payment_group, segment_id, segment_key, place, purpose, topic, treatment, career, continuity FROM v_assigned WHERE segment_id <> -1 AND l_orderkey % 7 <> 0",
+    "SELECT posting_id AS id, job_type, payment_group, segment_id, segment_key, place, purpose, topic, treatment, career, continuity FROM v_assigned WHERE segment_id <> -1",
     ASSIGNED,
 )
 def training_frame(spark, sf):

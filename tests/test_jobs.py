@@ -300,3 +300,14 @@ def test_worker_functions_travel_with_the_job():
     from pyspark import cloudpickle
 
     assert "segloom" in cloudpickle.list_registry_pickle_by_value()
+
+
+def test_training_frame_has_every_labelled_row(spark, sf):
+    """No order is left out; an id without attributes has no row, an attribute that is null is the sentinel."""
+    from segloom.plans.models_queries import frame
+
+    labelled = V.assigned(spark, sf).filter("segment_id <> -1").select("posting_id")
+    assert {r.id for r in frame(spark, sf).select("id").collect()} == {r.posting_id for r in labelled.collect()}
+    rows = spark.createDataFrame([(1, "a", "n2", 0, "s"), (2, "a", "n2", 0, "s"), (3, "a", "n2", -1, "s")], "id int, job_type string, payment_group string, segment_id int, segment_key string")
+    attributes = spark.createDataFrame([(1, "x", None), (3, "x", "y"), (4, "x", "y")], "id int, place string, topic string")
+    assert [(r.id, r.place, r.topic) for r in MD.training_frame(rows, attributes, ["place", "topic"]).collect()] == [(1, "x", MISSING)]
