@@ -29,9 +29,8 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies; all documents without words."""
-    kept = neardup.near_classes(docs, size=SHINGLE, percent=PERCENT).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """One row of each group of near copies, with its smallest doc_id; all documents without words."""
+    return neardup.survivors(docs, size=SHINGLE, percent=PERCENT)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,6 +22,8 @@ Cases: null text is empty text; documents without words link with nothing and
 are components of their own; a null doc_id has the smallest doc_id of its group
 as its component, or null; rows that repeat a doc_id with other texts are
 compared each; an empty table gives an empty table; other columns are ignored.
+`survivors` gives whole rows, one of each group whatever its doc_ids are, and
+all rows without words.
 """
 
 from __future__ import annotations
@@ -35,10 +37,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segloom.llm.common import query, table
+from segloom.llm.common import query, row_key, table
 from segloom.llm.graph import components, forest
 from segloom.llm.textbytes import shingles
-from segloom.runtime import cut
+from segloom.runtime import cut, sized
 
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
@@ -107,7 +109,7 @@ def _matrix(column: pd.Series) -> np.ndarray:
 
 
 def described(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, node, signature): node stands for the set, null for an empty one."""
+    """(_key, doc_id, n_shingles, node, signature): node stands for the set, null for an empty one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -118,6 +120,7 @@ def described(docs: DataFrame, size: int) -> DataFrame:
                 nodes = [_node(s) if len(s) else None for s in sets]
                 yield pd.DataFrame(
                     {
+                        "_key": part["_key"].to_numpy(),
                         "doc_id": part["doc_id"].to_numpy(),
                         "n_shingles": [len(s) for s in sets],
                         "node": pd.array(nodes, dtype="Int64"),
@@ -126,7 +129,7 @@ def described(docs: DataFrame, size: int) -> DataFrame:
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInPandas(run, f"doc_id {kind}, n_shingles long, node long, signature binary")
+    return docs.mapInPandas(run, f"_key long, doc_id {kind}, n_shingles long, node long, signature binary")
 
 
 def _node(shingle_set: np.ndarray) -> int:
@@ -134,8 +137,8 @@ def _node(shingle_set: np.ndarray) -> int:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of the documents in `wanted` (doc_id, node), one per node."""
-    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    """(node, shingles) of the rows whose `_key` is in `wanted`, one per node."""
+    texts = docs.join(wanted.select("_key"), "_key", "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -144,7 +147,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 yield pd.DataFrame({"node": [_node(s) for s in found], "shingles": [s.tobytes() for s in found]}).astype({"node": "int64", "shingles": object})
 
     made = texts.select("text").mapInPandas(run, "node long, shingles binary")
-    # A repeated doc_id may bring the same set, or one that nobody asked for.
+    # A repeated row brings the same set.
     return made.dropDuplicates(["node"])
 
 
@@ -248,18 +251,22 @@ def _apart(rows: DataFrame, table_: DataFrame, percent: int, best: bool) -> Data
     return dealt.groupBy("group").applyInPandas(run, "a long, b long").distinct()
 
 
-def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row."""
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+def _grouped(own: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows as `described` gives them, and (node, _key, doc_id, component) of all nodes, of `own` (_key, doc_id, text).
+
+    A node's `_key` is that of its row with the smallest doc_id, its doc_id the smallest or null.
+    """
     rows = cut(described(own, size))
-    classes = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key")).alias("first")
+    classes = rows.where("node IS NOT NULL").groupBy("node").agg(first, F.first("signature").alias("signature"))
+    classes = classes.select("node", "first._key", "first.doc_id", "signature")
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("signature", b * (4 * ROWS) + 1, F.lit(4 * ROWS))))
     banded = classes.select("node", F.posexplode(bands).alias("band", "bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     buckets = cut(banded.join(shared, "bucket"))
     wanted = buckets.select("node").distinct()
     named = classes.join(wanted, "node", "left_semi")
-    table_ = cut(named.join(_sets(own, named.where("doc_id IS NOT NULL"), size), "node"))
+    table_ = cut(named.join(_sets(own, named, size), "node"))
 
     links: DataFrame | None = None
     for _ in range(ROUNDS):
@@ -275,7 +282,14 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
         links = links.unionAll(cut(_verified(new, table_, percent) if k < BEST else new))
 
     found = components(links)
-    of_node = classes.select("node", "doc_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    of_node = classes.select("node", "_key", "doc_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return rows, of_node
+
+
+def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row."""
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows, of_node = _grouped(own.withColumn("_key", row_key("doc_id", "text")), size, percent)
     smallest = of_node.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named_nodes = of_node.join(smallest, "component").select("node", "component_id")
     done = rows.select("doc_id", "n_shingles", "node").join(named_nodes, "node", "left")
@@ -283,6 +297,23 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", si
     return done.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
+def survivors(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs` that stay: exactly one of each group, with its smallest doc_id, and all without words."""
+    key = row_key(*[f"`{c}`" for c in docs.columns]).alias("_key")
+    own = docs.select(key, F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows, of_node = _grouped(own, size, percent)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_key")
+    best = of_node.groupBy("component").agg(F.min(place).alias("first")).select("first._key")
+    counts = rows.where("node IS NOT NULL").groupBy("_key").agg(F.count("*").alias("n"))
+    best = cut(best.join(counts, "_key"))
+    bare = rows.where("node IS NULL").select("_key").distinct()
+    keyed = docs.select(F.struct("*").alias("row"), key)
+    single = keyed.join(best.where("n = 1").select("_key").unionAll(bare), "_key", "left_semi")
+    # Rows that come more than once in all columns; only these meet their like.
+    more = keyed.join(sized(best.where("n > 1").select("_key")), "_key", "left_semi").dropDuplicates(["_key"])
+    return single.unionAll(more).select("row.*")
+
+
 @query("op7_minhash_neardup")
 def op7_minhash_neardup(spark, sf_dir):
     """Components of all documents whose four-word shingle sets are 0.8 alike."""

@@ -91,6 +91,25 @@ def test_odd_rows(spark, no_docs):
     assert got(df, size=5) == sorted([(None, 2, 4, False), (4, 2, 4, True), (4, 2, 4, True), (4, 1, 4, True), (None, 0, None, True), (5, 0, 5, True), (None, 2, None, True)], key=repr)
 
 
+def test_null_and_repeated_ids(spark):
+    """A class without doc_id links its near copies, and a chain runs over it; one row of each group stays."""
+    rng = random.Random(8)
+    text = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(120)]
+    chain = []
+    for i in range(3):
+        chain.append(" ".join(text))
+        for k in range(2):
+            text[20 + 40 * k + 10 * i] = f"new{i}{k}"
+    other = " ".join(f"other{i}" for i in range(100))
+    rows = [(1, chain[0]), (None, chain[1]), (3, chain[2]), (None, other), (None, other + " end"), (None, other), (7, "a b c d e f"), (7, "a b c d e f"), (7, "k l m n o p"), (8, "k l m n o p"), (7, chain[0]), (None, " "), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows, 5, 80)
+    assert [r[2] for r in brute([rows[0], rows[2]], 5, 80)] == [1, 3]  # the ends are linked through the row without id only
+    assert got(df, size=5) == want
+    stay = [tuple(r) for r in neardup.survivors(df).collect()]
+    assert sorted(map(repr, stay)) == sorted(map(repr, [(1, chain[0]), next(r for r in stay if r[1] and r[1].startswith("other")), (7, "a b c d e f"), (7, "k l m n o p"), (None, " "), (9, None)]))
+
+
 def test_sequential_test_misses_little():
     """Pairs at the limit pass; pairs far below it are dropped early."""
     rng = np.random.default_rng(1)

@@ -72,6 +72,15 @@ def test_copies_stay_once(spark, sf):
     assert not [r for r in got if not r.text] and len(got) == 141
 
 
+def test_one_row_of_each_group_stays(spark, sf):
+    """Copies without doc_id, repeated rows and a kept id's other text that is a copy of an earlier document."""
+    one, two = "a text that comes several times in this table", "another text of some more words than seven"
+    rows = [(None, one), (None, one), (2, two), (2, two), (5, "an own text with an id of its own"), (5, two)]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    stay = corpus_pipeline.drop_near_copies(spark, df, sf)
+    assert sorted((r.text, r.doc_id) for r in stay.collect()) == [(one, None), (rows[4][1], 5), (two, 2)]
+
+
 def test_run(spark, sf):
     got = corpus_pipeline.run(spark, sf)
     assert got.count() > 100 and got.columns == ["doc_id", "source", "ids", "n_ids"]
