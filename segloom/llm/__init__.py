@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("pii", "fingerprints", "substrings", "pieces", "embeddings", "chat", "neardup", "toxicity", "mixing", "lines")
+MODULES = ("pii", "fingerprints", "substrings", "pieces", "embeddings", "chat", "neardup", "toxicity", "mixing", "lines", "whitening")
 
 
 def load() -> tuple[dict, dict]:
