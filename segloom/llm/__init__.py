@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("pii", "fingerprints", "substrings", "pieces", "embeddings", "chat", "neardup", "toxicity", "mixing", "lines", "periodic", "whitening")
+MODULES = ("pii", "fingerprints", "substrings", "pieces", "embeddings", "chat", "neardup", "toxicity", "mixing", "lines", "periodic", "whitening", "pages")
 
 
 def load() -> tuple[dict, dict]:
