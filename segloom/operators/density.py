@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from segloom.config import CELL, MISSING, SINGLE_SEGMENT_CELL
 from segloom.functions.columns import cell_slug
 from segloom.operators.blocks import BLOCK, over_block_pairs
+from segloom.operators.components import components
 from segloom.operators.distance import onehot_square
 from segloom.operators.kmeans import numbered
 from segloom.operators.stats import compress
@@ -108,76 +109,81 @@ def spanning_tree(points: DataFrame, by: Sequence[str], axes: Sequence[str], dro
         state = cut(state.join(sized(hooks), [*by, "comp"], "left").withColumn("comp", F.coalesce("up", "comp")).drop("up"))
 
 
-def stable_clusters(nodes: pd.DataFrame, edges: pd.DataFrame, min_size: int) -> pd.Series:
-    """Cluster number per node (-1 noise) by excess of mass.
+def _lambda(level: int) -> float:
+    return float("inf") if level == 0 else level**-0.5
 
-    nodes: pid, n, core; edges: a, b, level. A node joins at its core level.
+
+def stable_clusters(nodes: DataFrame, tree: DataFrame, by: Sequence[str]) -> DataFrame:
+    """(by, pid, cluster): clusters by excess of mass, noise as -1, from nodes (by, pid, n, core, mcs) and tree (by, a, b, level).
+
+    Levels rise one after another (squared distances are whole numbers, at most
+    two per axis, so there are few). At each one nodes enter at their core level
+    and the tree's links of that level join components. A component of `mcs`
+    rows or more that holds no such component from below begins a cluster; one
+    that holds a single one goes on with its cluster; one that holds several ends
+    them and begins their parent. Sums per component give an ended cluster's
+    stability; it is chosen unless the best clusters inside it are together more
+    stable, and then all rows of its component take its number, over what they
+    had from below. So the last one chosen is the outermost. The cluster of the
+    whole cell never ends.
     """
-    owner = {p: p for p in nodes["pid"]}
-
-    def find(p):
-        while owner[p] != p:
-            owner[p] = owner[owner[p]]
-            p = owner[p]
-        return p
-
-    rows = dict(zip(nodes["pid"], nodes["n"]))
-    # component -> [level at which it breaks up, parts, rows, members]
-    current = {}
-    by_core, by_level = nodes.groupby("core")["pid"].apply(list), edges.groupby("level")
-    for level in sorted({*nodes["core"], *edges["level"]}):
-        for p in by_core.get(level, []):
-            current[p] = (level, [], rows[p], [p])
-        merged: dict[int, list] = {}
-        pairs = by_level.get_group(level)[["a", "b"]].to_numpy() if level in by_level.groups else []
-        touched = {find(p) for pair in pairs for p in pair}
-        for a, b in pairs:
-            owner[find(a)] = find(b)
-        for part in touched:
-            merged.setdefault(find(part), []).append(current.pop(part))
-        for root, parts in merged.items():
-            current[root] = (level, parts, sum(p[2] for p in parts), [m for p in parts for m in p[3]])
-
-    clusters = []  # [parent, birth, stability, members]
-
-    def follow(node, cluster):
-        todo = [(node, cluster)]
-        while todo:
-            (level, parts, size, _), c = todo.pop()
-            gone = np.inf if level == 0 else 1 / np.sqrt(level)
-            big = [p for p in parts if p[2] >= min_size]
-            stays = big[0][2] if len(big) == 1 else 0
-            if size > stays:
-                clusters[c][2] += (size - stays) * (gone - clusters[c][1])
-            if len(big) == 1:
-                todo.append((big[0], c))
-            elif len(big) > 1:
-                for part in big:
-                    clusters.append([c, gone, 0.0, part[3]])
-                    todo.append((part, len(clusters) - 1))
-
-    for top in current.values():
-        clusters.append([-1, 0.0, 0.0, top[3]])
-        follow(top, len(clusters) - 1)
-
-    # bottom-up: a cluster stays if its descendants together are not more stable
-    best, picked = [c[2] for c in clusters], [c[0] >= 0 for c in clusters]
-    below = [0.0] * len(clusters)
-    for i in range(len(clusters) - 1, -1, -1):
-        if below[i] > best[i] or clusters[i][0] < 0:
-            best[i], picked[i] = below[i], False
-        if clusters[i][0] >= 0:
-            below[clusters[i][0]] += best[i]
-    label = dict.fromkeys(nodes["pid"], -1)
-    covered = [False] * len(clusters)
-    for i, (parent, _, _, members) in enumerate(clusters):
-        covered[i] = parent >= 0 and covered[parent]
-        if picked[i] and not covered[i]:
-            covered[i] = True
-            label.update(dict.fromkeys(members, i))
-    found = nodes["pid"].map(label)
-    first = nodes["pid"].groupby(found).min().drop(index=-1, errors="ignore").sort_values()
-    return found.map({c: k for k, c in enumerate(first.index)} | {-1: -1})
+    by = list(by)
+    place = [*by, "comp"]
+    levels = sorted({r[0] for r in tree.select("level").distinct().collect()} | {r[0] for r in nodes.select("core").distinct().collect()})
+    points = nodes.withColumns({"comp": F.col("pid"), "label": F.lit(-1)})
+    comps: DataFrame | None = None
+    for level in levels:
+        fall = F.lit(_lambda(level))
+        new = nodes.filter(F.col("core") == level)
+        zero = F.lit(0.0)
+        entered = new.select(*by, F.col("pid").alias("comp"), F.col("n").cast("double").alias("size"), "mcs", F.lit(False).alias("big"), zero.alias("gone"), zero.alias("mass"), zero.alias("inside"))
+        comps = entered if comps is None else comps.unionByName(entered)
+        of = points.select(*by, "pid", "comp")
+        links = tree.filter(F.col("level") == level).select(*by, "a", "b")
+        for end in ("a", "b"):
+            links = links.join(of.select(*by, F.col("pid").alias(end), F.col("comp").alias(f"_{end}")), [*by, end])
+        joined = components(links.select(*by, F.col("_a").alias("a"), F.col("_b").alias("b")), by)
+        comps = comps.join(joined.withColumnRenamed("node", "comp"), place, "left").withColumn("root", F.coalesce("root", "comp"))
+
+        def of_big(value):
+            return F.sum(F.when(F.col("big"), value).otherwise(0.0))
+
+        # What a cluster that ends here is worth, and whether it is chosen over those inside it.
+        stability = F.when(F.col("mass") > 0, F.col("gone") - F.col("mass") * fall).otherwise(0.0)
+        best = F.greatest(stability, F.col("inside"))
+        held = comps.groupBy(*by, "root").agg(
+            F.sum("size").alias("size"),
+            F.max("mcs").alias("mcs"),
+            F.count_if("big").alias("_n"),
+            of_big(F.col("size")).alias("_size"),
+            of_big(F.col("gone")).alias("_gone"),
+            of_big(F.col("mass")).alias("_mass"),
+            of_big(F.col("inside")).alias("_inside"),
+            of_big(best).alias("_best"),
+        )
+        held = cut(held)
+        ended = comps.filter("big").join(held.filter("_n > 1").select(*by, "root"), [*by, "root"], "left_semi")
+        chosen = ended.filter(~(F.col("inside") > stability)).select(*place, F.lit(True).alias("chosen"))
+        moved = joined.select(*by, F.col("node").alias("comp"), "root")
+        points = points.join(chosen, place, "left").join(moved, place, "left")
+        points = cut(
+            points.withColumns(
+                {"label": F.when(F.col("chosen"), F.col("comp")).otherwise(F.col("label")), "comp": F.coalesce("root", "comp")}
+            ).drop("chosen", "root")
+        )
+        one, big = F.col("_n") == 1, F.col("size") >= F.col("mcs")
+        leaves = F.col("size") - F.when(one, F.col("_size")).otherwise(0.0)
+        lost = F.when(leaves > 0, leaves * fall).otherwise(0.0)
+        comps = held.select(
+            *by, F.col("root").alias("comp"), "size", "mcs", big.alias("big"),
+            F.when(big, F.when(one, F.col("_gone")).otherwise(0.0) + lost).otherwise(0.0).alias("gone"),
+            F.when(big, F.when(one, F.col("_mass")).otherwise(0.0) + leaves).otherwise(0.0).alias("mass"),
+            F.when(one, F.col("_inside")).when(F.col("_n") > 1, F.col("_best")).otherwise(0.0).alias("inside"),
+        )
+    # A cluster's label is its smallest pid; the numbers follow it, from 0 in each cell.
+    found = points.filter("label >= 0").select(*by, "label").distinct()
+    found = found.withColumn("cluster", F.row_number().over(Window.partitionBy(*by).orderBy("label")) - 1)  # a row per cluster
+    return points.join(found, [*by, "label"], "left").select(*by, "pid", F.coalesce("cluster", F.lit(-1)).alias("cluster"))
 
 
 def density_clusters(
@@ -205,22 +211,8 @@ def density_clusters(
         )
     )
     fit = cut(core_squares(points.filter("mode = 'fit'").select(*by, "pid", *axes, "n", "mcs", "min_samples"), by, axes, drop_missing, block))
-    types = dict(fit.dtypes)
-    schema = ", ".join([*[f"{n} {types[n]}" for n in by], "pid int", "cluster int"])
     tree = spanning_tree(fit, by, axes, drop_missing, block)
-
-    def settle(nodes: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-        if nodes.empty:
-            return pd.DataFrame(columns=[*by, "pid", "cluster"])
-        out = nodes[[*by, "pid"]].copy()
-        out["cluster"] = stable_clusters(nodes, edges, int(nodes["mcs"].iloc[0]))
-        return out
-
-    labels = None
-    if tree is not None:
-        tree = tree.toDF(*tree.columns)
-        nodes = fit.select(*by, "pid", "n", "core", "mcs")
-        labels = nodes.groupBy(*by).cogroup(tree.groupBy(*by)).applyInPandas(settle, schema)
+    labels = None if tree is None else stable_clusters(fit.select(*by, "pid", "n", "core", "mcs"), cut(tree), by)
     out = points.select(*by, *axes, "pid", "n", "mode")
     out = out.join(labels, [*by, "pid"], "left") if labels is not None else out.withColumn("cluster", F.lit(None).cast("int"))
     return out.withColumn("cluster", F.when(F.col("mode") == "single", 0).otherwise(F.coalesce("cluster", F.lit(-1)))).drop("mode")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from segloom.config import AXES, CELL, CELL_RAW_K, DENSITY_AXES, MISSING, TUNED_CONFIG, TUNED_K_SCALE
+from segloom.config import AXES, CELL, CELL_RAW_K, DENSITY_AXES, MISSING, SINGLE_SEGMENT_CELL, TUNED_CONFIG, TUNED_K_SCALE
 from segloom.functions.columns import cell_slug
 from segloom.operators import density as DN
 from segloom.operators import distance as D
@@ -318,13 +318,61 @@ def k_caps(spark, sf):
     return V.table(spark, sf, "part").select("p_partkey", F.col("p_size").alias("cap"), K.derive_k_cap(F.col("p_size")).alias("k_cap"))
 
 
-@query("density_clusters")
+def density_sql(axes, source="v_cells"):
+    """Rows, clusters and noise per cell: components of every level by reachability, then clusters level by level."""
+    slug = "job_type || '_' || payment_group"
+    sizes = " ".join(f"WHEN '{c}' THEN {n}" for c, n in DN.MIN_CLUSTER_SIZE.items())
+    explicit = " OR ".join(f"{a} <> '{M}'" for a in axes)
+    steps, chosen = [], []
+    for level in range(1, 2 * len(axes) + 1):
+        fall = level**-0.5
+        stability = f"CASE WHEN mass > 0 THEN gone - mass * {fall!r} ELSE 0 END"
+        steps.append(f"""ch{level} AS (SELECT s.*, k.c AS up, {stability} AS stability, greatest({stability}, inside) AS best, count(*) OVER (PARTITION BY s.cell, k.c) AS k
+            FROM st{level - 1} s JOIN comp k ON k.l = {level} AND k.cell = s.cell AND k.p = s.c WHERE s.big),
+          up{level} AS (SELECT cell, up, max(k) AS k, sum(size) AS bsize, sum(gone) AS bgone, sum(mass) AS bmass, sum(inside) AS binside, sum(best) AS bbest FROM ch{level} GROUP BY ALL),
+          st{level} AS (SELECT n.cell, c, size, size >= mcs AS big,
+            CASE WHEN k = 1 THEN bgone ELSE 0 END + CASE WHEN k = 1 THEN size - bsize ELSE size END * {fall!r} AS gone,
+            CASE WHEN k = 1 THEN bmass + size - bsize ELSE size END AS mass,
+            CASE WHEN k = 1 THEN binside WHEN k > 1 THEN bbest ELSE 0 END AS inside
+            FROM node n LEFT JOIN up{level} u ON u.cell = n.cell AND u.up = n.c WHERE l = {level})""")
+        chosen.append(f"SELECT {level} AS l, cell, c FROM ch{level} WHERE k > 1 AND NOT inside > stability")
+    return f"""WITH RECURSIVE prof AS (SELECT {CELLS}, {slug} AS cell, {', '.join(axes)}, count(*) AS n FROM {source} GROUP BY ALL),
+      pts AS (SELECT *, row_number() OVER (PARTITION BY cell ORDER BY {', '.join(axes)}) AS pid, CASE cell {sizes} ELSE 10 END AS mcs,
+        sum(n) OVER (PARTITION BY cell) AS all_rows, max(CASE WHEN {explicit} THEN 1 ELSE 0 END) OVER (PARTITION BY cell) AS explicit FROM prof),
+      fit AS (SELECT * FROM pts WHERE cell <> '{SINGLE_SEGMENT_CELL}' AND all_rows >= mcs AND explicit = 1),
+      d AS (SELECT a.cell, a.pid AS p, b.pid AS q, {_square_sql(axes)} AS square, b.n, greatest(1, a.mcs // 2) AS least FROM fit a JOIN fit b USING (cell)),
+      core AS (SELECT cell, p, min(square) AS core FROM (SELECT *, sum(n) OVER (PARTITION BY cell, p ORDER BY square) AS reach FROM d) WHERE reach >= least GROUP BY ALL),
+      m AS (SELECT d.cell, d.p, d.q, greatest(square, x.core, y.core) AS level FROM d JOIN core x USING (cell, p) JOIN core y ON y.cell = d.cell AND y.p = d.q WHERE d.p <> d.q),
+      reach (l, cell, p, c) USING KEY (l, cell, p) AS (SELECT l, cell, p, p FROM core, range(0, {2 * len(axes) + 1}) t(l) WHERE core <= l
+        UNION SELECT r.l, r.cell, m.q, min(r.c) FROM reach r JOIN m ON m.cell = r.cell AND m.p = r.p AND m.level <= r.l
+          JOIN recurring.reach x ON x.l = r.l AND x.cell = r.cell AND x.p = m.q WHERE r.c < x.c GROUP BY ALL),
+      comp AS MATERIALIZED (SELECT * FROM reach),
+      node AS MATERIALIZED (SELECT l, cell, c, CAST(sum(n) AS DOUBLE) AS size, max(mcs) AS mcs FROM comp JOIN fit USING (cell) WHERE p = pid GROUP BY ALL),
+      st0 AS (SELECT cell, c, size, size >= mcs AS big, 'inf'::DOUBLE AS gone, size AS mass, 0.0::DOUBLE AS inside FROM node WHERE l = 0),
+      {', '.join(steps)},
+      chosen AS ({' UNION ALL '.join(chosen)}),
+      lab AS (SELECT k.cell, k.p AS pid, arg_max(ch.l * 1000000 + ch.c, ch.l) AS label FROM chosen ch JOIN comp k ON k.l = ch.l - 1 AND k.cell = ch.cell AND k.c = ch.c GROUP BY ALL),
+      lrows AS (SELECT pts.job_type, pts.payment_group, pts.n, CASE WHEN cell = '{SINGLE_SEGMENT_CELL}' THEN 0 ELSE coalesce(label, -1) END AS cluster FROM pts LEFT JOIN lab USING (cell, pid)),
+      sizes AS (SELECT {CELLS}, cluster, CAST(sum(n) AS BIGINT) AS size FROM lrows GROUP BY ALL)
+      SELECT {CELLS}, CAST(sum(size) AS BIGINT) AS n_rows, count(*) FILTER (cluster <> -1) AS n_clusters, CAST(coalesce(sum(size) FILTER (cluster = -1), 0) AS BIGINT) AS n_noise,
+        round(coalesce(sum(size) FILTER (cluster = -1), 0) * 100.0::DOUBLE / sum(size), 6) AS noise_pct, min(size) FILTER (cluster <> -1) AS min_size,
+        quantile_cont(size, 0.5) FILTER (cluster <> -1) AS median_size, max(size) FILTER (cluster <> -1) AS max_size FROM sizes GROUP BY ALL"""
+
+
+@query("density_clusters", density_sql(CORE), VC)
 def density_clusters(spark, sf):
     """Density clusters on the three core axes: clusters and noise per cell."""
     labels = DN.density_clusters(V.cells(spark, sf), CORE)
     return rounded(DN.density_summary(labels), "noise_pct")
 
 
+@query("density_clusters_wide", density_sql(DENSITY_AXES), VC)
+def density_clusters_wide(spark, sf):
+    """The same on the four density axes, which make many more profiles."""
+    labels = DN.density_clusters(V.cells(spark, sf), DENSITY_AXES)
+    return rounded(DN.density_summary(labels), "noise_pct")
+
+
 @query(
     "compared_methods",
     f"""SELECT {CELLS}, count(DISTINCT type_code) AS n_a, count(DISTINCT raw_cluster_id) FILTER (raw_cluster_id <> -1) AS n_b,

@@ -284,6 +284,7 @@ def with_views(names: list[str], body: str) -> str:
         add(name)
     ctes = [f"{name} AS ({VIEW_SQL[name].strip()})" for name in ordered]
     body = body.strip()
-    if body.upper().startswith("WITH "):
-        return "WITH " + ",\n".join(ctes + [body[5:]])
+    for opening in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(opening):
+            return opening + ",\n".join([*ctes, body[len(opening) :]])
     return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + body
