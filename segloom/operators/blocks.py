@@ -23,6 +23,43 @@ def with_block(points: DataFrame, by: Iterable[str], key: str, block: int = BLOC
     return points.join(sizes, by).withColumn("_block", F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int"))
 
 
+def over_blocks(
+    rows: DataFrame,
+    others: DataFrame,
+    by: Iterable[str],
+    key: str,
+    reduce: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
+    schema: str,
+    block: int = BLOCK,
+) -> DataFrame:
+    """`reduce(rows, others)` for each block of `rows` with each block of `others` of the same group.
+
+    The two sides are dealt into blocks of their own, so a few rows are sent to
+    all blocks of the others, and the others to the few blocks of the rows.
+    """
+    by = list(by)
+    left = with_block(rows, by, key, block).withColumnsRenamed({"_block": "_i", "_blocks": "_is"})
+    right = with_block(others.toDF(*others.columns), by, key, block).withColumnsRenamed({"_block": "_j", "_blocks": "_js"})
+    sides = left.select(*by, "_is").distinct().join(right.select(*by, "_js").distinct(), by)
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left = left.join(sides.select(*by, "_js"), by).withColumn("_j", every("_js")).drop("_is", "_js")
+    right = right.join(sides.select(*by, "_is"), by).withColumn("_i", every("_is")).drop("_is", "_js")
+    keys = [*by, "_i", "_j"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_reduced(reduce, schema), schema)
+
+
+def _reduced(reduce: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str):
+    def run(rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or others.empty:
+            return pd.DataFrame(columns=[f.split()[0] for f in schema.split(", ")])
+        return reduce(rows, others)
+
+    return run
+
+
 def over_block_pairs(
     points: DataFrame,
     by: Iterable[str],
@@ -42,10 +79,4 @@ def over_block_pairs(
     right = dealt.withColumns({"_j": F.col("_block"), "_i": everyone})
     right = right.toDF(*right.columns)  # fresh column identities for the self-cogroup
     keys = [*by, "_i", "_j"]
-
-    def run(rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        if rows.empty or others.empty:
-            return pd.DataFrame(columns=[f.split()[0] for f in schema.split(", ")])
-        return reduce(rows, others)
-
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(run, schema)
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_reduced(reduce, schema), schema)

@@ -138,35 +138,110 @@ def value_codes(small: DataFrame, axes: Sequence[str]) -> tuple[DataFrame, dict[
     return codes, {a: sizes.get(a, 0) for a in axes}
 
 
-def pair_weights(sizes: Mapping[str, int], weights: Sequence[float]) -> np.ndarray:
-    """Matrix M with distance(i, j) = f(i) M f(j).
+class GowerForm:
+    """Sums of Gower distances between groups of profiles, from sparse counts.
 
-    f marks the missingness pattern of a profile and, within that pattern, its
-    explicit values. Sums of f therefore give sums of distances between groups.
+    A profile has a missingness pattern (which axes are explicit) and, in that
+    pattern, its explicit values. A group's counts are `amounts` per slot (pattern,
+    place): place 0 counts rows, the others the values of one axis after another.
+    The distance of two profiles depends on their patterns and on the values that
+    they share, so the sum over all pairs of two groups is
+
+        N(A) base N(B)' - sum over axes k and values v of  c(A, s, k, v) share(k, s, t) c(B, t, k, v)
+
+    with one number per pair of patterns (`base`) and per axis and pair of
+    patterns (`share`). Nothing grows with the square of the number of values.
     """
-    axes = list(sizes)
-    offsets = np.concatenate([[1], 1 + np.cumsum([sizes[a] for a in axes])]).astype(int)
-    width, patterns = offsets[-1], 2 ** len(axes)
-    m = np.zeros((patterns, width, patterns, width))
-    for s in range(patterns):
-        for t in range(patterns):
-            here = [(s >> k) & 1 for k in range(len(axes))]
-            there = [(t >> k) & 1 for k in range(len(axes))]
-            bottom = sum(w * (1.0 if a and b else PARTIAL_WEIGHT if a or b else 0.0) for a, b, w in zip(here, there, weights))
-            if bottom == 0:
-                continue
-            for k, w in enumerate(weights):
-                if here[k] and there[k]:
-                    m[s, 0, t, 0] += w / bottom
-                    span = np.arange(offsets[k], offsets[k + 1])
-                    m[s, span, t, span] = -w / bottom
-                elif here[k] or there[k]:
-                    m[s, 0, t, 0] += w * PARTIAL_DISTANCE / bottom
-    return m.reshape(patterns * width, patterns * width)
-
-
-def profile_features(small: DataFrame, axes: Sequence[str], codes: DataFrame, sizes: Mapping[str, int]) -> DataFrame:
-    """Adds `marks`: the positions of the profile's ones in f (see `pair_weights`)."""
+
+    columns = ("slots", "amounts")
+    constant = 0.0
+    _CHUNK = 1024  # slots that are worked on at once
+
+    def __init__(self, sizes: Mapping[str, int], weights: Sequence[float]):
+        axes = list(sizes)
+        self.ends = np.cumsum([1, *[sizes[a] for a in axes]])  # places before each axis
+        self.width = int(self.ends[-1])
+        self.patterns = 2 ** len(axes)
+        here = np.array([[(s >> k) & 1 for k in range(len(axes))] for s in range(self.patterns)], bool)
+        w = np.array(list(weights), float)
+        both = here[:, None] & here[None, :]
+        one = here[:, None] ^ here[None, :]
+        bottom = both @ w + PARTIAL_WEIGHT * (one @ w)
+        unit = np.divide(1.0, bottom, out=np.zeros_like(bottom), where=bottom > 0)
+        self.base = (both @ w + PARTIAL_DISTANCE * (one @ w)) * unit
+        self.share = np.moveaxis(both * w, 2, 0) * unit
+
+    def _counts(self, rows: pd.DataFrame):
+        """Row number, pattern, place and amount of every entry."""
+        lengths = rows["slots"].str.len().to_numpy().astype(int)
+        at = np.repeat(np.arange(len(rows)), lengths)
+        slots = np.concatenate([np.asarray(x, np.int64) for x in rows["slots"]])
+        amounts = np.concatenate([np.asarray(x, float) for x in rows["amounts"]])
+        return at, slots // self.width, slots % self.width, amounts
+
+    def totals(self, rows: pd.DataFrame, others: pd.DataFrame) -> np.ndarray:
+        """Sum of distances between every row's and every other row's profiles."""
+        at, pattern, place, amount = self._counts(rows)
+        at_, pattern_, place_, amount_ = self._counts(others)
+        n, n_ = np.zeros((len(rows), self.patterns)), np.zeros((len(others), self.patterns))
+        n[at[place == 0], pattern[place == 0]] = amount[place == 0]
+        n_[at_[place_ == 0], pattern_[place_ == 0]] = amount_[place_ == 0]
+        out = n @ self.base @ n_.T
+        shared = np.intersect1d(place[place > 0], place_[place_ > 0])
+        mine, theirs = np.isin(place, shared), np.isin(place_, shared)
+        slots, where = np.unique(place[mine] * self.patterns + pattern[mine], return_inverse=True)
+        at, amount = at[mine], amount[mine]
+        at_, pattern_, place_, amount_ = at_[theirs], pattern_[theirs], place_[theirs], amount_[theirs]
+        for first in range(0, len(slots), self._CHUNK):
+            chunk = slots[first : first + self._CHUNK]
+            own = (where >= first) & (where < first + self._CHUNK)
+            left = np.zeros((len(rows), len(chunk)))
+            left[at[own], where[own] - first] = amount[own]
+            right = np.zeros((len(others), len(chunk)))
+            axis = np.searchsorted(self.ends, chunk // self.patterns, side="right") - 1
+            column = np.searchsorted(shared, chunk // self.patterns)
+            for t in np.unique(pattern_):
+                of = pattern_ == t
+                values = np.zeros((len(others), len(shared)))
+                values[at_[of], np.searchsorted(shared, place_[of])] = amount_[of]
+                right += values[:, column] * self.share[axis, chunk % self.patterns, t]
+            out -= left @ right.T
+        return out
+
+    @staticmethod
+    def merged(parts: Column) -> list[Column]:
+        """The columns of a cluster made of one or two others."""
+
+        def counts(x):
+            return F.map_from_arrays(x["slots"], x["amounts"])
+
+        def add(_, a, b):
+            return F.coalesce(a, F.lit(0.0)) + F.coalesce(b, F.lit(0.0))
+
+        both = F.aggregate(F.slice(parts, 2, 1), counts(F.get(parts, F.lit(0))), lambda acc, x: F.map_zip_with(acc, counts(x), add))
+        return [F.map_keys(both).alias("slots"), F.map_values(both).alias("amounts")]
+
+
+class CosineForm:
+    """Sums of cosine distances between groups of unit vectors, less their number, from sums of vectors."""
+
+    columns = ("total",)
+    constant = 1.0
+
+    @staticmethod
+    def totals(rows: pd.DataFrame, others: pd.DataFrame) -> np.ndarray:
+        return -np.stack(rows["total"].to_numpy()) @ np.stack(others["total"].to_numpy()).T
+
+    @staticmethod
+    def merged(parts: Column) -> list[Column]:
+        both = F.aggregate(
+            F.slice(parts, 2, 1), F.get(parts, F.lit(0))["total"], lambda acc, x: F.zip_with(acc, x["total"], lambda p, q: p + q)
+        )
+        return [both.alias("total")]
+
+
+def profile_counts(small: DataFrame, axes: Sequence[str], codes: DataFrame, sizes: Mapping[str, int]) -> DataFrame:
+    """Adds `slots` and `amounts` of each profile's rows (see `GowerForm`)."""
     width = 1 + sum(sizes[a] for a in axes)
     pattern = sum((F.when(F.col(a) != MISSING, 1 << k).otherwise(0) for k, a in enumerate(axes)), F.lit(0))
     out, places, offset = small, [F.lit(0)], 1
@@ -175,8 +250,9 @@ def profile_features(small: DataFrame, axes: Sequence[str], codes: DataFrame, si
         out = out.join(here, a, "left")
         places.append(F.col(f"_c_{a}"))
         offset += sizes[a]
-    marks = F.transform(F.array_compact(F.array(*places)), lambda p: p + pattern * width)
-    return out.withColumn("marks", marks).drop(*[f"_c_{a}" for a in axes])
+    slots = F.transform(F.array_compact(F.array(*places)), lambda p: p + pattern * width)
+    amounts = F.transform("slots", lambda _: F.col("n").cast("double"))
+    return out.withColumn("slots", slots).withColumn("amounts", amounts).drop(*[f"_c_{a}" for a in axes])
 
 
 def unit_vector(c: str) -> Column:

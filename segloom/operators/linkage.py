@@ -1,12 +1,14 @@
 """Average linkage in merge rounds.
 
-The average distance of two clusters is a bilinear form of their summed feature
-vectors (see `pair_weights`; for cosine distance it is 1 - u·v of summed unit
-vectors). So a cluster is one row (id, size, sum), and no pair table is kept.
-
-Each round finds every cluster's nearest neighbour, block against block, and
-merges all pairs that are nearest to each other. Average linkage is reducible,
-so this gives the same tree as merging one closest pair at a time. Ties are
+The sum of the distances of two clusters' members follows from sums per cluster
+(`GowerForm`: sparse counts; `CosineForm`: summed unit vectors). So a cluster is
+one row, and no pair table and no matrix over all values is kept.
+
+Each round finds the nearest neighbours of clusters block against block and
+merges all pairs that are nearest to each other. Average linkage is reducible: a
+merged cluster is no nearer than its nearer part was. So this gives the same tree
+as merging one closest pair at a time, and a cluster's nearest one stays that
+until either of them merges: only then it looks again. Ties are
 broken by a hash of the two ids: with (height, lo, hi) alone fully tied clusters
 would merge one pair per round. Heights are rounded to 9 digits before they are
 compared, because sums may differ in the last bits with the partitioning.
@@ -16,14 +18,14 @@ A group whose clusters fit one block finishes its remaining rounds in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from segloom.operators.blocks import BLOCK, over_block_pairs
+from segloom.operators.blocks import BLOCK, over_blocks
 from segloom.runtime import cut, sized
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -38,73 +40,83 @@ def _tie(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         return ((x ^ (x >> np.uint64(31))) >> np.uint64(1)).astype(np.int64)
 
 
-def _sums(rows: pd.DataFrame, width: int) -> np.ndarray:
-    return np.stack(rows["total"].to_numpy()).reshape(len(rows), width)
-
-
-def _nearest(ids, sizes, sums, other_ids, other_sizes, other_sums, m, constant):
+def _closest(ids: np.ndarray, heights: np.ndarray, other_ids: np.ndarray) -> tuple[np.ndarray, ...]:
     """Per row: (height, tie, lo, hi) of the closest of the others, inf if none."""
-    total = (sums @ m if m is not None else -sums) @ other_sums.T
-    pairs = sizes[:, None] * other_sizes[None, :]
-    height = np.round(constant + total / pairs, 9)
     lo = np.minimum(ids[:, None], other_ids[None, :])
     hi = np.maximum(ids[:, None], other_ids[None, :])
-    height[lo == hi] = np.inf
-    low = height.min(axis=1, keepdims=True)
-    tie = np.where(height == low, _tie(lo, hi), np.iinfo(np.int64).max)
+    heights[lo == hi] = np.inf
+    low = heights.min(axis=1, keepdims=True)
+    tie = np.where(heights == low, _tie(lo, hi), np.iinfo(np.int64).max)
     best = tie.argmin(axis=1)
     at = np.arange(len(ids))
-    return height[at, best], tie[at, best], lo[at, best], hi[at, best]
+    return heights[at, best], tie[at, best], lo[at, best], hi[at, best]
+
+
+def _heights(form, totals: np.ndarray, sizes: np.ndarray, other_sizes: np.ndarray) -> np.ndarray:
+    return np.round(form.constant + totals / (sizes[:, None] * other_sizes[None, :]), 9)
+
+
+def _finished(rows: pd.DataFrame, form, limit: float) -> list[pd.DataFrame]:
+    """The remaining rounds of one group, as (round, height, a, b).
+
+    Sums of distances add up when clusters merge, so they are worked out once;
+    a cluster looks for its nearest one again only if it or that one has merged.
+    """
+    ids, sizes = rows["id"].to_numpy(), rows["size"].to_numpy()
+    totals = form.totals(rows, rows)
+    number, merged = int(rows["round"].iloc[0]), []
+    near = np.full((3, len(ids)), np.inf)  # height, lo, hi
+    look = np.ones(len(ids), bool)
+    while len(ids) > 1:
+        height, _, lo, hi = _closest(ids[look], _heights(form, totals[look], sizes[look], sizes), ids)
+        near[:, look] = height, lo, hi
+        pairs = pd.DataFrame({"height": near[0], "a": near[1], "b": near[2]})
+        pairs = pairs[(pairs["height"] < limit) & pairs.duplicated(["a", "b"])].astype({"a": "int64", "b": "int64"})
+        if pairs.empty:
+            break
+        number += 1
+        merged.append(pairs.assign(round=number))
+        position = pd.Series(np.arange(len(ids)), index=ids)
+        a, b = position[pairs["a"]].to_numpy(), position[pairs["b"]].to_numpy()
+        totals[a] += totals[b]
+        totals[:, a] += totals[:, b]
+        sizes[a] += sizes[b]
+        gone = np.concatenate([ids[a], ids[b]])
+        look = np.isin(near[1], gone) | np.isin(near[2], gone)
+        keep = np.ones(len(ids), bool)
+        keep[b] = False
+        ids, sizes, look, near, totals = ids[keep], sizes[keep], look[keep], near[:, keep], totals[np.ix_(keep, keep)]
+    return merged
 
 
 def average_linkage(
     points: DataFrame,
     by: Sequence[str],
-    width: int,
-    m: np.ndarray | None = None,
+    form,
     max_height: float | None = None,
     block: int = BLOCK,
+    watch: Callable[[int, int, int], None] | None = None,
 ) -> DataFrame:
     """Merges (by, round, height, a, b): cluster b joins a, b > a.
 
-    `points`: by, id (long), size (double), total (array<double> of `width`).
-    With m the distance is the bilinear form, otherwise 1 - dot (cosine). With
-    `max_height` only merges strictly below it are made.
+    `points`: by, id (long), size (double) and the columns of the form
+    (`GowerForm` or `CosineForm`). With `max_height` only merges strictly below
+    it are made. `watch(round, clusters, looking)` is told how many clusters of
+    groups that do not fit a block look for their nearest one.
     """
     by = list(by)
     key_schema = ", ".join(f"{n} {dict(points.dtypes)[n]}" for n in by)
     key_schema = key_schema + ", " if by else ""
-    constant = 0.0 if m is not None else 1.0
     limit = np.inf if max_height is None else max_height
 
     def nearest_block(rows, others):
-        found = _nearest(
-            rows["id"].to_numpy(), rows["size"].to_numpy(), _sums(rows, width),
-            others["id"].to_numpy(), others["size"].to_numpy(), _sums(others, width), m, constant,
-        )
+        heights = _heights(form, form.totals(rows, others), rows["size"].to_numpy(), others["size"].to_numpy())
         out = rows[[*by, "id"]].copy()
-        out["height"], out["tie"], out["lo"], out["hi"] = found
+        out["height"], out["tie"], out["lo"], out["hi"] = _closest(rows["id"].to_numpy(), heights, others["id"].to_numpy())
         return out[np.isfinite(out["height"])]
 
     def finish(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, sizes, sums = rows["id"].to_numpy(), rows["size"].to_numpy(), _sums(rows, width)
-        number, merged = int(rows["round"].iloc[0]), []
-        while len(ids) > 1:
-            height, _, lo, hi = _nearest(ids, sizes, sums, ids, sizes, sums, m, constant)
-            pairs = pd.DataFrame({"height": height, "a": lo, "b": hi})
-            pairs = pairs[(pairs["height"] < limit) & pairs.duplicated(["a", "b"])]
-            if pairs.empty:
-                break
-            number += 1
-            merged.append(pairs.assign(round=number))
-            position = {v: i for i, v in enumerate(ids)}
-            a = pairs["a"].map(position).to_numpy()
-            b = pairs["b"].map(position).to_numpy()
-            sums[a] += sums[b]
-            sizes[a] += sizes[b]
-            keep = np.ones(len(ids), bool)
-            keep[b] = False
-            ids, sizes, sums = ids[keep], sizes[keep], sums[keep]
+        merged = _finished(rows, form, limit)
         columns = [*by, "round", "height", "a", "b"]
         if not merged:
             return pd.DataFrame(columns=columns)
@@ -118,40 +130,46 @@ def average_linkage(
         by, points, key_schema = ["_all"], points.withColumn("_all", F.lit(0)), "_all int, "
         merges_schema = key_schema + merges_schema
 
-    state = points.select(*by, "id", F.col("size").cast("double").alias("size"), "total", F.lit(0).alias("round"))
+    best = "struct<height:double,tie:bigint,lo:bigint,hi:bigint>"
+    size = F.col("size").cast("double").alias("size")
+    state = cut(points.select(*by, "id", size, *form.columns, F.lit(0).alias("round"), F.lit(None).cast(best).alias("e")))
     done: list[DataFrame] = []
     number = 0
     while True:
-        if number == 0:
-            state = cut(state)
         counts = state.groupBy(*by).agg(F.count("*").alias("_n"))
         fits = sized(counts.filter(F.col("_n") <= block).select(*by))
-        small = state.join(fits, by, "left_semi")
+        small = state.join(fits, by, "left_semi").drop("e")
         done.append(small.groupBy(*by).applyInPandas(finish, merges_schema))
         state = state.join(fits, by, "left_anti")
         if state.isEmpty():
             break
         number += 1
+        looking = state.filter("e IS NULL").drop("round", "e")
+        if watch:
+            watch(number, state.count(), looking.count())
         schema = key_schema + "id long, height double, tie long, lo long, hi long"
-        near = over_block_pairs(state.drop("round"), by, "id", nearest_block, schema, block)
-        near = near.groupBy(*by, "id").agg(F.min(F.struct("height", "tie", "lo", "hi")).alias("e"))
-        pairs = near.groupBy(*by, "e").agg(F.count("*").alias("c")).filter(F.col("c") == 2)
-        round_merges = cut(
-            pairs.select(*by, F.lit(number).alias("round"), F.col("e.height").alias("height"), F.col("e.lo").alias("a"), F.col("e.hi").alias("b"))
-            .filter(F.col("height") < (limit if np.isfinite(limit) else 1e300))
-        )
+        found = over_blocks(looking, state.drop("round", "e"), by, "id", nearest_block, schema, block)
+        found = found.groupBy(*by, "id").agg(F.min(F.struct("height", "tie", "lo", "hi")).alias("_e"))
+        # Written, as the pairs and the next state are both made of it.
+        state = cut(state.join(found, [*by, "id"], "left").withColumn("e", F.coalesce("e", "_e")).drop("_e"))
+        ends = state.select(*by, "e.lo", "e.hi", "e.height")
+        pairs = ends.groupBy(*by, "lo", "hi").agg(F.count("*").alias("c"), F.min("height").alias("height"))
+        pairs = pairs.filter((F.col("c") == 2) & (F.col("height") < (limit if np.isfinite(limit) else 1e300)))
+        round_merges = cut(pairs.select(*by, F.lit(number).alias("round"), "height", F.col("lo").alias("a"), F.col("hi").alias("b")))
         done.append(round_merges)
         goes_on = round_merges.select(*by).distinct()
+        gone = round_merges.select(*by, F.explode(F.array("a", "b")).alias("_other"), F.lit(True).alias("_gone"))
         root = round_merges.select(*by, F.col("b").alias("id"), F.col("a").alias("_root"))
         moved = state.join(sized(goes_on), by, "left_semi").join(sized(root), [*by, "id"], "left")
-        # a cluster has one row, or two where b joins a
-        both = F.aggregate(
-            F.slice("_totals", 2, 1), F.get("_totals", F.lit(0)), lambda acc, x: F.zip_with(acc, x, lambda p, q: p + q)
-        )
+        # A cluster looks again if its nearest one has merged, and so does one that has merged itself.
+        other = F.when(F.col("id") == F.col("e.lo"), F.col("e.hi")).otherwise(F.col("e.lo"))
+        moved = moved.withColumn("_other", other).join(sized(gone), [*by, "_other"], "left")
+        kept = F.when(F.col("_gone").isNull(), F.col("e"))
+        # A cluster has one row, or two where b joins a: those two were nearest to each other, so neither keeps its neighbour.
         state = cut(
             moved.groupBy(*by, F.coalesce("_root", "id").alias("id"))
-            .agg(F.sum("size").alias("size"), F.collect_list("total").alias("_totals"))
-            .select(*by, "id", "size", both.alias("total"), F.lit(number).alias("round"))
+            .agg(F.sum("size").alias("size"), F.collect_list(F.struct(*form.columns)).alias("_parts"), F.first(kept, ignorenulls=True).alias("e"))
+            .select(*by, "id", "size", *form.merged(F.col("_parts")), F.lit(number).alias("round"), "e")
         )
     out = done[0]
     for part in done[1:]:
@@ -159,6 +177,18 @@ def average_linkage(
     return cut(out)
 
 
+def pairs_below(clusters: DataFrame, form, limit: float, block: int = BLOCK) -> DataFrame:
+    """One row `n_below`: pairs of clusters (id, size and the form's columns) whose average distance is below the limit."""
+
+    def count(rows, others):
+        heights = _heights(form, form.totals(rows, others), rows["size"].to_numpy(), others["size"].to_numpy())
+        later = rows["id"].to_numpy()[:, None] < others["id"].to_numpy()[None, :]
+        return pd.DataFrame({"n": [int((later & (heights < limit)).sum())]})
+
+    found = over_blocks(clusters.withColumn("_all", F.lit(0)), clusters.withColumn("_all", F.lit(0)), ["_all"], "id", count, "n long", block)
+    return found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_below"))
+
+
 def cut_tree(points: DataFrame, merges: DataFrame, by: Sequence[str], k: DataFrame | None = None) -> DataFrame:
     """Cluster label per point (0.. in order of the smallest member id).
 

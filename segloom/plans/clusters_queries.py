@@ -17,7 +17,7 @@ from segloom.plans import views as V
 from segloom.plans.ranking_queries import SCORES, scores
 from segloom.plans.registry import query
 from segloom.plans.stats_queries import dominant_sql, rounded
-from segloom.runtime import cut
+from segloom.runtime import beside, cut
 
 M = MISSING
 CELLS = "job_type, payment_group"
@@ -145,18 +145,58 @@ def average_linkage(spark, sf):
     return labeled.groupBy(*CELL, "raw_cluster_id").agg(F.sum("n").alias("n"), F.count("*").alias("n_profiles"))
 
 
-@query("keyword_clusters")
-def keyword_clusters(spark, sf):
-    """Average linkage of the vectors; no two of them are closer than 0.5, so the limit is 0.75, not 0.35."""
+@query(
+    "average_linkage_rounds",
+    f"""WITH r AS (SELECT * FROM v_cells WHERE job_type || '_' || payment_group <> '{SINGLE_SEGMENT_CELL}' AND ({' OR '.join(f"NOT {_miss(a)}" for a in DENSITY_AXES)})),
+        p AS (SELECT {CELLS}, count(*) AS n_profiles FROM (SELECT DISTINCT {CELLS}, {', '.join(DENSITY_AXES)} FROM r) GROUP BY ALL),
+        k AS (SELECT {CELLS}, count(*) AS n, {_k_sql(True)} AS k FROM r GROUP BY {CELLS})
+        SELECT {CELLS}, n, n_profiles, CAST(least(k, n_profiles) AS BIGINT) AS n_clusters, 0::BIGINT AS n_closer FROM p JOIN k USING (job_type, payment_group)""",
+    VC,
+)
+def average_linkage_rounds(spark, sf):
+    """The same with blocks of 64 clusters, so that cells merge in distributed rounds; `n_closer` merges are lower than one inside them."""
+    table = SG.catalogue_table(V.cells(spark, sf), TUNED_CONFIG)
+    tree = SG.build_tree(table, TUNED_CONFIG, block=64)
+    labeled = SG.label_table(table, tree, TUNED_CONFIG).filter((F.col("raw_cluster_id") >= 0) & (cell_slug() != SINGLE_SEGMENT_CELL))
+    found = labeled.groupBy(*CELL).agg(
+        F.sum("n").alias("n"), F.countDistinct(*DENSITY_AXES).alias("n_profiles"), F.countDistinct("raw_cluster_id").alias("n_clusters")
+    )
+    # Average linkage is monotone: what a cluster was made by is not higher than what it joins by.
+    inner = tree.merges.select(*CELL, F.explode(F.array("a", "b")).alias("id"), F.col("round").alias("r"), F.col("height").alias("h"))
+    outer = tree.merges.select(*CELL, F.explode(F.array("a", "b")).alias("id"), "round", "height")
+    lower = outer.join(inner, [*CELL, "id"]).filter((F.col("r") < F.col("round")) & (F.col("height") < F.col("h") - 1e-6))
+    closer = lower.groupBy(*CELL).agg(F.count("*").alias("n_closer"))
+    return found.join(closer, [*CELL], "left").withColumn("n_closer", F.coalesce("n_closer", F.lit(0)))
+
+
+KEYWORD_LIMIT = 0.75  # no two vectors are closer than 0.5, so the limit is not 0.35
+
+
+def keyword_labels(spark, sf, block=1024):
+    """The vectors (id, size, total) with their cluster."""
     units = V.table(spark, sf, "embeddings").select(
         F.col("vec_id").alias("id"), F.lit(1.0).alias("size"), D.unit_vector("embedding").alias("total")
     )
     points = cut(units)
-    width = points.select(F.max(F.size("total"))).first()[0]
-    merges = L.average_linkage(points, [], width, max_height=0.75)
+    merges = L.average_linkage(points, [], D.CosineForm(), max_height=KEYWORD_LIMIT, block=block)
     grouped = points.withColumn("_all", F.lit(0))
-    labels = L.cut_tree(grouped, merges, ["_all"])
-    return labels.groupBy("cluster").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
+    return points.join(L.cut_tree(grouped, merges, ["_all"]).select("id", "cluster"), "id")
+
+
+@query("keyword_clusters")
+def keyword_clusters(spark, sf):
+    """Average linkage of the vectors."""
+    return keyword_labels(spark, sf).groupBy("cluster").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
+
+
+@query("keyword_cluster_gaps", "SELECT count(*) AS n_vectors, 0::BIGINT AS n_below FROM embeddings")
+def keyword_cluster_gaps(spark, sf):
+    """Vectors in clusters (merged in rounds over blocks of 256), and pairs of clusters that are still closer than the limit: none."""
+    sums = keyword_labels(spark, sf, block=256).select("cluster", F.posexplode("total").alias("at", "x"))
+    sums = sums.groupBy("cluster", "at").agg(F.sum("x").alias("x"), F.count("*").cast("double").alias("size"))
+    total = F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda p: p["x"])
+    found = cut(sums.groupBy(F.col("cluster").cast("long").alias("id")).agg(total.alias("total"), F.first("size").alias("size")))
+    return beside(found.agg(F.sum("size").cast("long").alias("n_vectors")), L.pairs_below(found, D.CosineForm(), KEYWORD_LIMIT))
 
 
 @query(

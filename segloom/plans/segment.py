@@ -55,14 +55,9 @@ def build_tree(table: DataFrame, config: SegmentConfig = DEFAULT_CONFIG, block:
     order = F.row_number().over(distance.Window.partitionBy(*CELL).orderBy(*names))
     small = cut(small.withColumn("id", (order - 1).cast("long")))
     codes, sizes = distance.value_codes(small, names)
-    m = distance.pair_weights(sizes, weights)
-    featured = distance.profile_features(small, names, cut(codes), sizes)
-    ones = F.transform(
-        F.sequence(F.lit(0), F.lit(m.shape[0] - 1)),
-        lambda p: F.when(F.array_contains("marks", p), F.col("n").cast("double")).otherwise(F.lit(0.0)),
-    )
-    points = featured.select(*CELL, "id", F.col("n").cast("double").alias("size"), ones.alias("total"))
-    merges = linkage.average_linkage(points, CELL, m.shape[0], m, block=block)
+    counted = distance.profile_counts(small, names, cut(codes), sizes)
+    points = counted.select(*CELL, "id", F.col("n").cast("double").alias("size"), "slots", "amounts")
+    merges = linkage.average_linkage(points, CELL, distance.GowerForm(sizes, weights), block=block)
     return Tree(small.select(*CELL, "id", "n"), small, merges)
 
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -47,27 +48,59 @@ def test_gower_values(spark):
         assert row["d"] == pytest.approx(row["want"])
 
 
-def test_pair_weights_give_the_distance():
-    sizes, weights = {"a": 3, "b": 2, "c": 4}, [1.0, 3.0, 2.0]
-    m = D.pair_weights(sizes, weights)
-    width = 1 + sum(sizes.values())
-    rng = random.Random(1)
+def random_profile(rng, sizes):
+    """(values, codes): MISSING or a value per axis, None or its code."""
+    codes = [rng.choice([None, *range(n)]) for n in sizes.values()]
+    return [Q if c is None else str(c) for c in codes], codes
+
+
+def counts_of(codes, sizes, n=1.0):
+    width, offset, marks = 1 + sum(sizes.values()), 1, [0]
+    pattern = sum(1 << k for k, c in enumerate(codes) if c is not None)
+    for c, size in zip(codes, sizes.values()):
+        if c is not None:
+            marks.append(offset + c)
+        offset += size
+    return {pattern * width + p: n for p in marks}
 
-    def profile():
-        codes = [rng.choice([None, *range(n)]) for n in sizes.values()]
-        pattern = sum(1 << k for k, c in enumerate(codes) if c is not None)
-        marks, offset = [0], 1
-        for c, n in zip(codes, sizes.values()):
-            if c is not None:
-                marks.append(offset + c)
-            offset += n
-        f = np.zeros(8 * width)
-        f[[pattern * width + p for p in marks]] = 1
-        return [Q if c is None else str(c) for c in codes], f
 
-    for _ in range(200):
-        (x, f), (y, g) = profile(), profile()
-        assert f @ m @ g == pytest.approx(plain_gower(x, y, weights))
+def test_counts_give_sums_of_distances(monkeypatch):
+    sizes, weights = {"a": 3, "b": 2, "c": 4}, [1.0, 3.0, 2.0]
+    form = D.GowerForm(sizes, weights)
+    rng = random.Random(1)
+    for chunk in (1024, 3):
+        monkeypatch.setattr(D.GowerForm, "_CHUNK", chunk)
+        groups = [[random_profile(rng, sizes) for _ in range(rng.randint(1, 6))] for _ in range(30)]
+        rows = []
+        for group in groups:
+            total = {}
+            for _, codes in group:
+                for slot, n in counts_of(codes, sizes).items():
+                    total[slot] = total.get(slot, 0) + n
+            rows.append({"slots": list(total), "amounts": list(total.values())})
+        frame = pd.DataFrame(rows)
+        got = form.totals(frame[:11], frame[11:])
+        for i, left in enumerate(groups[:11]):
+            for j, right in enumerate(groups[11:]):
+                assert got[i, j] == pytest.approx(sum(plain_gower(x, y, weights) for x, _ in left for y, _ in right))
+
+
+def test_wide_domains_need_little_memory():
+    """200 values on each of four axes: what the closure carries and what a block takes."""
+    import pickle
+    import tracemalloc
+
+    sizes = dict.fromkeys("abcd", 200)
+    form = D.GowerForm(sizes, [1, 1, 3, 3])
+    assert len(pickle.dumps(form)) < 50_000
+    rng = random.Random(2)
+    counts = [counts_of(random_profile(rng, sizes)[1], sizes) for _ in range(1024)]
+    frame = pd.DataFrame({"slots": [list(c) for c in counts], "amounts": [list(c.values()) for c in counts]})
+    tracemalloc.start()
+    form.totals(frame, frame)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200 << 20
 
 
 def brute_linkage(d, n, k=None, limit=None):
@@ -100,7 +133,7 @@ def test_linkage_matches_brute_force(spark, block, seed):
     sizes = rng.integers(1, 6, 24).astype(float)
     points = points_frame(spark, vectors, sizes)
     d = 1 - vectors @ vectors.T
-    merges = L.average_linkage(points, ["g"], 5, block=block)
+    merges = L.average_linkage(points, ["g"], D.CosineForm(), block=block)
     assert merges.count() == 23
     for k in (1, 4, 11, 24):
         ks = spark.createDataFrame([(0, k)], "g int, k int")
@@ -110,13 +143,27 @@ def test_linkage_matches_brute_force(spark, block, seed):
         assert sorted(sorted(g) for g in got.values()) == brute_linkage(d, sizes, k)
         assert sorted(got) == list(range(k))
     if block == 1024:
-        below = L.average_linkage(points, ["g"], 5, max_height=0.8, block=block)
+        below = L.average_linkage(points, ["g"], D.CosineForm(), max_height=0.8, block=block)
         got = {}
         for r in L.cut_tree(points, below, ["g"]).collect():
             got.setdefault(r["cluster"], []).append(r["id"])
         assert sorted(sorted(g) for g in got.values()) == brute_linkage(d, sizes, limit=0.8)
 
 
+def test_clusters_look_again_only_after_a_merge(spark):
+    """Work per round falls, and the tree is the one of a single block."""
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(size=(400, 6))
+    points = points_frame(spark, vectors / np.linalg.norm(vectors, axis=1, keepdims=True), np.ones(400))
+    looked = []
+    many = L.average_linkage(points, ["g"], D.CosineForm(), max_height=0.9, block=60, watch=lambda *r: looked.append(r))
+    one = L.average_linkage(points, ["g"], D.CosineForm(), max_height=0.9)
+    assert {(r.a, r.b, round(r.height, 7)) for r in many.collect()} == {(r.a, r.b, round(r.height, 7)) for r in one.collect()}
+    assert len(looked) >= 3 and looked[0][2] == 400
+    assert all(looking < clusters for _, clusters, looking in looked[1:]), looked
+    assert sum(r[2] for r in looked) < 0.9 * sum(r[1] for r in looked), looked
+
+
 def test_tied_linkage_does_not_depend_on_blocks_or_partitions(spark, sf):
     rows = V.cells(spark, sf).filter("payment_group = 'n2'")
     table = SG.catalogue_table(rows)
