@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from segloom.config import AXES, CELL, GOWER_WEIGHTS, MISSING, PARTIAL_DISTANCE, PARTIAL_WEIGHT, SegmentConfig
 from segloom.functions.columns import is_missing
-from segloom.operators.blocks import BLOCK, over_block_pairs
+from segloom.operators.blocks import BLOCK, over_block_pairs, over_blocks
 from segloom.operators.stats import compress
+from segloom.runtime import cut
 
 
 def axis_contribution(a: Column, b: Column) -> tuple[Column, Column]:
@@ -266,22 +267,108 @@ def dot(a: str | Column, b: str | Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def cosine_nearest(vectors: DataFrame, by: Sequence[str], key: str, vector: str, block: int = BLOCK) -> DataFrame:
-    """Per vector: the nearest other vector of its group and their cosine distance."""
+PIVOTS = 256  # reference points of a nearest-neighbour join, at most
+NEAR_CELLS = 2  # cells whose vectors a vector meets before any bound is known
+_SLACK = 1e-7  # of angles, so that rounding never hides a neighbour
+
+
+def _angles(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(x @ pivots.T, -1.0, 1.0))
+
+
+def cosine_nearest(vectors: DataFrame, by: Sequence[str], key: str, vector: str, block: int = BLOCK, pivots: int = PIVOTS, watch: Callable[[int, int], None] | None = None) -> DataFrame:
+    """Per vector: the nearest other vector of its group and their cosine distance.
+
+    Vectors belong to the cell of their nearest reference point (a bounded sample of
+    them). Each one first meets the vectors of its nearest cells; the angle found
+    is a bound. A cell all of whose vectors are within r of its point, at an angle
+    a from the vector, holds nothing nearer than a - r, so only cells below the
+    bound are visited then. Equal vectors of a group are met once; zero vectors have
+    the distance 1 to all others. `watch(visits, all)` is told the visits of vectors
+    to cells that the bound leaves, and those without it. Ties go to the smallest key.
+    """
     by = list(by)
+    types = dict(vectors.dtypes)
     units = vectors.select(*by, key, unit_vector(vector).alias("_u"))
+    members = units.groupBy(*by, "_u").agg(F.min(key).alias("_k"), F.count("*").alias("_m"))
+    # The second smallest key of equal vectors, for the smallest one.
+    copies = units.join(members.filter("_m > 1"), [*by, "_u"]).filter(F.col(key) != F.col("_k"))
+    second = copies.groupBy(*by, "_k").agg(F.min(key).alias("_second"))
+    classes = cut(members.join(second, [*by, "_k"], "left").withColumn("_zero", ~F.exists("_u", lambda x: x != 0)))
+    whole = classes.filter("NOT _zero")
+    count = whole.count()
+    dims = whole.select(F.max(F.size("_u"))).first()[0] or 1
+    # About a block of vectors per cell, within the bound.
+    wanted = int(max(1, min(pivots, -(-count // block) * 4)))
+    sample = whole.orderBy(F.xxhash64("_u"), "_k").limit(wanted).select("_u").collect()
+    points = np.unique(np.array([r["_u"] for r in sample], float).reshape(-1, dims), axis=0) if sample else np.zeros((0, dims))
+
+    def placed(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            angle = _angles(np.stack(batch["_u"].to_numpy()), points)
+            near = np.argsort(angle, axis=1, kind="stable")[:, :NEAR_CELLS]
+            at = np.arange(len(batch))
+            yield batch.assign(_cell=near[:, 0].astype(np.int32), _angle=angle[at, near[:, 0]], _first=list(near.astype(np.int32)))
+
+    base = ", ".join([*[f"{n} {types[n]}" for n in by], f"_k {types[key]}", "_u array<double>"])
+    dealt = cut(whole.select(*by, "_k", "_u").mapInPandas(placed, f"{base}, _cell int, _angle double, _first array<int>"))
+    radius = np.zeros(len(points))
+    for r in dealt.groupBy("_cell").agg(F.max("_angle").alias("r")).collect():  # a row per reference point
+        radius[r["_cell"]] = r["r"]
+    cell = [*by, "_cell"]
+    held = dealt.select(*cell, "_k", "_u")
 
     def reduce(rows, others):
         d = 1.0 - np.stack(rows["_u"].to_numpy()) @ np.stack(others["_u"].to_numpy()).T
-        d[rows[key].to_numpy()[:, None] == others[key].to_numpy()[None, :]] = np.inf
-        best = d.argmin(axis=1)
-        out = rows[[*by, key]].copy()
-        out["distance"] = d[np.arange(len(rows)), best]
-        out["neighbour"] = others[key].to_numpy()[best]
+        mine, theirs = rows["_k"].to_numpy(), others["_k"].to_numpy()
+        d[mine[:, None] == theirs[None, :]] = np.inf
+        low = d.min(axis=1)
+        ranks = np.where(d == low[:, None], np.argsort(np.argsort(theirs))[None, :], len(theirs))
+        best = ranks.argmin(axis=1)
+        out = rows[[*by, "_k"]].copy()
+        out["distance"], out["neighbour"] = low, theirs[best]
         return out[np.isfinite(out["distance"])]
 
-    types = dict(units.dtypes)
-    schema = ", ".join([*[f"{n} {types[n]}" for n in [*by, key]], "distance double", f"neighbour {types[key]}"])
-    parts = over_block_pairs(units, by, key, reduce, schema, block)
-    best = F.min(F.struct("distance", "neighbour")).alias("b")
-    return parts.groupBy(*by, key).agg(best).select(*by, key, "b.neighbour", "b.distance")
+    schema = ", ".join([*[f"{n} {types[n]}" for n in by], f"_k {types[key]}", "distance double", f"neighbour {types[key]}"])
+
+    def met(visits: DataFrame) -> DataFrame:
+        return over_blocks(visits.select(*cell, "_k", "_u"), held, cell, "_k", reduce, schema, block)
+
+    first = met(dealt.withColumn("_cell", F.explode("_first")))
+    bound = first.groupBy(*by, "_k").agg(F.min(F.struct("distance", "neighbour")).alias("b"))
+    bounded = cut(dealt.join(bound, [*by, "_k"], "left").withColumn("_bound", F.col("b.distance")))
+
+    def visiting(batches):
+        for batch in batches:
+            if not len(batch):
+                continue
+            bound_ = np.arccos(np.clip(1.0 - batch["_bound"].fillna(2.0).to_numpy(float), -1.0, 1.0))
+            reach = _angles(np.stack(batch["_u"].to_numpy()), points) - radius
+            for row, own in zip(reach, batch["_first"]):
+                row[np.asarray(own, int)] = np.inf  # visited
+            go = [np.flatnonzero(row <= b + _SLACK).astype(np.int32) for row, b in zip(reach, bound_)]
+            yield batch[[*by, "_k", "_u"]].assign(_go=go)
+
+    again = bounded.select(*by, "_k", "_u", "_first", "_bound").mapInPandas(visiting, f"{base}, _go array<int>")
+    again = cut(again)
+    if watch:
+        watch(int(again.agg(F.sum(F.size("_go"))).first()[0] or 0), count * max(0, len(points) - NEAR_CELLS))
+    second_visits = met(again.select(*by, "_k", "_u", F.explode("_go").alias("_cell")))
+    found = bounded.filter("b IS NOT NULL").select(*by, "_k", "b.distance", "b.neighbour").unionByName(second_visits)
+    # A zero vector is at distance 1 from every other one, the smallest of its group among them.
+    smallest = classes.groupBy(*by).agg(F.min("_k").alias("_low"), F.min(F.when(F.col("_zero"), F.col("_k"))).alias("_zero_k"))
+    next_low = classes.join(smallest, by).filter(F.col("_k") != F.col("_low")).groupBy(*by).agg(F.min("_k").alias("_next"))
+    ends = smallest.join(next_low, by, "left")
+    zero = classes.filter("_zero").join(ends, by)
+    zero = zero.select(*by, "_k", F.lit(1.0).alias("distance"), F.when(F.col("_k") == F.col("_low"), F.col("_next")).otherwise(F.col("_low")).alias("neighbour"))
+    beside_zero = whole.join(ends.filter("_zero_k IS NOT NULL"), by).select(*by, "_k", F.lit(1.0).alias("distance"), F.col("_zero_k").alias("neighbour"))
+    found = found.unionByName(zero.filter("neighbour IS NOT NULL")).unionByName(beside_zero)
+    best = found.groupBy(*by, "_k").agg(F.min(F.struct("distance", "neighbour")).alias("b"))
+    # Copies of a vector are each other's nearest ones, but for zero vectors.
+    per_class = classes.join(best, [*by, "_k"], "left")
+    full = units.join(per_class, [*by, "_u"])
+    twin = F.when(F.col(key) == F.col("_k"), F.col("_second")).otherwise(F.col("_k"))
+    own = F.when(F.col("_m") > 1, F.struct(F.when(F.col("_zero"), 1.0).otherwise(0.0).alias("distance"), twin.alias("neighbour")))
+    return full.withColumn("b", F.least(own, F.col("b"))).filter("b IS NOT NULL").select(*by, key, "b.neighbour", "b.distance")
