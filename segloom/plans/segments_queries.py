@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from segloom.config import CELL, COARSE_CONFIG, DEFAULT_CONFIG, HYBRID, KEY_AXES, MISSING, TUNED_CONFIG, SegmentConfig
@@ -57,7 +57,37 @@ def segments_by_purpose(spark, sf):
     return sizes(MG.merge_by_key(V.labeled(spark, sf), "raw_cluster_id", key=lambda _: F.array("dom_purpose"), absorb=False))
 
 
-@query("absorbed_segments")
+def absorbed_sql(limit):
+    """Segments that finally hold each key: a recursive query whose state is a cell's lists, one absorption a step.
+
+    The rest of a pass waits in `queue`, smallest first by the sizes at its start; passes repeat while one has moved something.
+    """
+    alike = "len(list_filter(list_zip(keys[i], keys[j]), lambda z: z[1] = z[2]))"
+    others = "list_filter(range(1, len(alive) + 1), lambda j: alive[j] AND j <> i)"
+    small = f"list_filter(range(1, len(alive) + 1), lambda j: alive[j] AND sizes[j] < least)"
+    return f"""lists AS (SELECT {CELLS}, list(first ORDER BY first) AS firsts, list(string_split(merge_key, '|') ORDER BY first) AS keys, list(n ORDER BY first) AS sizes, {limit} AS least FROM seg GROUP BY {CELLS}),
+      walk AS (
+        SELECT {CELLS}, least, firsts, keys, sizes, range(1, len(firsts) + 1) AS held, list_transform(firsts, lambda x: TRUE) AS alive, []::BIGINT[] AS queue, TRUE AS moved, 0 AS step FROM lists
+        UNION ALL
+        SELECT {CELLS}, least, firsts, keys,
+          CASE WHEN act THEN list_transform(sizes, lambda s, j: s + CASE WHEN j = target THEN sizes[i] ELSE 0 END) ELSE sizes END,
+          CASE WHEN act THEN list_transform(held, lambda t: CASE WHEN t = i THEN target ELSE t END) ELSE held END,
+          CASE WHEN act THEN list_transform(alive, lambda x, j: x AND j <> i) ELSE alive END,
+          CASE WHEN len(queue) > 0 THEN queue[2:] ELSE again END, len(queue) > 0 AND (moved OR act), step + 1
+        FROM (SELECT *, list_min(list_transform({others}, lambda j: {{'a': -{alike}, 's': -sizes[j], 'j': j}})).j AS target,
+            list_transform(list_sort(list_transform({small}, lambda j: {{'s': sizes[j], 'j': j}})), lambda x: x.j) AS again,
+            len(queue) > 0 AND sizes[i] < least AND len(list_filter(alive, lambda x: x)) > 1 AS act FROM (SELECT *, queue[1] AS i FROM walk))
+        WHERE len(queue) > 0 OR (moved AND len(again) > 0)),
+      ended AS (SELECT {CELLS}, arg_max(firsts, step) AS firsts, arg_max(held, step) AS held FROM walk GROUP BY ALL),
+      held AS (SELECT {CELLS}, unnest(firsts) AS first, unnest(list_transform(held, lambda j: firsts[j])) AS into_ FROM ended)"""
+
+
+@query(
+    "absorbed_segments",
+    f"""WITH RECURSIVE {MERGED}, {absorbed_sql("(SELECT greatest(10, count(*) // 90) FROM v_labeled)")}
+        SELECT {CELLS}, into_ AS "into", CAST(sum(n) AS BIGINT) AS n, count(*) AS n_keys FROM seg JOIN held USING (job_type, payment_group, first) GROUP BY ALL""",
+    LABELED,
+)
 def absorbed_segments(spark, sf):
     """Segments after absorbing those below a tenth of the mean cell size of the rows."""
     rows = V.labeled(spark, sf)
@@ -67,6 +97,23 @@ def absorbed_segments(spark, sf):
     return MG.absorb_small(segments, min_size=limit).groupBy(*CELL, "into").agg(F.sum("n").alias("n"), F.count("*").alias("n_keys"))
 
 
+@query(
+    "absorbed_profiles",
+    f"""WITH RECURSIVE seg AS (SELECT *, CAST(row_number() OVER (PARTITION BY {CELLS} ORDER BY merge_key) AS INT) AS first FROM
+          (SELECT {CELLS}, purpose || '|' || place || '|' || topic AS merge_key, count(*) AS n FROM v_labeled GROUP BY ALL)),
+        {absorbed_sql("(SELECT greatest(10, count(*) // 200) FROM v_labeled)")}
+        SELECT {CELLS}, into_ AS "into", CAST(sum(n) AS BIGINT) AS n, count(*) AS n_keys FROM seg JOIN held USING (job_type, payment_group, first) GROUP BY ALL""",
+    LABELED,
+)
+def absorbed_profiles(spark, sf):
+    """Every purpose, place and topic a segment of its own: most are too small and are absorbed in many steps."""
+    rows = V.labeled(spark, sf)
+    segments = rows.groupBy(*CELL, F.concat_ws("|", "purpose", "place", "topic").alias("k")).agg(F.count("*").alias("n"))
+    order = F.row_number().over(Window.partitionBy(*CELL).orderBy("k"))  # over the distinct keys of a cell
+    segments = segments.select(*CELL, F.split("k", r"\|").alias("merge_key"), "n", order.alias("first_cluster"))
+    return MG.absorb_small(segments, min_size=max(10, rows.count() // 200)).groupBy(*CELL, "into").agg(F.sum("n").alias("n"), F.count("*").alias("n_keys"))
+
+
 DOMS2 = dominant_sql("stage", CELLS + ", segment_id", KEY_AXES)
 COARSE2 = key_sql(f"CASE WHEN dom_topic NOT IN ('{HYBRID}', '{M}') THEN dom_topic END")
 
@@ -162,7 +209,20 @@ def split_by_purpose(spark, sf):
     return sizes(MG.split_by_purpose(topic_segments(spark, sf), SMALL_SPLIT)[0])
 
 
-@query("split_log")
+PLACE_PART, PLACE_FITS = f"place = '{M}'", f"n >= 300 AND n_b / n >= 0.25 AND n_b >= 30 AND dom_place <> '{HYBRID}'"
+
+
+@query(
+    "split_log",
+    f"""WITH op AS (SELECT *, {PLACE_PART} AS part FROM v_assigned WHERE segment_id <> -1),
+      c AS (SELECT {CELLS}, segment_id, count(*) FILTER (part) AS n_b, count(*) FILTER (NOT part) AS n_a, min(segment_key) AS original_name FROM op GROUP BY ALL),
+      q AS (SELECT * FROM ({dominant_sql("op", CELLS + ", segment_id", ("purpose", "place", "topic"))}) JOIN c USING (job_type, payment_group, segment_id) WHERE {PLACE_FITS}),
+      inside AS (SELECT op.* FROM op JOIN q USING (job_type, payment_group, segment_id)),
+      nm AS ({names_sql('inside', CELLS + ', segment_id, part')})
+      SELECT {CELLS}, original_name, q.n AS total, coalesce(max(plain) FILTER (NOT part), '기타') AS name_a, n_a, max(no_place) FILTER (part) AS name_b, n_b
+      FROM q JOIN nm USING (job_type, payment_group, segment_id) GROUP BY {CELLS}, segment_id, original_name, q.n, n_a, n_b""",
+    ASSIGNED,
+)
 def split_log(spark, sf):
     """What the place split did, one row per split segment."""
     return MG.split_by_place(V.assigned(spark, sf), SMALL_SPLIT)[1]
@@ -184,12 +244,70 @@ def renamed_segments(spark, sf):
 EVERYTHING = SegmentConfig(absorb_ambiguous=True, place_split=True, purpose_split=True, rename=True, split_min_segment=300)
 
 
-@query("postprocessed_segments")
+def ambiguous_ctes(src, out):
+    """`out`: the rows of `src` after vague segments have become info-poor."""
+    doms = dominant_sql(f"(SELECT * FROM {src} WHERE segment_id <> -1)", CELLS + ", segment_id", ("purpose", "place"))
+    return f"""{out}_d AS (SELECT *, dom_purpose IN ('{HYBRID}', '{M}') AND dom_place IN ('{HYBRID}', '{M}') AS vague FROM ({doms})),
+      {out}_r AS (SELECT {CELLS}, segment_id, vague, CASE WHEN vague THEN -1 WHEN bool_or(vague) OVER (PARTITION BY {CELLS})
+        THEN row_number() OVER (PARTITION BY {CELLS}, vague ORDER BY segment_id) - 1 ELSE segment_id END AS new FROM {out}_d),
+      {out} AS MATERIALIZED (SELECT s.* REPLACE (CAST(coalesce(r.new, s.segment_id) AS INT) AS segment_id, CASE WHEN r.vague THEN '정보 부족형' ELSE s.segment_key END AS segment_key)
+        FROM {src} s LEFT JOIN {out}_r r ON r.job_type = s.job_type AND r.payment_group = s.payment_group AND r.segment_id = s.segment_id)"""
+
+
+def split_ctes(src, out, part, fits, name_b):
+    """`out`: the rows of `src` after a split (see `split_sql`)."""
+    doms = dominant_sql(f"{out}_op", CELLS + ", segment_id", ("purpose", "place", "topic"))
+    return f"""{out}_op AS (SELECT *, {part} AS part FROM {src} WHERE segment_id <> -1),
+      {out}_c AS (SELECT {CELLS}, segment_id, count(*) FILTER (part) AS n_b, count(*) FILTER (NOT part) AS n_a FROM {out}_op GROUP BY ALL),
+      {out}_d AS (SELECT *, max(segment_id) OVER (PARTITION BY {CELLS}) AS last FROM ({doms}) JOIN {out}_c USING (job_type, payment_group, segment_id)),
+      {out}_q AS (SELECT *, last + row_number() OVER (PARTITION BY {CELLS} ORDER BY segment_id) AS new FROM {out}_d WHERE {fits}),
+      {out}_inside AS (SELECT o.* FROM {out}_op o JOIN {out}_q USING (job_type, payment_group, segment_id)),
+      {out}_nm AS ({names_sql(out + '_inside', CELLS + ', segment_id, part')}),
+      {out}_z AS (SELECT s.* REPLACE (CASE WHEN s.segment_id = -1 THEN -1 WHEN q.new IS NOT NULL AND {part} THEN q.new ELSE s.segment_id END AS segment_id,
+        CASE WHEN q.new IS NULL THEN s.segment_key WHEN {part} THEN nm.{name_b} ELSE nm.plain END AS segment_key)
+        FROM {src} s LEFT JOIN {out}_q q ON q.job_type = s.job_type AND q.payment_group = s.payment_group AND q.segment_id = s.segment_id
+        LEFT JOIN {out}_nm nm ON nm.job_type = s.job_type AND nm.payment_group = s.payment_group AND nm.segment_id = s.segment_id AND nm.part = ({part})),
+      {out} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN segment_id = -1 THEN -1 ELSE CAST(dense_rank() OVER (PARTITION BY {CELLS}, segment_id = -1 ORDER BY segment_id) - 1 AS INT) END AS segment_id) FROM {out}_z)"""
+
+
+PURPOSE_PART = "purpose <> '포트폴리오'"
+PURPOSE_FITS = "n >= 300 AND n_a / n >= 0.25 AND n_a >= 30 AND n_b >= 30 AND dom_purpose <> '포트폴리오' AND dom_topic = '스냅'"
+
+
+def postprocessed_sql(base):
+    return f"""WITH base AS MATERIALIZED ({base}), {ambiguous_ctes('base', 'one')}, {split_ctes('one', 'two', PLACE_PART, PLACE_FITS, 'no_place')},
+      {split_ctes('two', 'three', PURPOSE_PART, PURPOSE_FITS, 'plain')},
+      cur AS (SELECT {CELLS}, segment_id, min(segment_key) AS current FROM three WHERE segment_id <> -1 GROUP BY ALL),
+      names AS ({names_sql('(SELECT * FROM three WHERE segment_id <> -1)', CELLS + ', segment_id')}),
+      final AS (SELECT {CELLS}, segment_id, CASE WHEN current LIKE '%·장소미기재' THEN no_place ELSE plain END AS name FROM names JOIN cur USING (job_type, payment_group, segment_id))
+      SELECT t.job_type, t.payment_group, t.segment_id, coalesce(f.name, t.segment_key) AS segment_key, count(*) AS n
+      FROM three t LEFT JOIN final f ON f.job_type = t.job_type AND f.payment_group = t.payment_group AND f.segment_id = t.segment_id GROUP BY ALL"""
+
+
+@query("postprocessed_segments", postprocessed_sql(TOPICS), ASSIGNED)
 def postprocessed_segments(spark, sf):
     """All optional steps one after the other."""
     return sizes(MG.postprocess(topic_segments(spark, sf), EVERYTHING)[0])
 
 
+SNAPS = """SELECT * REPLACE (CASE WHEN segment_id % 2 = 0 THEN '스냅' ELSE topic END AS topic, CASE WHEN purpose IN ('MEDIUM', 'STANDARD') THEN '포트폴리오' ELSE purpose END AS purpose,
+  CASE WHEN segment_id % 2 = 0 AND place = 'R' THEN 'A' ELSE place END AS place) FROM v_assigned"""
+
+
+@query("postprocessed_assignment", postprocessed_sql(SNAPS), ASSIGNED)
+def postprocessed_assignment(spark, sf):
+    """The same on the assigned segments, half of them with one topic: some are absorbed, some split."""
+    snap = F.col("segment_id") % 2 == 0
+    rows = V.assigned(spark, sf).withColumns(
+        {
+            "topic": F.when(snap, F.lit("스냅")).otherwise(F.col("topic")),
+            "purpose": F.when(F.col("purpose").isin("MEDIUM", "STANDARD"), "포트폴리오").otherwise(F.col("purpose")),
+            "place": F.when(snap & (F.col("place") == "R"), "A").otherwise(F.col("place")),
+        }
+    )
+    return sizes(MG.postprocess(rows, EVERYTHING)[0])
+
+
 @query("segment_catalogue")
 def segment_catalogue(spark, sf):
     """The catalogue build over all cells: rows per segment."""
