@@ -134,3 +134,25 @@ class SegmentConfig:
 DEFAULT_CONFIG = SegmentConfig()
 TUNED_CONFIG = SegmentConfig(cell_raw_k_scale=dict(TUNED_K_SCALE), min_segment_size=25)
 COARSE_CONFIG = SegmentConfig(coarse_merge=True)
+
+# The sets of variants that are compared.
+WEIGHT_VARIANTS = {
+    "v1_w1111_3axis": SegmentConfig(gower_weights=(1.0, 1.0, 1.0, 1.0, 0.0, 0.0), treatment_in_key=False),
+    "v2_w1122_3axis": SegmentConfig(gower_weights=(1.0, 1.0, 2.0, 2.0, 0.0, 0.0), treatment_in_key=False),
+    "v3_w1122_4axis": SegmentConfig(gower_weights=(1.0, 1.0, 2.0, 2.0, 0.0, 0.0)),
+    "v4_w1133_4axis": SegmentConfig(gower_weights=(1.0, 1.0, 3.0, 3.0, 0.0, 0.0)),
+}
+DENSITY_VARIANTS = {
+    "v5_dense_nocoarse": SegmentConfig(gower_weights=(1.0, 1.0, 2.0, 2.0, 0.0, 0.0)),
+    "v6_dense_dom70": SegmentConfig(gower_weights=(1.0, 1.0, 2.0, 2.0, 0.0, 0.0), dominant_threshold=0.70),
+    "v7_dense_k24": SegmentConfig(gower_weights=(1.0, 1.0, 2.0, 2.0, 0.0, 0.0), raw_k_scale=1.5),
+}
+EXTENDED_VARIANTS = {
+    "v7_dense_k24": DENSITY_VARIANTS["v7_dense_k24"],
+    "v8_dense_k32": SegmentConfig(gower_weights=(1.0, 1.0, 2.0, 2.0, 0.0, 0.0), raw_k_scale=2.0),
+    "v9_dense_w1144": SegmentConfig(gower_weights=(1.0, 1.0, 4.0, 4.0, 0.0, 0.0), raw_k_scale=1.5),
+    "v10_dense_split": SegmentConfig(
+        gower_weights=(1.0, 1.0, 2.0, 2.0, 0.0, 0.0), raw_k_scale=1.5,
+        split_min_segment=400, split_min_missing_ratio=0.18, split_part_min_size=20,
+    ),
+}

@@ -223,6 +223,20 @@ class GowerForm:
         return [F.map_keys(both).alias("slots"), F.map_values(both).alias("amounts")]
 
 
+class FormPerGroup:
+    """Forms that a column of the group's key chooses among; they differ in weights only."""
+
+    columns = GowerForm.columns
+    constant = GowerForm.constant
+    merged = staticmethod(GowerForm.merged)
+
+    def __init__(self, column: str, forms: Mapping[str, GowerForm]):
+        self.column, self.forms = column, dict(forms)
+
+    def totals(self, rows: pd.DataFrame, others: pd.DataFrame) -> np.ndarray:
+        return self.forms[rows[self.column].iloc[0]].totals(rows, others)
+
+
 class CosineForm:
     """Sums of cosine distances between groups of unit vectors, less their number, from sums of vectors."""
 

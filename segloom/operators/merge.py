@@ -87,7 +87,7 @@ def cluster_info(
     return info.withColumns({"merge_key": merge_key(use), "coarse_key": coarse_key(use)})
 
 
-def absorb_small(segments: DataFrame, by: Sequence[str] = CELL, min_size: int = 10) -> DataFrame:
+def absorb_small(segments: DataFrame, by: Sequence[str] = CELL, min_size: int | Column = 10) -> DataFrame:
     """Adds `into`: the `first_cluster` of the segment that finally holds each segment.
 
     Segments below `min_size` join, smallest first, the segment whose key agrees
@@ -102,15 +102,15 @@ def absorb_small(segments: DataFrame, by: Sequence[str] = CELL, min_size: int =
         cell = cell.sort_values("first_cluster", ignore_index=True)
         keys = [tuple(k) for k in cell["merge_key"]]
         alike = np.array([[sum(p == q for p, q in zip(a, b)) for b in keys] for a in keys])
-        size = cell["n"].to_numpy().copy()
+        size, least = cell["n"].to_numpy().copy(), cell["_least"].iloc[0]
         into = np.arange(len(cell))
         alive = np.ones(len(cell), bool)
         moved = True
         while moved:
             moved = False
-            small = np.flatnonzero(alive & (size < min_size))
+            small = np.flatnonzero(alive & (size < least))
             for i in small[np.argsort(size[small], kind="stable")]:
-                if size[i] >= min_size or alive.sum() == 1:
+                if size[i] >= least or alive.sum() == 1:
                     continue
                 alive[i] = False
                 others = np.flatnonzero(alive)
@@ -122,7 +122,7 @@ def absorb_small(segments: DataFrame, by: Sequence[str] = CELL, min_size: int =
         out["into"] = cell["first_cluster"].to_numpy()[into]
         return out
 
-    wanted = segments.select(*by, "first_cluster", "merge_key", "n")
+    wanted = segments.select(*by, "first_cluster", "merge_key", "n", F.lit(min_size).cast("long").alias("_least"))
     return segments.join(wanted.groupBy(*by).applyInPandas(settle, schema), [*by, "first_cluster"])
 
 

@@ -147,10 +147,12 @@ def fill_place(place: Column, categories: Column, text: Column) -> Column:
     studio = conflicts(categories, [STUDIO_CATEGORY]) | matches_phrases(text, STUDIO_TEXT)
     outdoor = matches_phrases(text, OUTDOOR_TEXT)
     home = matches_phrases(text, HOME_TEXT)
-    # bit per signal; with exactly one signal the order of the checks does not matter
-    signals = studio.cast("int") + outdoor.cast("int") * 2 + home.cast("int") * 4
-    values = F.create_map(F.lit(1), F.lit(STUDIO), F.lit(2), F.lit(OUTDOOR), F.lit(4), F.lit(HOME))
-    return F.when(place == MISSING, F.coalesce(F.try_element_at(values, signals), place)).otherwise(place)
+    found = (
+        F.when(studio & ~outdoor & ~home, F.lit(STUDIO))
+        .when(outdoor & ~studio & ~home, F.lit(OUTDOOR))
+        .when(home & ~studio & ~outdoor, F.lit(HOME))
+    )
+    return F.when(place == MISSING, F.coalesce(found, place)).otherwise(place)
 
 
 def apply_rules(
@@ -196,27 +198,40 @@ def rule_impact(df: DataFrame, **names) -> DataFrame:
     )
 
 
-def tier_comparison(df: DataFrame, tiers: Iterable[str] = TIERS, focus: Column | None = None, **names) -> DataFrame:
-    """Missing-axis figures under each tier, from one scan.
+def tier_rows(df: DataFrame, tiers: Iterable[str], keep: Iterable[str], **names) -> DataFrame:
+    """Rows per tier (tier, the `keep` columns, n) with all corrections, from one scan of the texts.
 
-    The other corrections do not depend on the tier, so they run once; only the
-    topic is evaluated per tier, and a row becomes one small record per tier.
+    Only the topic depends on the tier: rows are compressed with what the snap rule
+    looks at, and each of the few distinct rows then becomes one per tier.
     """
-    if focus is None:
-        focus = cell_slug() == FOCUS_CELL if set(CELL) <= set(df.columns) else F.lit(True)
-    base = apply_rules(df, snap=False, **names).withColumn(
-        "_text", full_text(names.get("title", "title"), names.get("content", "content"))
-    )
+    keep = list(keep)
+    base = apply_rules(df, snap=False, **names).withColumn("_text", full_text(names.get("title", "title"), names.get("content", "content")))
     signals = topic_signals(F.col(names.get("categories", "categories")), F.col("_text"))
-    base = base.select(*DENSITY_AXES, focus.alias("_focus"), *[c.alias(f"_{n}") for n, c in signals.items()])
+    marked = [f"_{n}" for n in signals]
+    small = base.select(*keep, *[c.alias(f"_{n}") for n, c in signals.items()]).groupBy(*keep, *marked).agg(F.count("*").alias("n"))
     once = {n: F.col(f"_{n}") for n in signals}
-    per_tier = F.array(
-        *[F.struct(F.lit(t).alias("tier"), snap_topic(F.col("topic"), once, t).alias("topic")) for t in tiers]
-    )
-    others = [a for a in DENSITY_AXES if a != "topic"]
-    rows = base.select(
-        info_density(others).alias("_others"), "_focus", F.inline(per_tier)
-    ).groupBy("tier", "topic", "_others", "_focus").agg(F.count("*").alias("n"))
+    per_tier = F.array(*[F.struct(F.lit(t).alias("tier"), snap_topic(F.col("topic"), once, t).alias("_topic")) for t in tiers])
+    out = small.select("*", F.inline(per_tier)).withColumn("topic", F.col("_topic"))
+    return out.groupBy("tier", *keep).agg(F.sum("n").alias("n"))
+
+
+def tier_comparison(df: DataFrame, tiers: Iterable[str] = TIERS, focus: Column | None = None, **names) -> DataFrame:
+    """Missing-axis figures under each tier, from one scan."""
+    keep = [*DENSITY_AXES, *[c for c in CELL if c in df.columns]]
+    if focus is not None:
+        df, keep = df.withColumn("_focus", focus), [*keep, "_focus"]
+    return tier_figures(tier_rows(df, tiers, keep, **names))
+
+
+def tier_figures(rows: DataFrame) -> DataFrame:
+    """Missing-axis figures per tier of `tier_rows`; the focus is `_focus`, else the focus cell, else everything."""
+    focus = F.lit(True)
+    if "_focus" in rows.columns:
+        focus = F.col("_focus")
+    elif set(CELL) <= set(rows.columns):
+        focus = cell_slug() == FOCUS_CELL
+    others = info_density([a for a in DENSITY_AXES if a != "topic"])
+    rows = rows.select("tier", "topic", others.alias("_others"), focus.alias("_focus"), "n")
     missing, snapped = F.col("topic") == MISSING, F.col("topic") == SNAP
     figures = rows.groupBy("tier").agg(
         F.sum("n").alias("n_rows"),

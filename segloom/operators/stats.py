@@ -190,9 +190,9 @@ def segment_rows(df: DataFrame, digits: int | None = None, **kw) -> DataFrame:
 
 def catalogue_metrics(
     segments: DataFrame, gates: Gates = Gates(), focus: str | None = None, focus_total: int | None = None,
-    catch_cells: Iterable[str] | None = None, segment: str = "segment_id",
+    catch_cells: Iterable[str] | None = None, segment: str = "segment_id", by: Iterable[str] = (),
 ) -> DataFrame:
-    """One row of catalogue figures from `segment_table`.
+    """One row of catalogue figures from `segment_table`, or one per group of `by`.
 
     `focus_total` replaces the focus cell's operational row count as denominator.
     """
@@ -202,7 +202,7 @@ def catalogue_metrics(
     catch = list(catch_cells if catch_cells is not None else CATCH_ALL_CELLS)
     slug = cell_slug()
     op = F.col(segment) != -1
-    per_cell = segments.groupBy(slug.alias("slug")).agg(
+    per_cell = segments.groupBy(*by, slug.alias("slug")).agg(
         F.count_if(op).alias("segs"),
         F.sum(F.when(~op, F.col("n")).otherwise(0)).alias("poor"),
         F.count_if(op & (F.col("n") < gates.micro_n)).alias("micro"),
@@ -211,7 +211,7 @@ def catalogue_metrics(
         F.sum(F.when(op, F.col("n")).otherwise(0)).alias("op_n"),
     )
     here = F.col("slug") == focus
-    out = per_cell.agg(
+    out = per_cell.groupBy(*by).agg(
         F.sum("segs").alias("n_segments"),
         F.sum("poor").alias("n_poor"),
         F.sum("micro").alias("n_micro"),
@@ -246,15 +246,15 @@ def cell_summary(df: DataFrame, raw: str = "raw_cluster_id", segment: str = "seg
     )
 
 
-def purity(df: DataFrame, axes: Iterable[str] = DENSITY_AXES, by: Iterable[str] = (*CELL, "segment_id"), segment: str = "segment_id", weight: str | None = None) -> DataFrame:
-    """Size-weighted mean over segments of the mean top share on the axes.
+def purity(df: DataFrame, axes: Iterable[str] = DENSITY_AXES, by: Iterable[str] = (*CELL, "segment_id"), segment: str = "segment_id", weight: str | None = None, over: Iterable[str] = ()) -> DataFrame:
+    """Size-weighted mean over segments of the mean top share on the axes, per group of `over`.
 
     by=(segment_id,) pools equal ids of different cells.
     """
-    axes = list(axes)
+    axes, by = list(axes), [*over, *by]
     tops = top_values(df.filter(F.col(segment) != -1), by, axes, weight)
     per = tops.groupBy(*by).agg(F.max("total").alias("n"), (F.sum(F.col("top_n") / F.col("total")) / len(axes)).alias("p"))
-    return per.agg(
+    return per.groupBy(*over).agg(
         F.coalesce(F.sum(F.col("p") * F.col("n")) / F.sum("n"), F.lit(0.0)).alias("purity"), F.count("*").alias("n_segments")
     )
 

@@ -7,7 +7,23 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from segloom.config import CELL, COARSE_CONFIG, DEFAULT_CONFIG, HYBRID, KEY_AXES, MISSING, TUNED_CONFIG, SegmentConfig
+from segloom.config import (
+    CELL,
+    COARSE_CONFIG,
+    DEFAULT_CONFIG,
+    DENSITY_AXES,
+    DENSITY_VARIANTS,
+    EXTENDED_VARIANTS,
+    HYBRID,
+    KEY_AXES,
+    MISSING,
+    SINGLE_SEGMENT_CELL,
+    TUNED_CONFIG,
+    WEIGHT_VARIANTS,
+    SegmentConfig,
+)
+from segloom.functions.columns import cell_slug
+from segloom.operators.distance import target_raw_k
 from segloom.operators import merge as MG
 from segloom.plans import segment as SG
 from segloom.plans import views as V
@@ -318,17 +334,53 @@ def segment_catalogue(spark, sf):
 def catalogue_cells(spark, sf):
     """The per-cell figures of the build with coarse merging and all optional steps."""
     config = replace(EVERYTHING, coarse_merge=True)
-    return SG.build_catalogue(V.cells(spark, sf), config).cells.withColumn("single_segment", F.col("single_segment").cast("int"))
+    return SG.build_catalogue(V.cells(spark, sf), config).cells.withColumns({c: F.col(c).cast("int") for c in ("single_segment", "k_capped")})
 
 
-VARIANTS = {"default": DEFAULT_CONFIG, "tuned": TUNED_CONFIG, "coarse": COARSE_CONFIG, "place_split": replace(TUNED_CONFIG, place_split=True)}
+VARIANTS = {
+    **WEIGHT_VARIANTS,
+    **DENSITY_VARIANTS,
+    **EXTENDED_VARIANTS,
+    "default": DEFAULT_CONFIG,
+    "tuned": TUNED_CONFIG,
+    "coarse": COARSE_CONFIG,
+    "place_split": replace(TUNED_CONFIG, place_split=True),
+    "v10_with_split": replace(EXTENDED_VARIANTS["v10_dense_split"], place_split=True),
+}
 
 
 @query("variant_grid")
 def variant_grid(spark, sf):
-    """Figures of four configurations and which of them is the purest."""
+    """Figures of all sets of variants and which of them is the purest."""
     grid = SG.variant_grid(V.cells(spark, sf), VARIANTS)
     best = SG.best_variant(grid).withColumnRenamed("variant", "best").drop("purity")
     return beside(grid, best).withColumn("purity", F.round("purity", 6))
 
 
+def _variant_k_sql(config):
+    whens = " ".join(
+        f"WHEN '{c}' THEN greatest(1, round_even({k} * {float(config.cell_raw_k_scale.get(c, config.raw_k_scale))}::DOUBLE, 0))" for c, k in config.raw_k.items()
+    )
+    return f"least(CASE job_type || '_' || payment_group {whens} ELSE 1 END, n)"
+
+
+@query(
+    "variant_clusters",
+    f"""WITH r AS (SELECT * FROM v_cells WHERE job_type || '_' || payment_group <> '{SINGLE_SEGMENT_CELL}' AND ({' OR '.join(f"trim({a}) <> '{M}'" for a in DENSITY_AXES)})),
+        p AS (SELECT {CELLS}, count(*) AS p FROM (SELECT DISTINCT {CELLS}, {', '.join(DENSITY_AXES)} FROM r) GROUP BY ALL),
+        k AS (SELECT {CELLS}, count(*) AS n FROM r GROUP BY {CELLS}),
+        v AS ({' UNION ALL '.join(f"SELECT '{name}' AS variant, {CELLS}, n, {_variant_k_sql(c)} AS k FROM k" for name, c in VARIANTS.items())})
+        SELECT variant, {CELLS}, n, CAST(least(k, p) AS BIGINT) AS n_raw, k > p AS capped FROM v JOIN p USING (job_type, payment_group)""",
+    ("v_cells",),
+)
+def variant_clusters(spark, sf):
+    """Rows and raw clusters per cell of each variant's build, and whether the profiles cap their number."""
+    final = SG.variant_segments(SG.catalogue_table(V.cells(spark, sf)), VARIANTS)
+    usable = final.filter((F.col("raw_cluster_id") >= 0) & (cell_slug() != SINGLE_SEGMENT_CELL))
+    found = usable.groupBy("variant", *CELL).agg(
+        F.sum("n").alias("n"), F.countDistinct("raw_cluster_id").alias("n_raw"), F.countDistinct(*DENSITY_AXES).alias("_p")
+    )
+    target = SG.per_variant(VARIANTS, lambda c: target_raw_k(cell_slug(), F.col("n"), c))
+    return found.withColumn("capped", target > F.col("_p")).drop("_p")
+
+
