@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from segloom.llm.common import query, row_key, table
 from segloom.llm.graph import components, forest
-from segloom.llm.textbytes import shingles
+from segloom.llm.textbytes import parts, shingles
 from segloom.runtime import cut, sized
 
 BANDS, ROWS = 32, 5
@@ -49,6 +49,8 @@ MISS = 1e-6
 ROUNDS, BEST = 2, 1
 BLOCK = 512
 _GROUP = 24_000_000  # bytes that a task compares at once, about
+_PAIRS = 8_192  # pairs whose signatures are compared at once
+_CHARACTERS = 1 << 20  # characters of texts that are cut into shingles at once, about
 
 _MULT = np.random.default_rng(11).integers(0, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -87,21 +89,25 @@ def least_matches(percent: int, miss: float = MISS) -> list[int]:
     return out
 
 
-def matching(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
-    """Matches of the rows of two signature matrices that pass the sequential test; -1 for others."""
-    alive = np.arange(len(a))
-    matches = np.zeros(len(a), np.int32)
-    for i, need in enumerate(least):
-        part = slice(i * BATCH, (i + 1) * BATCH)
-        matches[alive] += (a[alive, part] == b[alive, part]).sum(1, dtype=np.int32)
+def matching(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, least: list[int]) -> np.ndarray:
+    """Matches of the rows a[i] and b[j] of two signature matrices that pass the sequential test; -1 for others.
+
+    Only the columns of one batch of the pairs that are still alive are copied.
+    """
+    alive = np.arange(len(i))
+    matches = np.zeros(len(i), np.int32)
+    for k, need in enumerate(least):
+        part = slice(k * BATCH, (k + 1) * BATCH)
+        matches[alive] += (a[:, part][i[alive]] == b[:, part][j[alive]]).sum(1, dtype=np.int32)
         alive = alive[matches[alive] >= need]
-    out = np.full(len(a), -1, np.int32)
+    out = np.full(len(i), -1, np.int32)
     out[alive] = matches[alive]
     return out
 
 
 def passes(a: np.ndarray, b: np.ndarray, least: list[int]) -> np.ndarray:
-    return matching(a, b, least) >= 0
+    rows = np.arange(len(a))
+    return matching(a, b, rows, rows, least) >= 0
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -113,8 +119,8 @@ def described(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
+            for at in parts(batch["text"], _CHARACTERS):
+                part = batch.iloc[at]
                 sets = shingles(part["text"], size)
                 found = iter(signatures(sets))
                 nodes = [_node(s) if len(s) else None for s in sets]
@@ -142,8 +148,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                found = shingles(batch["text"].iloc[at : at + 500], size)
+            for at in parts(batch["text"], _CHARACTERS):
+                found = shingles(batch["text"].iloc[at], size)
                 yield pd.DataFrame({"node": [_node(s) for s in found], "shingles": [s.tobytes() for s in found]}).astype({"node": "int64", "shingles": object})
 
     made = texts.select("text").mapInPandas(run, "node long, shingles binary")
@@ -214,7 +220,7 @@ def _apart(rows: DataFrame, table_: DataFrame, percent: int, best: bool) -> Data
     least = least_matches(percent)
 
     def pairs(s: int, e: int, block, sig, node, comp) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(i, j, matches) of rows s to e that pass: all pairs of one block, or those across two."""
+        """(i, j, matches) of rows s to e that pass, some at a time: all pairs of one block, or those across two."""
         one = block[s] == block[e - 1]
         m = e if one else s + int(np.searchsorted(block[s:e], block[s], "right"))
         j = np.arange(s, e) if one else np.arange(m, e)
@@ -222,10 +228,11 @@ def _apart(rows: DataFrame, table_: DataFrame, percent: int, best: bool) -> Data
             i = np.arange(at, min(m, at + 128))
             apart = comp[i][:, None] != comp[j][None, :]
             x, y = np.nonzero(apart & (node[i][:, None] < node[j][None, :]) if one else apart)
-            if len(x):
-                matches = matching(sig[i[x]], sig[j[y]], least)
+            for k in range(0, len(x), _PAIRS):
+                left, right = i[x[k : k + _PAIRS]], j[y[k : k + _PAIRS]]
+                matches = matching(sig, sig, left, right, least)
                 ok = matches >= 0
-                yield i[x[ok]], j[y[ok]], matches[ok]
+                yield left[ok], right[ok], matches[ok]
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         found = [np.zeros((0, 2), np.int64)]

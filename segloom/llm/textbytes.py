@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 _RNG = np.random.default_rng(7)
@@ -33,6 +35,17 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def parts(texts, characters: int) -> Iterator[slice]:
+    """Slices of a batch's texts with about `characters` characters each; a longer text is a slice of its own."""
+    ends = np.cumsum([0 if t is None else len(t) for t in texts])
+    at = 0
+    while at < len(ends):
+        before = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, before + characters, side="right")))
+        yield slice(at, end)
+        at = end
+
+
 def joined(texts) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, starts) of the texts; starts has one number more than there are texts. Null is empty."""
     raw = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
