@@ -84,16 +84,15 @@ def fetched_texts(spark, sf):
     return readers.fetch_texts(V.postings(spark, sf), V.table(spark, sf, "labels").withColumnRenamed("doc_id", "id"))
 
 
-@query(
-    "merged_assignments",
-    """SELECT p.id, CASE WHEN l.doc_id IS NULL THEN CASE WHEN p.id % 3 = 0 THEN 7 END ELSE l.quality END AS segment_id,
-       CASE WHEN l.doc_id IS NULL THEN CASE WHEN p.id % 3 = 0 THEN 'v1' END ELSE 'v2' END AS segment_version,
-       CASE WHEN l.doc_id IS NULL THEN CASE WHEN p.id % 3 = 0 THEN 0.5 END ELSE 0.25 END::DOUBLE AS segment_confidence,
-       CASE WHEN l.doc_id IS NOT NULL THEN '2026-01-02' END AS assigned_on
-       FROM v_postings p LEFT JOIN labels l ON p.id = l.doc_id""",
-    POSTS,
-)
-def merged_assignments(spark, sf):
+MERGED_SQL = """SELECT p.id, CASE WHEN l.doc_id IS NULL THEN CASE WHEN p.id % 3 = 0 THEN 7 END ELSE l.quality END AS segment_id,
+   CASE WHEN l.doc_id IS NULL THEN CASE WHEN p.id % 3 = 0 THEN 'v1' END ELSE 'v2' END AS segment_version,
+   CASE WHEN l.doc_id IS NULL THEN CASE WHEN p.id % 3 = 0 THEN 0.5 END ELSE 0.25 END::DOUBLE AS segment_confidence,
+   CASE WHEN l.doc_id IS NOT NULL THEN '2026-01-02' END AS assigned_on
+   FROM v_postings p LEFT JOIN labels l ON p.id = l.doc_id"""
+
+
+def stored_and_new(spark, sf):
+    """Postings of which a third is assigned, and the updates of the labelled ones."""
     old = F.col("id") % 3 == 0
     target = V.postings(spark, sf).select(
         "id", F.when(old, 7).alias("segment_id"), F.when(old, "v1").alias("segment_version"), F.when(old, 0.5).alias("segment_confidence")
@@ -101,13 +100,35 @@ def merged_assignments(spark, sf):
     updates = V.table(spark, sf, "labels").select(
         F.col("doc_id").alias("id"), F.col("quality").alias("segment_id"), F.lit("v2").alias("segment_version"), F.lit(0.25).alias("segment_confidence")
     )
-    merged = sinks.merge_assignments(target, updates, at=F.lit("2026-01-02 03:04:05"))
+    return target, updates
+
+
+def assigned_on(merged):
     return merged.select(
         "id", "segment_id", "segment_version", F.col("segment_confidence").cast("double").alias("segment_confidence"),
         F.date_format("segment_assigned_at", "yyyy-MM-dd").alias("assigned_on"),
     )
 
 
+MERGED_AT = "2026-01-02 03:04:05"
+
+
+@query("merged_assignments", MERGED_SQL, POSTS)
+def merged_assignments(spark, sf):
+    target, updates = stored_and_new(spark, sf)
+    return assigned_on(sinks.merge_assignments(target, updates, at=F.lit(MERGED_AT)))
+
+
+@query("merged_buckets", MERGED_SQL, POSTS)
+def merged_buckets(spark, sf):
+    """The same on a stored table of which only the buckets with updated ids are rewritten."""
+    target, updates = stored_and_new(spark, sf)
+    path = scratch_path(spark, "assignments")
+    sinks.write_bucketed(target, path, buckets=64)
+    sinks.merge_into(spark, path, updates, at=F.lit(MERGED_AT), buckets=64)
+    return assigned_on(sinks.read_bucketed(spark, path))
+
+
 @query(
     "ensured_columns",
     "SELECT id, lang AS segment_version, CAST(NULL AS INT) AS segment_id, CAST(NULL AS DOUBLE) AS segment_confidence FROM v_postings",

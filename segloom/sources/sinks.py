@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segloom.config import CELL
-from segloom.runtime import beside
+from segloom.runtime import beside, cut
+
+# Folders of a bucketed table: an update of some hundred ids touches as many of them at most.
+BUCKETS = 1024
 
 ASSIGNMENT_COLUMNS = {
     "segment_id": "int",
@@ -46,6 +49,39 @@ def merge_assignments(target: DataFrame, updates: DataFrame, key: str = "id", at
     return joined.withColumns({n: F.col(f"_new.{n}") for n in ASSIGNMENT_COLUMNS}).drop("_new")
 
 
+def bucket_of(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_bucketed(df: DataFrame, path: str, key: str = "id", buckets: int = BUCKETS) -> None:
+    """The table, with the assignment columns, as one folder per bucket of the key's hash."""
+    dealt = ensure_columns(df).withColumn("bucket", bucket_of(key, buckets)).repartition("bucket")
+    dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("bucket")
+
+
+def merge_into(spark: SparkSession, path: str, updates: DataFrame, key: str = "id", at: Column | None = None, buckets: int = BUCKETS) -> list[int]:
+    """`merge_assignments` on a bucketed table in place; returns the buckets that were rewritten.
+
+    Only buckets that hold an updated id are read and replaced. The merged rows are
+    written aside first, so a failure before the replacement changes nothing; after
+    a failure during it, the same call with the same `at` gives the same table, as
+    it sets values and adds none. Ids that the table does not have are ignored.
+    """
+    updates = cut(updates)
+    touched = sorted(r[0] for r in updates.select(bucket_of(key, buckets)).distinct().collect())  # `buckets` at most
+    if not touched:
+        return []
+    table = spark.read.parquet(path).filter(F.col("bucket").isin(*touched))
+    merged = cut(merge_assignments(table, updates, key, at))
+    writer = merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("bucket").parquet(path)
+    return touched
+
+
 def update_plan(rows: DataFrame, labels: DataFrame, key: str = "id") -> DataFrame:
     """Each row with its label, and whether it would be updated or skipped."""
     return rows.join(labels, key, "left").withColumn(
