@@ -16,6 +16,7 @@ from segloom.functions.columns import active
 from segloom.runtime import cut, sized
 
 BUCKET_BITS = 14
+HASH_BITS = 60
 
 
 def top_n_per_group(df: DataFrame, by: Iterable[str], order: Iterable[str | Column], n: int) -> DataFrame:
@@ -66,7 +67,10 @@ def delta(df: DataFrame, by: Iterable[str], x: str, y: str) -> DataFrame:
 
 
 def hash_order(key: str | Column, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), F.col(key) if isinstance(key, str) else key)
+    """60 bits of a digest of seed and key, as any engine can work them out."""
+    column = F.col(key) if isinstance(key, str) else key
+    digest = F.md5(F.concat_ws("-", F.lit(str(seed)), column.cast("string")))
+    return F.conv(F.substring(digest, 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
 def mark_quota(df: DataFrame, quotas: DataFrame, by: Iterable[str], key: str = "id", seed: int = 42, flag: str = "taken") -> DataFrame:
@@ -77,8 +81,8 @@ def mark_quota(df: DataFrame, quotas: DataFrame, by: Iterable[str], key: str = "
     flag is then a comparison with it, and the rows themselves are not shuffled.
     """
     by = list(by)
-    hashed = df.withColumn("_h", F.shiftrightunsigned(hash_order(key, seed), 1))
-    bucket = F.shiftright("_h", 63 - BUCKET_BITS)
+    hashed = df.withColumn("_h", hash_order(key, seed))
+    bucket = F.shiftright("_h", HASH_BITS - BUCKET_BITS)
     counts = hashed.groupBy(*by, bucket.alias("_b")).agg(F.count("*").alias("_n"))
     upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_b"))
     border = (

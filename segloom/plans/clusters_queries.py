@@ -44,7 +44,7 @@ def gower_sql(left, right, axes=DENSITY_AXES, weights=(1, 1, 3, 3)):
 
 DOMS = dominant_sql("v_cells", CELLS, AXES)
 CONTRIBUTIONS = ", ".join(
-    f"round(sum({d}), 6) AS d_{a}, round(sum({w}), 6) AS w_{a}" for a in ("place", "topic") for d, w in [axis_sql(f"v.{a}", f"x.dom_{a}", 1)]
+    f"round(sum({d}), 6) AS d_{a}, round(sum({w}), 6) AS w_{a}" for a in AXES for d, w in [axis_sql(f"v.{a}", f"x.dom_{a}", 1)]
 )
 
 
@@ -58,7 +58,7 @@ def axis_contributions(spark, sf):
     rows = V.cells(spark, sf)
     joined = rows.join(S.dominants(rows, CELL, AXES), [*CELL])
     sums = []
-    for a in ("place", "topic"):
+    for a in AXES:
         d, w = D.axis_contribution(F.col(a), F.col(f"dom_{a}"))
         sums += [F.round(F.sum(d), 6).alias(f"d_{a}"), F.round(F.sum(w), 6).alias(f"w_{a}")]
     return joined.groupBy(*CELL).agg(*sums)
@@ -231,20 +231,24 @@ def onehot_fixed(spark, sf):
     return rows.select(ones).filter("x = 1").groupBy("slot").agg(F.count("*").alias("n"))
 
 
+LEARNED = " UNION ".join(f"SELECT {i} AS o, {a} AS value FROM v_cells WHERE {a} <> '{M}'" for i, a in enumerate(AXES))
+SLOTTED = " UNION ALL ".join(f"SELECT slot FROM v_cells JOIN s ON o = {i} AND value = {a}" for i, a in enumerate(AXES))
+
+
 @query(
     "onehot_learned",
-    f"""WITH v AS (SELECT DISTINCT 1 AS o, place AS value FROM v_cells WHERE place <> '{M}' UNION SELECT 2, topic FROM v_cells WHERE topic <> '{M}'),
-        s AS (SELECT *, CAST(row_number() OVER (ORDER BY o, value) - 1 AS INT) AS slot FROM v)
-        SELECT slot, count(*) AS n FROM (SELECT slot FROM v_cells JOIN s ON o = 1 AND value = place UNION ALL SELECT slot FROM v_cells JOIN s ON o = 2 AND value = topic) GROUP BY 1""",
+    f"""WITH v AS ({LEARNED}), s AS (SELECT *, CAST(row_number() OVER (ORDER BY o, value) - 1 AS INT) AS slot FROM v)
+        SELECT slot, count(*) AS n FROM ({SLOTTED}) GROUP BY 1""",
     VC,
 )
 def onehot_learned(spark, sf):
+    """Rows per slot of the values of all axes."""
     from pyspark.ml.functions import vector_to_array
 
-    rows = V.cells(spark, sf).select("place", "topic")
-    model = E.fit_onehot(rows, ["place", "topic"], drop_missing=True)
+    rows = V.cells(spark, sf).select(*AXES)
+    model = E.fit_onehot(rows, AXES, drop_missing=True)
     ones = F.posexplode(vector_to_array("features")).alias("slot", "x")
-    return E.encode(rows, model, ["place", "topic"], True).select(ones).filter("x = 1").groupBy("slot").agg(F.count("*").alias("n"))
+    return E.encode(rows, model, AXES, True).select(ones).filter("x = 1").groupBy("slot").agg(F.count("*").alias("n"))
 
 
 CORE = ("place", "purpose", "treatment")

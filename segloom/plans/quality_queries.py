@@ -10,6 +10,7 @@ from segloom.operators import report as RP
 from segloom.operators import stats as S
 from segloom.plans import views as V
 from segloom.plans.registry import query
+from segloom.plans.scalars_queries import WS
 from segloom.plans.stats_queries import METRICS, SEGMENTS, dominant_sql, key_sql, long_sql, rounded
 
 CELLS = "job_type, payment_group"
@@ -200,14 +201,15 @@ def written_report(spark, sf):
 @query(
     "segment_examples",
     f"""WITH {SEGMENTS}, {GRADED}, f AS (SELECT {CELLS}, segment_id, posting_id, l_orderkey, row_number() OVER (PARTITION BY {CELLS}, segment_id ORDER BY posting_id) AS r FROM v_assigned QUALIFY r <= 3),
-        e AS (SELECT {CELLS}, segment_id, string_agg(posting_id || '=' || coalesce(lang, ''), ',' ORDER BY r) AS examples FROM f LEFT JOIN documents ON doc_id = l_orderkey GROUP BY ALL)
+        t AS (SELECT doc_id, CASE WHEN length(t) > 100 THEN substr(t, 1, 100) || '...' ELSE t END AS preview FROM (SELECT doc_id, trim(regexp_replace(coalesce(text, ''), '{WS}', ' ', 'g')) AS t FROM documents)),
+        e AS (SELECT {CELLS}, segment_id, string_agg(posting_id || '=' || coalesce(preview, ''), ',' ORDER BY r) AS examples FROM f LEFT JOIN t ON doc_id = l_orderkey GROUP BY ALL)
         SELECT {CELLS}, segment_id, n, grade, examples FROM graded JOIN e USING (job_type, payment_group, segment_id)""",
     ASSIGNED,
 )
 def segment_examples(spark, sf):
     rows = V.assigned(spark, sf)
-    documents = V.table(spark, sf, "documents").select(F.col("doc_id").alias("l_orderkey"), F.col("lang").alias("text"))
+    documents = V.table(spark, sf, "documents").select(F.col("doc_id").alias("l_orderkey"), "text")
     texts = rows.select("posting_id", "l_orderkey").join(documents, "l_orderkey", "left").select("posting_id", "text")
     out = RP.segment_examples(rows, texts, key="posting_id")
-    shown = F.array_join(F.transform("examples", lambda e: F.concat_ws("=", e["id"], e["preview"])), ",")
+    shown = F.array_join(F.transform("examples", lambda e: F.concat(e["id"].cast("string"), F.lit("="), F.coalesce(e["preview"], F.lit("")))), ",")
     return out.select(*CELL, "segment_id", "n", "grade", shown.alias("examples"))

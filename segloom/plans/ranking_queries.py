@@ -57,7 +57,11 @@ def assignment_queue(spark, sf):
     return R.queue(assigned_postings(spark, sf), 100).select("id", "title")
 
 
-@query("sampled_rows")
+def hash_sql(key, seed=42):
+    return f"('0x' || substr(md5('{seed}-' || {key}), 1, 15))::BIGINT"
+
+
+@query("sampled_rows", f"SELECT id, lang FROM v_postings ORDER BY {hash_sql('id')}, id LIMIT 100", ("v_postings",))
 def sampled_rows(spark, sf):
     """The sampling operator itself: 100 reproducible rows of the postings."""
     return R.sample_n(V.postings(spark, sf).select("id", "lang"), 100)
@@ -74,7 +78,16 @@ def length_bins(spark, sf):
     return rounded(R.tercile_bins(rows, ["lang"], "len"), "p33", "p66")
 
 
-@query("stratified_sample")
+@query(
+    "stratified_sample",
+    f"""WITH t AS (SELECT id, lang, length(content) AS len FROM v_postings), q AS (SELECT lang, quantile_cont(len, 1.0::DOUBLE / 3) AS p33, quantile_cont(len, 2.0::DOUBLE / 3) AS p66 FROM t GROUP BY 1),
+        b AS (SELECT id, lang, CASE WHEN len <= p33 THEN 'short' WHEN len <= p66 THEN 'medium' ELSE 'long' END AS length_bin, {hash_sql('id')} AS h FROM t JOIN q USING (lang)),
+        s AS (SELECT lang, length_bin, 90 // count(*) OVER () + CASE WHEN row_number() OVER (ORDER BY lang, length_bin) - 1 < 90 % count(*) OVER () THEN 1 ELSE 0 END AS quota FROM (SELECT DISTINCT lang, length_bin FROM b)),
+        r AS (SELECT b.*, row_number() OVER (PARTITION BY lang, length_bin ORDER BY h, id) <= quota AS taken FROM b JOIN s USING (lang, length_bin)),
+        f AS (SELECT lang, length_bin, taken OR row_number() OVER (PARTITION BY taken ORDER BY h, id) <= 90 - count(*) FILTER (taken) OVER () AS chosen FROM r)
+        SELECT lang, length_bin, count(*) AS n FROM f WHERE chosen GROUP BY ALL""",
+    ("v_postings",),
+)
 def stratified_sample(spark, sf):
     """Sizes of a 90-row sample over languages and length bins."""
     rows = V.postings(spark, sf).select("id", "lang", F.length("content").alias("len"))
