@@ -31,6 +31,7 @@ def over_blocks(
     reduce: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame],
     schema: str,
     block: int = BLOCK,
+    other_block: int | None = None,
 ) -> DataFrame:
     """`reduce(rows, others)` for each block of `rows` with each block of `others` of the same group.
 
@@ -39,7 +40,7 @@ def over_blocks(
     """
     by = list(by)
     left = with_block(rows, by, key, block).withColumnsRenamed({"_block": "_i", "_blocks": "_is"})
-    right = with_block(others.toDF(*others.columns), by, key, block).withColumnsRenamed({"_block": "_j", "_blocks": "_js"})
+    right = with_block(others.toDF(*others.columns), by, key, other_block or block).withColumnsRenamed({"_block": "_j", "_blocks": "_js"})
     sides = left.select(*by, "_is").distinct().join(right.select(*by, "_js").distinct(), by)
 
     def every(n: str):

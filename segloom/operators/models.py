@@ -8,14 +8,15 @@ the distinct tuples of the rows to assign; rows only take part in the joins.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from segloom.config import (
@@ -29,10 +30,11 @@ from segloom.config import (
     VERSION,
 )
 from segloom.functions.columns import cell_slug, info_density, is_missing
-from segloom.operators.encoding import encode, fit_onehot
+from segloom.operators.blocks import over_blocks
+from segloom.operators.encoding import encode, fit_onehot, slot_values
 from segloom.operators.ranking import split_train_test
 from segloom.operators.stats import compress
-from segloom.runtime import cut, sized
+from segloom.runtime import cut, scratch_path, sized
 
 MIN_TRAIN_ROWS = 5
 PARALLEL_FITS = 8
@@ -63,6 +65,50 @@ def balanced_weights(table: DataFrame, label: str, by: Sequence[str] = (), weigh
     return table.join(factors, [*by, label]).withColumn("weight", F.col(weight) * F.col("_f")).drop("_f")
 
 
+def tree_table(forests: Mapping[str, RandomForestClassificationModel], spark: SparkSession) -> DataFrame:
+    """All trees of all cells as one written table: a row per (cell, tree).
+
+    Arrays by node: `slot` that is tested (-1 at a leaf) and the nodes `low` and `high`
+    without and with it; `leaf_node`, `leaf_class`, `leaf_share` are the shares of the
+    classes that a leaf has. Read from the models' own files.
+    """
+    parts = None
+    for cell, model in forests.items():
+        path = scratch_path(spark, "forest")
+        model.write().save(path)
+        here = spark.read.parquet(f"{path}/data").select(F.lit(cell).alias("_cell"), F.col("treeID").alias("tree"), "nodeData.*")
+        parts = here if parts is None else parts.unionByName(here)
+    if parts is None:
+        return spark.createDataFrame([], TREES)
+    leaf = F.col("leftChild") < 0
+    stats = F.col("impurityStats")
+    total = F.aggregate(stats, F.lit(0.0), lambda acc, x: acc + x)
+    found = F.filter(F.transform(stats, lambda x, i: F.struct(F.col("id").alias("node"), i.alias("cls"), (x / total).alias("share"))), lambda e: e["share"] > 0)
+    left = F.col("split.leftCategoriesOrThreshold")
+
+    def child(value: float) -> Column:
+        """Where a slot with this value leads to; a split lists the values that go left, or their largest."""
+        goes_left = F.when(F.col("split.numCategories") < 0, F.lit(value) <= left[0]).otherwise(F.array_contains(left, value))
+        return F.when(leaf, -1).when(goes_left, F.col("leftChild")).otherwise(F.col("rightChild"))
+
+    nodes = parts.select(
+        "_cell", "tree", "id", F.when(leaf, -1).otherwise(F.col("split.featureIndex")).alias("slot"), child(0.0).alias("low"), child(1.0).alias("high"),
+        F.when(leaf, found).alias("found"),
+    )
+    listed = nodes.groupBy("_cell", "tree").agg(F.array_sort(F.collect_list(F.struct("id", "slot", "low", "high", "found"))).alias("n"))
+    leaves = F.flatten(F.array_compact(F.transform("n", lambda x: x["found"])))
+    return cut(
+        listed.withColumn("l", leaves).select(
+            "_cell", "tree", F.col("n.slot").alias("slot"), "n.low", "n.high",
+            F.col("l.node").alias("leaf_node"), F.col("l.cls").alias("leaf_class"), F.col("l.share").alias("leaf_share"),
+        )
+    )
+
+
+TREES = "_cell string, tree int, slot array<int>, low array<int>, high array<int>, leaf_node array<int>, leaf_class array<int>, leaf_share array<double>"
+TREE_BLOCK, TUPLE_BLOCK = 16, 20_000  # trees and tuples that a task takes at once
+
+
 @dataclass
 class CellModels:
     """Fitted cells: encoder, forest and class ids; other cells were skipped."""
@@ -71,6 +117,7 @@ class CellModels:
     encoders: dict[str, PipelineModel] = field(default_factory=dict)
     forests: dict[str, RandomForestClassificationModel] = field(default_factory=dict)
     classes: dict[str, list[int]] = field(default_factory=dict)
+    trees: DataFrame | None = None
 
     def save(self, spark: SparkSession, path: str) -> None:
         meta = []
@@ -79,6 +126,7 @@ class CellModels:
             forest.write().overwrite().save(f"{path}/{cell}/forest")
             meta.append((cell, json.dumps({"classes": self.classes[cell], "features": list(self.features)})))
         spark.createDataFrame(meta, "cell string, meta string").coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+        self.all_trees(spark).write.mode("overwrite").parquet(f"{path}/trees")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> CellModels:
@@ -89,24 +137,73 @@ class CellModels:
             out.classes[row["cell"]] = meta["classes"]
             out.encoders[row["cell"]] = PipelineModel.load(f"{path}/{row['cell']}/encoder")
             out.forests[row["cell"]] = RandomForestClassificationModel.load(f"{path}/{row['cell']}/forest")
+        out.trees = spark.read.schema(TREES).parquet(f"{path}/trees")
         return out
 
-    def predict(self, table: DataFrame, cells: Iterable[str] | None = None) -> DataFrame:
-        """Predicted id and confidence of (cell, features) tuples; cells without a model are dropped."""
-        out = None
-        for cell in cells if cells is not None else self.forests:
-            here = table.filter(cell_slug() == cell)
-            scored = self.forests[cell].transform(encode(here, self.encoders[cell], self.features))
-            p = vector_to_array("probability")
-            ids = F.array(*[F.lit(c) for c in self.classes[cell]])
-            part = scored.withColumn("confidence", F.array_max(p)).select(
-                *table.columns, F.get(ids, (F.array_position(p, F.col("confidence")) - 1).cast("int")).alias("predicted_id"), "confidence"
-            )
-            out = part if out is None else out.unionByName(part)
-        if out is None:
-            out = table.limit(0).withColumns({"predicted_id": F.lit(None).cast("int"), "confidence": F.lit(None).cast("double")})
+    def all_trees(self, spark: SparkSession) -> DataFrame:
+        if self.trees is None:
+            self.trees = tree_table(self.forests, spark)
+        return self.trees
+
+    def slots(self) -> dict[str, dict[str, dict[str, int]]]:
+        """Per cell and feature, the slot of each value that the cell's encoder knows."""
+        out: dict[str, dict[str, dict[str, int]]] = {}
+        for cell, encoder in self.encoders.items():
+            names, at = encoder.stages[0].getInputCols(), 0
+            out[cell] = {}
+            for name, values in zip(names, slot_values(encoder)):
+                out[cell][name.removeprefix("_v_")] = {v: at + i for i, v in enumerate(values)}
+                at += len(values)
         return out
 
+    def predict(self, table: DataFrame, cells: Iterable[str] | None = None) -> DataFrame:
+        """Predicted id and confidence of (cell, features) tuples; cells without a model are dropped.
+
+        Blocks of a cell's trees meet blocks of its tuples, all cells in one plan; the
+        shares of the trees are added up per tuple and class.
+        """
+        known = sorted(set(self.forests) & set(cells)) if cells is not None else sorted(self.forests)
+        names, slots, n_classes = list(self.features), self.slots(), {c: len(ids) for c, ids in self.classes.items()}
+        rows = table.withColumn("_cell", cell_slug()).filter(F.col("_cell").isin(*known) if known else F.lit(False))
+        rows = cut(rows.withColumn("_key", F.monotonically_increasing_id()))
+        trees = self.all_trees(table.sparkSession).withColumn("_key", F.col("tree").cast("long"))
+
+        def votes(tuples: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+            cell = tuples["_cell"].iloc[0]
+            width = 1 + sum(len(v) for v in slots[cell].values())  # the last slot is never set
+            has = np.zeros((len(tuples), width), bool)
+            at = np.arange(len(tuples))
+            for name, values in slots[cell].items():
+                place = tuples[name].fillna(MISSING).map(values)
+                some = place.notna().to_numpy()
+                has[at[some], place[some].astype(int)] = True
+            total = np.zeros((len(tuples), n_classes[cell]))
+            for tree in trees.itertuples():
+                slot, low, high = np.asarray(tree.slot), np.asarray(tree.low), np.asarray(tree.high)
+                node = np.zeros(len(tuples), np.int64)
+                while (slot[node] >= 0).any():
+                    test = slot[node]
+                    node = np.where(test < 0, node, np.where(has[at, test], high[node], low[node]))
+                share = np.zeros((len(slot), n_classes[cell]))
+                share[np.asarray(tree.leaf_node, int), np.asarray(tree.leaf_class, int)] = tree.leaf_share
+                total += share[node]
+            i, c = np.nonzero(total)
+            return pd.DataFrame({"_key": tuples["_key"].to_numpy()[i], "_cell": cell, "cls": c.astype(np.int32), "share": total[i, c]})
+
+        schema = "_key long, _cell string, cls int, share double"
+        tuples = rows.select("_key", "_cell", *names)
+        found = over_blocks(tuples, trees, ["_cell"], "_key", votes, schema, TUPLE_BLOCK, TREE_BLOCK)
+        summed = found.groupBy("_key", "_cell", "cls").agg(F.sum("share").alias("share"))
+        # Rounded, so that classes with equal votes tie whatever the order of the sums; the first class wins.
+        best = summed.groupBy("_key", "_cell").agg(
+            F.max(F.struct(F.round("share", 9).alias("s"), (-F.col("cls")).alias("c"))).alias("best"), F.sum("share").alias("all")
+        )
+        ids = [(cell, k, i) for cell, own in self.classes.items() for k, i in enumerate(own)]
+        # A row per class of a model.
+        of = F.broadcast(table.sparkSession.createDataFrame(ids, "_cell string, _class int, predicted_id int"))
+        best = best.select("_key", "_cell", (-F.col("best.c")).alias("_class"), (F.col("best.s") / F.col("all")).alias("confidence"))
+        return rows.join(best.join(of, ["_cell", "_class"]), ["_key", "_cell"]).select(*table.columns, "predicted_id", "confidence")
+
 
 def forest(trees: int = 200, depth: int = 30, seed: int = 42, **options) -> RandomForestClassifier:
     """Random forest on weighted tuples.

@@ -194,6 +194,29 @@ def test_training(spark, fitted):
     assert MD.score_summary(MD.class_report(MD.confusion(held_out, weight="n"))).first()["accuracy"] == 1.0
 
 
+def test_trees_vote_like_the_library(spark):
+    """Predictions from the table of trees against the models' own, and a plan that does not grow with the cells."""
+    from pyspark.ml.functions import vector_to_array
+
+    rows = V.cells(spark, "/root/testdata/sf0.001").select(F.col("posting_id").alias("id"), *CELL, *AXES)
+    rows = rows.withColumn("segment_id", (F.crc32(F.concat_ws("|", "purpose", "place", F.col("id") % 3).cast("binary")) % 5).cast("int"))
+    models, _, held_out = MD.train_cells(rows, trees=9, depth=6)
+    assert len(models.forests) >= 5
+    tuples = cut(rows.select(*CELL, *AXES).distinct().unionByName(rows.select(*CELL, *[F.lit("never seen").alias(a) for a in AXES]).distinct()))
+    got = {tuple(r[:8]): (r.predicted_id, r.confidence) for r in models.predict(tuples).select(*CELL, *AXES, "predicted_id", "confidence").collect()}
+    assert len(got) == tuples.count()
+    for cell, forest in models.forests.items():
+        here = tuples.filter(F.concat_ws("_", *CELL) == cell)
+        scored = forest.transform(E.encode(here, models.encoders[cell], AXES)).withColumn("p", vector_to_array("probability"))
+        for r in scored.select(*CELL, *AXES, "p").collect():
+            predicted, confidence = got[tuple(r[:8])]
+            assert confidence == pytest.approx(max(r.p), abs=1e-8)
+            assert r.p[models.classes[cell].index(predicted)] == pytest.approx(max(r.p), abs=1e-8)
+    few = MD.CellModels(models.features, *[dict(list(d.items())[:2]) for d in (models.encoders, models.forests, models.classes)], models.trees)
+    size = lambda m: len(m.predict(tuples)._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert size(few) == size(models)
+
+
 def test_models_survive_saving(spark, fitted):
     models, _, held_out, _ = fitted
     path = scratch_path(spark, "models")
