@@ -32,12 +32,15 @@ HEADLINE = (
     "class_report",
     "assignment_diff",
     "segment_view",
+    "trained_cells",
     "batch_assignment",
     "kmeans_best",
     "k_sweep",
     "keyword_clusters",
     "density_clusters",
+    "density_clusters_wide",
     "tier_grid",
+    "variant_grid",
     "text_baseline_word",
 )
 

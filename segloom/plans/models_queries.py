@@ -14,6 +14,7 @@ from segloom.operators import textmodels as T
 from segloom.operators.joins import attach_categories
 from segloom.plans import views as V
 from segloom.plans.registry import query
+from segloom.plans.scalars_queries import DENSITY_SQL
 from segloom.plans.stats_queries import rounded
 from segloom.runtime import beside, cut, scratch_path
 from segloom.sources.sinks import ensure_columns
@@ -131,6 +132,37 @@ def clean_models(spark, sf):
     return _CLEAN[key]
 
 
+TRAINED = f"""SELECT {CELLS}, job_type || '_' || payment_group AS cell, count(DISTINCT type_code) AS n_classes FROM v_lines
+  WHERE job_type <> '' AND NOT (job_type = 'photo' AND payment_group = 'n3') GROUP BY {CELLS} HAVING count(*) >= 5 AND count(DISTINCT type_code) >= 2"""
+
+
+@query("trained_cells", f"SELECT cell, n_classes, 200::BIGINT AS n_trees FROM ({TRAINED})", ("v_lines",))
+def trained_cells(spark, sf):
+    """Training of the forests that the assigning queries use: trees and classes per cell."""
+    models, _ = clean_models(spark, sf)
+    trees = models.all_trees(spark).groupBy(F.col("_cell").alias("cell")).agg(F.count("*").alias("n_trees"))
+    classes = spark.createDataFrame([(c, len(ids)) for c, ids in models.classes.items()], "cell string, n_classes long")  # a row per cell
+    return trees.join(classes, "cell")
+
+
+@query(
+    "assigned_statuses",
+    f"""WITH t AS ({TRAINED}), s AS (SELECT v.job_type, v.payment_group, CASE WHEN v.job_type = '' THEN 'invalid_recruit_type' WHEN l_orderkey % 50 = 0 THEN 'phase3_fail'
+          WHEN {DENSITY_SQL} < 1 THEN 'info_poor' WHEN t.cell IS NULL THEN 'no_rf_model' ELSE 'ok' END AS status
+          FROM v_lines v LEFT JOIN t ON t.job_type = v.job_type AND t.payment_group = v.payment_group)
+        SELECT {CELLS}, status, count(*) AS n, count(*) FILTER (status IN ('info_poor', 'no_rf_model')) AS n_poor_id, count(*) FILTER (status = 'ok') AS n_segment FROM s GROUP BY ALL""",
+    ("v_lines",),
+)
+def assigned_statuses(spark, sf):
+    """Outcomes of the same assignment: rows per status, and how many have a segment or the info-poor id."""
+    models, catalog = clean_models(spark, sf)
+    out = MD.assign(V.lines(spark, sf).withColumn("ok", F.col("l_orderkey") % 50 != 0), models, catalog, ok="ok")
+    segment = F.col("segment_id") >= 0
+    return out.groupBy(*CELL, "status").agg(
+        F.count("*").alias("n"), F.count_if(F.col("segment_id") == -1).alias("n_poor_id"), F.count_if(segment & F.col("segment_key").isNotNull()).alias("n_segment")
+    )
+
+
 @query("assigned_rows")
 def assigned_rows(spark, sf):
     """Outcome of the assignment of all line rows, also those of unsupported types."""

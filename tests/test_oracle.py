@@ -23,9 +23,9 @@ def test_same_rows(spark, sf, con, name):
     assert same, message
 
 
-SLOW = {"tier_grid", "variant_grid", "catalogue_cells", "streamed_assignment", "forest_scores", "batch_assignment", "cluster_predictions", "k_sweep", "kmeans_best", "assigned_rows"}
+SLOW = {"variant_grid", "catalogue_cells", "streamed_assignment", "forest_scores", "batch_assignment", "cluster_predictions", "k_sweep", "kmeans_best", "assigned_rows"}
 
 
-@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE) - SLOW - {"split_log"}))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLE) - SLOW))
 def test_gives_rows(spark, sf, name):
     assert registry.QUERIES[name](spark, sf).count() > 0
