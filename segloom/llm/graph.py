@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segloom.runtime import cut
+from segloom.runtime import cut, sized
 
 
 def _sides(links: DataFrame) -> DataFrame:
@@ -42,6 +42,25 @@ def components(links: DataFrame) -> DataFrame:
     return tree.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots).distinct()
 
 
+def extended(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) after further links (a, b), from those before, as a written table.
+
+    The new links are taken between components, so that the rounds see the few
+    components that they join and not the many nodes inside.
+    """
+    if found is None:
+        return cut(components(links))
+    of_a = found.select(F.col("node").alias("a"), F.col("component").alias("x"))
+    of_b = found.select(F.col("node").alias("b"), F.col("component").alias("y"))
+    between = links.join(of_a, "a", "left").join(of_b, "b", "left")
+    between = between.select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b")).where("a <> b").distinct()
+    joined = cut(components(between))
+    # A row per joined component, so it is broadcast if it is small, and no component's nodes meet in one task.
+    moved = sized(joined.select(F.col("node").alias("component"), F.col("component").alias("to")))
+    kept = found.join(moved, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return cut(kept.unionAll(joined.join(found, "node", "left_anti")))
+
+
 def forest(i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Every end of a link with the smallest end it is connected with, which is fewer rows than there are ends."""
     ends, back = np.unique(np.concatenate([i, j]), return_inverse=True)

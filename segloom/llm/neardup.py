@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segloom.llm.common import query, row_key, table
-from segloom.llm.graph import components, forest
+from segloom.llm.graph import extended, forest
 from segloom.llm.textbytes import parts, shingles
 from segloom.runtime import cut, sized
 
@@ -182,11 +182,11 @@ def _verified(pairs: DataFrame, table_: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "xa", "sb", "xb").mapInPandas(run, "a long, b long")
 
 
-def _labelled(buckets: DataFrame, links: DataFrame | None) -> DataFrame:
+def _labelled(buckets: DataFrame, found: DataFrame | None) -> DataFrame:
     """Buckets with each node's component."""
-    if links is None:
+    if found is None:
         return buckets.withColumn("component", F.col("node"))
-    return buckets.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return buckets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def _mixed(rows: DataFrame) -> DataFrame:
@@ -275,20 +275,18 @@ def _grouped(own: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFr
     named = classes.join(wanted, "node", "left_semi")
     table_ = cut(named.join(_sets(own, named, size), "node"))
 
-    links: DataFrame | None = None
+    found: DataFrame | None = None
     for _ in range(ROUNDS):
-        mixed = _mixed(_labelled(buckets, links))
+        mixed = _mixed(_labelled(buckets, found))
         partner = F.when(F.col("component") != F.col("low.component"), F.col("low.node")).otherwise(F.col("high.node"))
         pairs = mixed.select("node", partner.alias("partner")).groupBy("node").agg(F.min("partner").alias("partner"))
         pairs = pairs.select(F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b")).distinct()
-        new = cut(_verified(pairs, table_, percent))
-        links = new if links is None else links.unionAll(new)
+        found = extended(found, cut(_verified(pairs, table_, percent)))
     for k in range(BEST + 1):
-        left = cut(_mixed(_labelled(buckets, links)).select("bucket", "band", "node", "component", "size"))
+        left = cut(_mixed(_labelled(buckets, found)).select("bucket", "band", "node", "component", "size"))
         new = _apart(left, table_, percent, best=k < BEST)
-        links = links.unionAll(cut(_verified(new, table_, percent) if k < BEST else new))
+        found = extended(found, cut(_verified(new, table_, percent) if k < BEST else new))
 
-    found = components(links)
     of_node = classes.select("node", "_key", "doc_id").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     return rows, of_node
 
