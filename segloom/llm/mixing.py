@@ -26,7 +26,7 @@ slots never are.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -154,11 +154,17 @@ def packed_blocks(sized: DataFrame, plan: pd.DataFrame, block: int = BLOCK) -> D
     return each.select("number", "block", "doc_id", "row", "key", (begin - F.col("start")).alias("first"), (end - begin).alias("words"))
 
 
-def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, row (a number), key (of the row's values), source, size (words), as a written table."""
-    cols = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"))
+def whole_key(columns: Iterable[str]):
+    """A key of all values of a row, so that rows that differ in any column stay apart."""
+    return row_key(*[f"`{c}`" for c in columns])
+
+
+def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", keyed: Iterable[str] | None = None) -> DataFrame:
+    """doc_id, row (a number), key (of the row's values in the columns `keyed`), source, size (words), as a written table."""
+    key = whole_key(keyed if keyed is not None else (doc_id, source, text)).alias("key")
+    cols = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"), key)
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    return cut(cols.select("doc_id", F.monotonically_increasing_id().alias("row"), row_key("doc_id", "source", "text").alias("key"), "source", size.alias("size")))
+    return cut(cols.select("doc_id", F.monotonically_increasing_id().alias("row"), "key", "source", size.alias("size")))
 
 
 def mix(sizes: DataFrame, plan: pd.DataFrame, block: int = BLOCK, shard: int = SHARD, seed: int = SEED) -> DataFrame:
@@ -173,12 +179,12 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     of the text with the white space between them; a document taken whole keeps
     its text. `n_chars`, where there is such a column, is set anew.
     """
-    sizes = sized(docs)
+    sizes = sized(docs, keyed=docs.columns)
     plan = source_plan(sizes)
     taken = mix(sizes, plan, **settings)
     runs = taken.groupBy("row", "key", "pass").agg(F.collect_list(F.struct("first", "words")).alias("_ranges"))
-    # Repeated rows share a key and a text, so one of them stands for all.
-    whole = docs.select(F.struct("*").alias("_row"), row_key("doc_id", "source", "text").alias("key")).dropDuplicates(["key"])
+    # Rows that repeat in all columns share a key, so one of them stands for all.
+    whole = docs.select(F.struct("*").alias("_row"), whole_key(docs.columns).alias("key")).dropDuplicates(["key"])
     rows = whole.join(runs.select("key", "_ranges"), "key")
 
     word = re.compile(WORD)

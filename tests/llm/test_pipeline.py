@@ -11,7 +11,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_registered():
     queries, sql = entry.queries(), entry.oracle_sql()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in queries) == 1
     assert queries["pipeline"] is corpus_pipeline.run
     assert {"op6_chat_formatting", "op10_line_dedup"} <= set(sql) <= set(queries)
@@ -62,6 +62,15 @@ def test_stages_on_odd_rows(spark, docs, no_docs, clashing, rows, sf, tmp_path):
     assert {r[0] for r in rows if not (r[1] or "").split()} <= kept
 
 
+def test_clashing_columns_keep_their_values(spark, sf):
+    rows = [(i, f"text number {i} has some words\nand a second line {i}", lang, "s", 0, 99, 77) for i in range(30) for lang in ("en", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, n_lines int, n_dropped int")
+    got = corpus_pipeline.drop_boilerplate(spark, df, sf).collect()
+    assert len(got) == 60 and all((r.n_lines, r.n_dropped, r.n_chars) == (99, 77, len(r.text)) for r in got)
+    mixed = corpus_pipeline.mix_sources(spark, df, sf).collect()
+    assert {r.lang for r in mixed} == {"en", "de"} and all((r.n_lines, r.n_dropped) == (99, 77) for r in mixed)
+
+
 def test_copies_stay_once(spark, sf):
     """A text that holds 30% of a source's rows leaves line dedup whole and near-dedup once."""
     copied = "first line of the copied text\nsecond line of it"
