@@ -24,8 +24,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that are boilerplate among the different texts of their source; n_chars set anew."""
-    cleaned = lines.drop_boilerplate(docs, "text", "source")
-    return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    # Columns of the documents that have the names of the operator's counts stand aside meanwhile.
+    aside = {c: f"_own_{c}" for c in ("n_lines", "n_dropped") if c in docs.columns}
+    cleaned = lines.drop_boilerplate(docs.withColumnsRenamed(aside), "text", "source").drop("n_lines", "n_dropped")
+    back = cleaned.withColumnsRenamed({v: k for k, v in aside.items()})
+    return back.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
