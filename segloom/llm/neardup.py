@@ -206,7 +206,7 @@ def _likeliest(found: np.ndarray) -> np.ndarray:
 def _apart(rows: DataFrame, table_: DataFrame, percent: int, best: bool) -> DataFrame:
     """Pairs (a, b) of different components within a bucket, block against block.
 
-    With `best`, each component's likeliest partner by the signatures; else links that connect what the
+    With `best`, each component's likeliest partner by the signatures among those that a task compares; else links that connect what the
     verified pairs connect.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -236,6 +236,7 @@ def _apart(rows: DataFrame, table_: DataFrame, percent: int, best: bool) -> Data
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         found = [np.zeros((0, 2), np.int64)]
+        top, pending, held = np.zeros((0, 5), np.int64), [], 0
         group = group.sort_values(["part", "block", "node"], ignore_index=True)
         sig, node, comp = _matrix(group["signature"]), group["node"].to_numpy(), group["component"].to_numpy()
         block, part, band = group["block"].to_numpy(), group["part"].to_numpy(), group["band"].to_numpy()
@@ -244,13 +245,18 @@ def _apart(rows: DataFrame, table_: DataFrame, percent: int, best: bool) -> Data
         for s, e in zip(edges[:-1], edges[1:], strict=True):
             for i, j, matches in pairs(s, e, block, sig, node, comp):
                 if best:
-                    found.append(_likeliest(np.column_stack([node[i], node[j], comp[i], comp[j], matches]))[:, :2])
+                    pending.append(np.column_stack([node[i], node[j], comp[i], comp[j], matches]))
+                    held += len(i)
+                    if held > 16 * _PAIRS:
+                        top, pending, held = _likeliest(np.concatenate([top, *pending])), [], 0
                 elif len(i):
                     same = (sig[i] == sig[j]).reshape(len(i), BANDS, ROWS).all(2)
                     here = np.flatnonzero(same.argmax(1) == band[s])
                     ok = [k for k in here if alike(sets[i[k]], sets[j[k]], percent)]
                     tied = forest(i[ok], j[ok])
                     found.append(np.column_stack([node[tied[:, 0]], node[tied[:, 1]]]))
+        if best:
+            found.append(_likeliest(np.concatenate([top, *pending]))[:, :2])
         out = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
         return pd.DataFrame(out, columns=["a", "b"])
 
