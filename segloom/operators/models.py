@@ -37,7 +37,7 @@ from segloom.operators.stats import compress
 from segloom.runtime import cut, scratch_path, sized
 
 MIN_TRAIN_ROWS = 5
-PARALLEL_FITS = 8
+PARALLEL_FITS = 3  # Spark grows the trees of a forest on the driver, so only a few cells are there at once
 
 
 def training_frame(assignments: DataFrame, attributes: DataFrame, features: Sequence[str] = AXES, key: str = "id") -> DataFrame:
@@ -65,6 +65,42 @@ def balanced_weights(table: DataFrame, label: str, by: Sequence[str] = (), weigh
     return table.join(factors, [*by, label]).withColumn("weight", F.col(weight) * F.col("_f")).drop("_f")
 
 
+class SavedForests(Mapping[str, RandomForestClassificationModel]):
+    """Forests by cell that lie in the shared folder; one is loaded when it is asked for, so the driver keeps none."""
+
+    def __init__(self, folders: Mapping[str, str]):
+        self.folders = dict(folders)
+
+    def __getitem__(self, cell: str) -> RandomForestClassificationModel:
+        return RandomForestClassificationModel.load(self.folders[cell])
+
+    def __iter__(self):
+        return iter(self.folders)
+
+    def __len__(self) -> int:
+        return len(self.folders)
+
+    def __contains__(self, cell: object) -> bool:
+        return cell in self.folders
+
+    @classmethod
+    def of(cls, forests: Mapping[str, RandomForestClassificationModel], spark: SparkSession) -> SavedForests:
+        if isinstance(forests, cls):
+            return forests
+        folders = {cell: scratch_path(spark, "forest") for cell in forests}
+        for cell, model in forests.items():
+            model.write().save(folders[cell])
+        return cls(folders)
+
+
+def copy_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Copies the files of a folder, replacing the target."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    here, there = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    there.getFileSystem(conf).delete(there, True)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(here.getFileSystem(conf), here, there.getFileSystem(conf), there, False, conf)
+
+
 def tree_table(forests: Mapping[str, RandomForestClassificationModel], spark: SparkSession) -> DataFrame:
     """All trees of all cells as one written table: a row per (cell, tree).
 
@@ -73,9 +109,7 @@ def tree_table(forests: Mapping[str, RandomForestClassificationModel], spark: Sp
     classes that a leaf has. Read from the models' own files.
     """
     parts = None
-    for cell, model in forests.items():
-        path = scratch_path(spark, "forest")
-        model.write().save(path)
+    for cell, path in SavedForests.of(forests, spark).folders.items():
         here = spark.read.parquet(f"{path}/data").select(F.lit(cell).alias("_cell"), F.col("treeID").alias("tree"), "nodeData.*")
         parts = here if parts is None else parts.unionByName(here)
     if parts is None:
@@ -115,15 +149,15 @@ class CellModels:
 
     features: tuple[str, ...]
     encoders: dict[str, PipelineModel] = field(default_factory=dict)
-    forests: dict[str, RandomForestClassificationModel] = field(default_factory=dict)
+    forests: Mapping[str, RandomForestClassificationModel] = field(default_factory=dict)
     classes: dict[str, list[int]] = field(default_factory=dict)
     trees: DataFrame | None = None
 
     def save(self, spark: SparkSession, path: str) -> None:
         meta = []
-        for cell, forest in self.forests.items():
+        for cell, folder in SavedForests.of(self.forests, spark).folders.items():
             self.encoders[cell].write().overwrite().save(f"{path}/{cell}/encoder")
-            forest.write().overwrite().save(f"{path}/{cell}/forest")
+            copy_folder(spark, folder, f"{path}/{cell}/forest")
             meta.append((cell, json.dumps({"classes": self.classes[cell], "features": list(self.features)})))
         spark.createDataFrame(meta, "cell string, meta string").coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
         self.all_trees(spark).write.mode("overwrite").parquet(f"{path}/trees")
@@ -136,7 +170,7 @@ class CellModels:
             out.features = tuple(meta["features"])
             out.classes[row["cell"]] = meta["classes"]
             out.encoders[row["cell"]] = PipelineModel.load(f"{path}/{row['cell']}/encoder")
-            out.forests[row["cell"]] = RandomForestClassificationModel.load(f"{path}/{row['cell']}/forest")
+        out.forests = SavedForests({cell: f"{path}/{cell}/forest" for cell in out.classes})
         out.trees = spark.read.schema(TREES).parquet(f"{path}/trees")
         return out
 
@@ -210,11 +244,12 @@ def forest(trees: int = 200, depth: int = 30, seed: int = 42, **options) -> Rand
 
     A bootstrap draws rows, not tuples: a tuple with many rows keeps its share in
     every draw. So the weights stand for the sample and no further one is drawn;
-    the trees differ by their feature subsets. Spark's largest depth is 30.
+    the trees differ by their feature subsets. Spark's largest depth is 30. Node ids
+    are cached, else every task of every level is sent all trees grown so far.
     """
     return RandomForestClassifier(
         featuresCol="features", labelCol="label", weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed,
-        featureSubsetStrategy="sqrt", bootstrap=False, minInstancesPerNode=1, minInfoGain=0.0, **options,
+        featureSubsetStrategy="sqrt", bootstrap=False, minInstancesPerNode=1, minInfoGain=0.0, cacheNodeIds=True, **options,
     )
 
 
@@ -226,24 +261,30 @@ def train_cells(
 
     `rows` as from `training_frame`. The split is made on rows, per cell and class.
     """
+    # Read by the gate and by each pass of the split: what the rows are made of is worked out once.
+    rows = cut(rows.select(key, *CELL, label, *features))
     gate = cell_gate(rows, label)
     split = split_train_test(rows, label, CELL, key, test_share, seed)
     table = cut(compress(split, [*CELL, "is_test"], [*features, label]))
     decisions = gate.filter("decision = 'train'").select(cell_slug().alias("cell")).collect()  # <= 9 cells
     found = table.filter("NOT is_test").select(cell_slug().alias("cell"), label).distinct().collect()
     models = CellModels(tuple(features))
+    spark, folders = rows.sparkSession, {}
 
-    def fit(cell: str) -> tuple[str, PipelineModel, RandomForestClassificationModel, list[int]]:
+    def fit(cell: str) -> tuple[str, PipelineModel, str, list[int]]:
         here = table.filter((cell_slug() == cell) & ~F.col("is_test"))
         classes = sorted(r[label] for r in found if r["cell"] == cell)
         position = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1
         encoder = fit_onehot(here, features)
         data = encode(balanced_weights(here, label), encoder, features).withColumn("label", position.cast("double"))
-        return cell, encoder, forest(trees, depth, seed).fit(data.select("features", "label", "weight")), classes
+        folder = scratch_path(spark, "forest")
+        forest(trees, depth, seed).fit(data.select("features", "label", "weight")).write().save(folder)
+        return cell, encoder, folder, classes
 
     with ThreadPool(PARALLEL_FITS) as pool:
-        for cell, encoder, model, classes in pool.map(fit, sorted(r["cell"] for r in decisions)):
-            models.encoders[cell], models.forests[cell], models.classes[cell] = encoder, model, classes
+        for cell, encoder, folder, classes in pool.imap(fit, sorted(r["cell"] for r in decisions)):
+            models.encoders[cell], folders[cell], models.classes[cell] = encoder, folder, classes
+    models.forests = SavedForests(folders)
     held_out = models.predict(table.filter("is_test"))
     return models, gate, held_out
 

@@ -124,7 +124,8 @@ def clean_models(spark, sf):
     if key not in _CLEAN:
         rows = V.lines(spark, sf).filter("job_type <> ''").withColumnRenamed("posting_id", "id")
         rows = rows.withColumns({"segment_id": F.col("type_code"), "segment_key": F.concat(F.lit("class"), F.col("type_code"))})
-        rows = rows.filter("NOT (job_type = 'photo' AND payment_group = 'n3')")
+        # Read by the training and by the catalogue.
+        rows = cut(rows.filter("NOT (job_type = 'photo' AND payment_group = 'n3')").select("id", *CELL, "segment_id", "segment_key", *AXES))
         models, _, _ = MD.train_cells(rows)
         path = scratch_path(spark, "models")
         models.save(spark, path)
@@ -145,6 +146,11 @@ def trained_cells(spark, sf):
     return trees.join(classes, "cell")
 
 
+def queued_lines(spark, sf):
+    """All line rows with the outcome of their extraction, written: the assignment reads them for the tuples and for the join."""
+    return cut(V.lines(spark, sf).select(*CELL, *AXES, (F.col("l_orderkey") % 50 != 0).alias("ok")))
+
+
 @query(
     "assigned_statuses",
     f"""WITH t AS ({TRAINED}), s AS (SELECT v.job_type, v.payment_group, CASE WHEN v.job_type = '' THEN 'invalid_recruit_type' WHEN l_orderkey % 50 = 0 THEN 'phase3_fail'
@@ -156,7 +162,7 @@ def trained_cells(spark, sf):
 def assigned_statuses(spark, sf):
     """Outcomes of the same assignment: rows per status, and how many have a segment or the info-poor id."""
     models, catalog = clean_models(spark, sf)
-    out = MD.assign(V.lines(spark, sf).withColumn("ok", F.col("l_orderkey") % 50 != 0), models, catalog, ok="ok")
+    out = MD.assign(queued_lines(spark, sf), models, catalog, ok="ok")
     segment = F.col("segment_id") >= 0
     return out.groupBy(*CELL, "status").agg(
         F.count("*").alias("n"), F.count_if(F.col("segment_id") == -1).alias("n_poor_id"), F.count_if(segment & F.col("segment_key").isNotNull()).alias("n_segment")
@@ -167,8 +173,7 @@ def assigned_statuses(spark, sf):
 def assigned_rows(spark, sf):
     """Outcome of the assignment of all line rows, also those of unsupported types."""
     models, catalog = clean_models(spark, sf)
-    rows = V.lines(spark, sf).withColumn("ok", F.col("l_orderkey") % 50 != 0)
-    out = MD.assign(rows, models, catalog, ok="ok")
+    out = MD.assign(queued_lines(spark, sf), models, catalog, ok="ok")
     return rounded(
         out.groupBy(*CELL, "status", "segment_id", "segment_key").agg(F.count("*").alias("n"), F.avg("confidence").alias("confidence")), "confidence", digits=4
     )
@@ -178,7 +183,8 @@ def assigned_rows(spark, sf):
 def cluster_predictions(spark, sf):
     """Predicted clusters with the size and dominant career of their profile."""
     models, _ = clean_models(spark, sf)
-    rows = V.cells(spark, sf).filter("NOT (job_type = 'photo' AND payment_group = 'n3')")
+    rows = V.cells(spark, sf).filter("NOT (job_type = 'photo' AND payment_group = 'n3')").select(*CELL, "type_code", *AXES)
+    rows = cut(rows)  # read by the profiles and by the tuples
     profiles = S.cluster_profiles(rows, "type_code", {"career": ["any", "senior", MISSING]}, CELL)
     docs = S.profile_documents(profiles, [*CELL, "type_code"]).withColumnRenamed("type_code", "cluster")
     tuples = S.compress(rows, CELL, AXES)

@@ -40,24 +40,35 @@ LINE_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnfla
 
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """V1: one profile row per line item."""
+    fields = F.concat_ws("-", *[F.col(c).cast("string") for c in LINE_KEY])
+    # Lines are many: they carry only what comes of them, and meet two tables, the orders (with all that belongs to them) and the parts.
     line = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity"
+        F.conv(F.substring(F.md5(fields), 1, 15), 16, 10).cast("long").alias("posting_id"),
+        "l_orderkey",
+        "l_partkey",
+        F.when(F.col("l_returnflag") == "N", MISSING).otherwise(F.col("l_returnflag")).alias("place"),
+        F.when((F.col("l_linestatus") == "O") & (F.col("l_quantity") > 5), "once").otherwise(MISSING).alias("continuity"),
     )
-    order = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
-    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     region = table(spark, sf, "region")
+    customer = (
+        table(spark, sf, "customer")
+        .select("c_custkey", "c_nationkey", "c_mktsegment")
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    order = (
+        table(spark, sf, "orders")
+        .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    )
     part = table(spark, sf, "part").select("p_partkey", "p_type", "p_size")
-    fields = F.concat_ws("-", *[F.col(c).cast("string") for c in LINE_KEY])
     kind = F.col("p_type")
     return (
         line.join(order, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
         .select(
-            F.conv(F.substring(F.md5(fields), 1, 15), 16, 10).cast("long").alias("posting_id"),
+            "posting_id",
             "l_orderkey",
             "l_partkey",
             F.when(F.col("c_mktsegment") == "BUILDING", "model")
@@ -69,7 +80,7 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
             .when(F.col("o_orderstatus") == "O", "n3")
             .otherwise("pay")
             .alias("payment_group"),
-            F.when(F.col("l_returnflag") == "N", MISSING).otherwise(F.col("l_returnflag")).alias("place"),
+            "place",
             F.when(kind == "PROMO", MISSING).otherwise(kind).alias("purpose"),
             F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", MISSING)
             .otherwise(F.col("o_orderpriority"))
@@ -79,9 +90,7 @@ def lines(spark: SparkSession, sf: str) -> DataFrame:
             .when(F.col("p_size") <= 45, MISSING)
             .otherwise("senior")
             .alias("career"),
-            F.when((F.col("l_linestatus") == "O") & (F.col("l_quantity") > 5), "once")
-            .otherwise(MISSING)
-            .alias("continuity"),
+            "continuity",
             F.when(kind == "MEDIUM", 0)
             .when(kind == "STANDARD", 1)
             .when(kind == "LARGE", 2)
