@@ -283,6 +283,7 @@ def dot(a: str | Column, b: str | Column) -> Column:
 
 PIVOTS = 256  # reference points of a nearest-neighbour join, at most
 NEAR_CELLS = 2  # cells whose vectors a vector meets before any bound is known
+BUNDLE = 16_384  # vectors of whole cells that are held together
 _SLACK = 1e-7  # of angles, so that rounding never hides a neighbour
 
 
@@ -297,7 +298,8 @@ def cosine_nearest(vectors: DataFrame, by: Sequence[str], key: str, vector: str,
     them). Each one first meets the vectors of its nearest cells; the angle found
     is a bound. A cell all of whose vectors are within r of its point, at an angle
     a from the vector, holds nothing nearer than a - r, so only cells below the
-    bound are visited then. Equal vectors of a group are met once; zero vectors have
+    bound are visited then. Cells of a group are held in bundles, and a vector is sent
+    once to a bundle with the list of cells that it visits there. Equal vectors of a group are met once; zero vectors have
     the distance 1 to all others. `watch(visits, all)` is told the visits of vectors
     to cells that the bound leaves, and those without it. Ties go to the smallest key.
     """
@@ -332,25 +334,44 @@ def cosine_nearest(vectors: DataFrame, by: Sequence[str], key: str, vector: str,
     for r in dealt.groupBy("_cell").agg(F.max("_angle").alias("r")).collect():  # a row per reference point
         radius[r["_cell"]] = r["r"]
     cell = [*by, "_cell"]
-    held = dealt.select(*cell, "_k", "_u")
+    # Whole cells go to a bundle, in the order of their numbers; a row per group and cell.
+    filled = dealt.groupBy(*cell).agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_cell"))
+    bundles = cut(filled.select(*cell, F.floor((upto - 1) / BUNDLE).cast("int").alias("_bundle")))
+    held = dealt.select(*cell, "_k", "_u").join(bundles, cell)
+    lists = bundles.groupBy(*by, "_bundle").agg(F.collect_list("_cell").alias("_cells"))
 
     def reduce(rows, others):
-        d = 1.0 - np.stack(rows["_u"].to_numpy()) @ np.stack(others["_u"].to_numpy()).T
-        mine, theirs = rows["_k"].to_numpy(), others["_k"].to_numpy()
-        d[mine[:, None] == theirs[None, :]] = np.inf
-        low = d.min(axis=1)
-        ranks = np.where(d == low[:, None], np.argsort(np.argsort(theirs))[None, :], len(theirs))
-        best = ranks.argmin(axis=1)
+        theirs, at = others["_k"].to_numpy(), others["_cell"].to_numpy()
+        rank = np.argsort(np.argsort(theirs))
+        mine, vectors, them = rows["_k"].to_numpy(), np.stack(rows["_u"].to_numpy()), np.stack(others["_u"].to_numpy())
+        visits = np.zeros((len(rows), len(points)), bool)
+        sizes = [len(v) for v in rows["_visits"]]
+        visits[np.repeat(np.arange(len(rows)), sizes), np.concatenate(rows["_visits"].to_numpy())] = True
+        low, best = np.full(len(rows), np.inf), np.full(len(rows), -1)
+        for c in np.unique(at):
+            there, here = np.flatnonzero(at == c), np.flatnonzero(visits[:, c])
+            for i in (here[f : f + block] for f in range(0, len(here), block)):
+                for j in (there[f : f + block] for f in range(0, len(there), block)):
+                    d = 1.0 - vectors[i] @ them[j].T
+                    d[mine[i][:, None] == theirs[j][None, :]] = np.inf
+                    least = d.min(axis=1)
+                    to = j[np.where(d == least[:, None], rank[j][None, :], len(theirs)).argmin(axis=1)]
+                    wins = (least < low[i]) | ((least == low[i]) & np.isfinite(least) & (rank[to] < rank[best[i]]))
+                    low[i[wins]], best[i[wins]] = least[wins], to[wins]
         out = rows[[*by, "_k"]].copy()
         out["distance"], out["neighbour"] = low, theirs[best]
         return out[np.isfinite(out["distance"])]
 
     schema = ", ".join([*[f"{n} {types[n]}" for n in by], f"_k {types[key]}", "distance double", f"neighbour {types[key]}"])
 
-    def met(visits: DataFrame) -> DataFrame:
-        return over_blocks(visits.select(*cell, "_k", "_u"), held, cell, "_k", reduce, schema, block)
+    def met(visitors: DataFrame) -> DataFrame:
+        """`visitors` have the list of the cells they visit as `_go`."""
+        sent = visitors.select(*by, "_k", "_u", "_go").join(lists, by).withColumn("_visits", F.array_intersect("_go", "_cells"))
+        sent = sent.filter(F.size("_visits") > 0).select(*by, "_bundle", "_k", "_u", "_visits")
+        return over_blocks(sent, held, [*by, "_bundle"], "_k", reduce, schema, max(block, BUNDLE // 4), max(block, BUNDLE))
 
-    first = met(dealt.withColumn("_cell", F.explode("_first")))
+    first = met(dealt.withColumn("_go", F.col("_first")))
     bound = first.groupBy(*by, "_k").agg(F.min(F.struct("distance", "neighbour")).alias("b"))
     bounded = cut(dealt.join(bound, [*by, "_k"], "left").withColumn("_bound", F.col("b.distance")))
 
@@ -369,7 +390,7 @@ def cosine_nearest(vectors: DataFrame, by: Sequence[str], key: str, vector: str,
     again = cut(again)
     if watch:
         watch(int(again.agg(F.sum(F.size("_go"))).first()[0] or 0), count * max(0, len(points) - NEAR_CELLS))
-    second_visits = met(again.select(*by, "_k", "_u", F.explode("_go").alias("_cell")))
+    second_visits = met(again)
     found = bounded.filter("b IS NOT NULL").select(*by, "_k", "b.distance", "b.neighbour").unionByName(second_visits)
     # A zero vector is at distance 1 from every other one, the smallest of its group among them.
     smallest = classes.groupBy(*by).agg(F.min("_k").alias("_low"), F.min(F.when(F.col("_zero"), F.col("_k"))).alias("_zero_k"))

@@ -68,3 +68,23 @@ def test_blocks_of_a_round_grow_with_the_clusters(spark, monkeypatch):
     with pytest.raises(Stop):
         L.average_linkage(points, [], D.CosineForm(), max_height=0.02, block=8)
     assert asked == [50]  # and not 8, of which every vector would be sent to 50
+
+
+def test_a_vector_is_sent_once_to_the_cells_it_visits(spark, monkeypatch):
+    sent = []
+    real = D.over_blocks
+
+    def watched(rows, others, *args):
+        sent.append(rows.count())
+        return real(rows, others, *args)
+
+    monkeypatch.setattr(D, "over_blocks", watched)
+    monkeypatch.setattr(D, "BUNDLE", 200)
+    x = np.random.default_rng(8).normal(size=(600, 12))  # without structure: nearly every cell is visited
+    df = spark.createDataFrame([(i, 0, v.tolist()) for i, v in enumerate(x)], "k long, g int, v array<double>")
+    got = {r.k: (r.neighbour, r.distance) for r in D.cosine_nearest(df, ["g"], "k", "v", block=64).collect()}
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    d = 1 - u @ u.T
+    np.fill_diagonal(d, np.inf)
+    assert [got[i][0] for i in range(600)] == d.argmin(axis=1).tolist()
+    assert max(sent) <= 600 * 4  # a vector for each of the few bundles, not for each of 40 cells
