@@ -17,13 +17,18 @@ def attach_categories(
     key: str = "id",
     bridge_key: str = "job_posting_id",
     how: str = "left",
+    distinct_pairs: bool = False,
 ) -> DataFrame:
     """Postings with their category names, ordered by category id; [] when there is none.
 
     Repeated (posting, category) pairs are counted before names are gathered, so
-    a list never has more entries to sort than there are categories.
+    a list never has more entries to sort than there are categories. With
+    `distinct_pairs` the bridge has none, and no task holds its pairs for a count.
     """
-    counted = bridge.groupBy(bridge_key, "category_id").agg(F.count("*").cast("int").alias("_times"))
+    if distinct_pairs:
+        counted = bridge.withColumn("_times", F.lit(1))
+    else:
+        counted = bridge.groupBy(bridge_key, "category_id").agg(F.count("*").cast("int").alias("_times"))
     named = counted.join(dimension, "category_id")
     lists = named.groupBy(F.col(bridge_key).alias(key)).agg(
         F.sort_array(F.collect_list(F.struct("category_id", "name", "_times"))).alias("_cats")

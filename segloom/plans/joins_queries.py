@@ -18,7 +18,7 @@ def orders(spark, sf):
 
 
 def categorised(spark, sf, how="left"):
-    return J.attach_categories(orders(spark, sf), V.posting_categories(spark, sf), V.categories(spark, sf), how=how)
+    return J.attach_categories(orders(spark, sf), V.posting_categories(spark, sf), V.categories(spark, sf), how=how, distinct_pairs=True)
 
 
 @query(

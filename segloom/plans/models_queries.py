@@ -271,7 +271,7 @@ def posting_attributes(spark, sf):
 
 def posting_lists(spark, sf):
     posts = V.postings(spark, sf).select("id")
-    return attach_categories(posts, V.posting_categories(spark, sf), V.categories(spark, sf)).select("id", "categories")
+    return attach_categories(posts, V.posting_categories(spark, sf), V.categories(spark, sf), distinct_pairs=True).select("id", "categories")
 
 
 @query("batch_assignment")

@@ -388,7 +388,7 @@ def category_top(spark, sf):
     from segloom.operators.joins import attach_categories
 
     orders = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("seg"))
-    rows = attach_categories(orders, V.posting_categories(spark, sf), V.categories(spark, sf))
+    rows = attach_categories(orders, V.posting_categories(spark, sf), V.categories(spark, sf), distinct_pairs=True)
     return rounded(S.category_top(rows, ["seg"], 3), "pct")
 
 

@@ -74,6 +74,27 @@ def test_category_order_and_multiplicity(spark):
     assert out == {1: ["z", "a", "a"], 2: []}
 
 
+def test_distinct_pairs_are_not_counted_again(spark):
+    """Every count of the pairs holds them all in its task; a bridge without repeats needs none."""
+    posts = spark.createDataFrame([(1,), (2,)], "id long")
+    bridge = spark.createDataFrame([(1, 9), (1, 2), (3, 9)], "job_posting_id long, category_id int")
+    dim = spark.createDataFrame([(2, "z"), (9, "a")], "category_id int, name string")
+    rows = attach_categories(posts, bridge, dim, distinct_pairs=True)
+    assert {r["id"]: r["categories"] for r in rows.collect()} == {1: ["z", "a"], 2: []}
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1
+    counted = attach_categories(posts, bridge, dim)._jdf.queryExecution().optimizedPlan().toString()
+    assert counted.count("Aggregate") == 2
+
+
+def test_category_queries_hold_pairs_once(spark, sf):
+    """The distinct pairs and the lists: no count of the pairs between them."""
+    from segloom.plans import joins_queries as JQ
+
+    plan = JQ.category_conflicts(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [job_posting_id") == 2
+
+
 def test_samples_do_not_depend_on_partitions(spark):
     df = spark.range(5000).withColumn("g", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)))
     ids = lambda x: sorted(r["id"] for r in x.collect())
