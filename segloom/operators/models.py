@@ -255,14 +255,16 @@ def forest(trees: int = 200, depth: int = 30, seed: int = 42, **options) -> Rand
 
 def train_cells(
     rows: DataFrame, features: Sequence[str] = AXES, label: str = "segment_id", key: str = "id", trees: int = 200,
-    depth: int = 30, test_share: float = 0.2, seed: int = 42,
+    depth: int = 30, test_share: float = 0.2, seed: int = 42, written: bool = False,
 ) -> tuple[CellModels, DataFrame, DataFrame]:
     """Models per cell, the gate table, and the held-out tuples with predictions.
 
     `rows` as from `training_frame`. The split is made on rows, per cell and class.
+    `written` rows come from files without joins and are not written again.
     """
-    # Read by the gate and by each pass of the split: what the rows are made of is worked out once.
-    rows = cut(rows.select(key, *CELL, label, *features))
+    rows = rows.select(key, *CELL, label, *features)
+    if not written:  # read by the gate and by each pass of the split: what the rows are made of is worked out once
+        rows = cut(rows)
     gate = cell_gate(rows, label)
     split = split_train_test(rows, label, CELL, key, test_share, seed)
     table = cut(compress(split, [*CELL, "is_test"], [*features, label]))

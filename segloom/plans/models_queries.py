@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segloom.config import AXES, CELL, MISSING
@@ -24,6 +25,7 @@ CELLS = "job_type, payment_group"
 ASSIGNED = ("v_assigned",)
 LABELED = ("v_labeled",)
 _CLEAN: dict[tuple[str, str], tuple] = {}
+_LINES: dict[tuple[str, str], DataFrame] = {}
 
 
 def assigned(spark, sf):
@@ -115,6 +117,19 @@ def segment_catalog(spark, sf):
     return RP.segment_catalog(V.assigned(spark, sf))
 
 
+def written_lines(spark, sf):
+    """The line view as a written table, its joins made once in a session for each table: training and assigning read it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LINES:
+        _LINES[key] = cut(V.lines(spark, sf).select("posting_id", "l_orderkey", *CELL, "type_code", *AXES))
+    return _LINES[key]
+
+
+def trained_lines(spark, sf):
+    """Line rows of the cells that have a model; photo cells of one group are left out."""
+    return written_lines(spark, sf).filter("job_type <> '' AND NOT (job_type = 'photo' AND payment_group = 'n3')")
+
+
 def clean_models(spark, sf):
     """Forests that reproduce the purpose classes, and their catalogue; photo cells of one group are left out.
 
@@ -122,11 +137,10 @@ def clean_models(spark, sf):
     """
     key = (spark.sparkContext.applicationId, sf)
     if key not in _CLEAN:
-        rows = V.lines(spark, sf).filter("job_type <> ''").withColumnRenamed("posting_id", "id")
+        rows = trained_lines(spark, sf).withColumnRenamed("posting_id", "id")
         rows = rows.withColumns({"segment_id": F.col("type_code"), "segment_key": F.concat(F.lit("class"), F.col("type_code"))})
-        # Read by the training and by the catalogue.
-        rows = cut(rows.filter("NOT (job_type = 'photo' AND payment_group = 'n3')").select("id", *CELL, "segment_id", "segment_key", *AXES))
-        models, _, _ = MD.train_cells(rows)
+        rows = rows.select("id", *CELL, "segment_id", "segment_key", *AXES)
+        models, _, _ = MD.train_cells(rows, written=True)
         path = scratch_path(spark, "models")
         models.save(spark, path)
         _CLEAN[key] = (MD.CellModels.load(spark, path), cut(RP.segment_catalog(rows)))
@@ -147,8 +161,8 @@ def trained_cells(spark, sf):
 
 
 def queued_lines(spark, sf):
-    """All line rows with the outcome of their extraction, written: the assignment reads them for the tuples and for the join."""
-    return cut(V.lines(spark, sf).select(*CELL, *AXES, (F.col("l_orderkey") % 50 != 0).alias("ok")))
+    """All line rows with the outcome of their extraction, from the written table: the assignment reads them for the tuples and for the join."""
+    return written_lines(spark, sf).select(*CELL, *AXES, (F.col("l_orderkey") % 50 != 0).alias("ok"))
 
 
 @query(
@@ -183,8 +197,7 @@ def assigned_rows(spark, sf):
 def cluster_predictions(spark, sf):
     """Predicted clusters with the size and dominant career of their profile."""
     models, _ = clean_models(spark, sf)
-    rows = V.cells(spark, sf).filter("NOT (job_type = 'photo' AND payment_group = 'n3')").select(*CELL, "type_code", *AXES)
-    rows = cut(rows)  # read by the profiles and by the tuples
+    rows = trained_lines(spark, sf).select(*CELL, "type_code", *AXES)  # read by the profiles and by the tuples
     profiles = S.cluster_profiles(rows, "type_code", {"career": ["any", "senior", MISSING]}, CELL)
     docs = S.profile_documents(profiles, [*CELL, "type_code"]).withColumnRenamed("type_code", "cluster")
     tuples = S.compress(rows, CELL, AXES)
@@ -265,7 +278,7 @@ def posting_attributes(spark, sf):
     """Attributes of a posting: the profile of the first line of the order with its id."""
     from segloom.operators.joins import dedup_by_id
 
-    first = dedup_by_id(V.lines(spark, sf).select(F.col("l_orderkey").alias("id"), "posting_id", *AXES), "id", ["posting_id"])
+    first = dedup_by_id(written_lines(spark, sf).select(F.col("l_orderkey").alias("id"), "posting_id", *AXES), "id", ["posting_id"])
     return first.drop("posting_id").withColumn("ok", F.col("id") % 19 != 0)
 
 

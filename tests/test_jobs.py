@@ -87,6 +87,23 @@ def test_distinct_pairs_are_not_counted_again(spark):
     assert counted.count("Aggregate") == 2
 
 
+def test_lines_are_joined_once_for_training_and_assigning(spark, sf, monkeypatch):
+    from segloom.plans import models_queries as MQ
+
+    calls = []
+    made = V.lines
+    monkeypatch.setattr(V, "lines", lambda *args: calls.append(args) or made(*args))
+    monkeypatch.setattr(MQ, "_LINES", {}, raising=False)
+    for rows in (MQ.queued_lines(spark, sf), MQ.trained_lines(spark, sf), MQ.posting_attributes(spark, sf)):
+        assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert len(calls) == 1
+    line = {r["posting_id"]: r for r in made(spark, sf).collect()}
+    assert {r["posting_id"] for r in MQ.trained_lines(spark, sf).collect()} == {
+        i for i, r in line.items() if r["job_type"] and (r["job_type"], r["payment_group"]) != ("photo", "n3")
+    }
+    assert MQ.queued_lines(spark, sf).count() == len(line)
+
+
 def test_category_queries_hold_pairs_once(spark, sf):
     """The distinct pairs and the lists: no count of the pairs between them."""
     from segloom.plans import joins_queries as JQ
