@@ -57,12 +57,16 @@ def cell_gate(rows: DataFrame, label: str = "segment_id", min_rows: int = MIN_TR
 
 
 def balanced_weights(table: DataFrame, label: str, by: Sequence[str] = (), weight: str = "n") -> DataFrame:
-    """Adds `weight`: count times n / (classes * class rows)."""
+    """Adds `weight`: count times n / (classes * class rows).
+
+    The factors, one row per class, are worked out first and broadcast: a join by label would
+    bring the rows of a class, with all their columns, to one task.
+    """
     by = list(by)
     classes = table.groupBy(*by, label).agg(F.sum(weight).alias("_c"))
     cell = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))  # one row per class
     factors = classes.select(*by, label, (F.sum("_c").over(cell) / (F.count("*").over(cell) * F.col("_c"))).alias("_f"))
-    return table.join(factors, [*by, label]).withColumn("weight", F.col(weight) * F.col("_f")).drop("_f")
+    return table.join(sized(factors), [*by, label]).withColumn("weight", F.col(weight) * F.col("_f")).drop("_f")
 
 
 class SavedForests(Mapping[str, RandomForestClassificationModel]):

@@ -88,3 +88,16 @@ def test_a_vector_is_sent_once_to_the_cells_it_visits(spark, monkeypatch):
     np.fill_diagonal(d, np.inf)
     assert [got[i][0] for i in range(600)] == d.argmin(axis=1).tolist()
     assert max(sent) <= 600 * 4  # a vector for each of the few bundles, not for each of 40 cells
+
+
+def test_weights_leave_the_rows_of_a_class_where_they_are(spark):
+    rows = spark.range(0, 4000, 1, 8).select("id", (F.col("id") % 4 == 0).cast("int").alias("y"), F.lit(1.0).alias("n"))
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a large table
+    try:
+        got = MD.balanced_weights(rows, "y").groupBy(F.spark_partition_id().alias("part"), "y").agg(F.count("*").alias("n"), F.min("weight").alias("low"), F.max("weight").alias("high")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert {r.part for r in got} == set(range(8)) and max(r.n for r in got) == 375  # and not a class in one task
+    for y, n in ((0, 3000), (1, 1000)):
+        assert {w for r in got if r.y == y for w in (r.low, r.high)} == {4000 / (2 * n)}
