@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segloom.functions.text import all_signals, text_or_empty
+from segloom.runtime import sized
 
 
 def attach_categories(
@@ -29,7 +30,8 @@ def attach_categories(
         counted = bridge.withColumn("_times", F.lit(1))
     else:
         counted = bridge.groupBy(bridge_key, "category_id").agg(F.count("*").cast("int").alias("_times"))
-    named = counted.join(dimension, "category_id")
+    # a shuffle by category would have as many parts as there are categories, and part the pairs of a posting again
+    named = counted.join(sized(dimension), "category_id")
     lists = named.groupBy(F.col(bridge_key).alias(key)).agg(
         F.sort_array(F.collect_list(F.struct("category_id", "name", "_times"))).alias("_cats")
     )

@@ -38,9 +38,7 @@ def posting_categories(spark, sf):
     CATS,
 )
 def repeated_categories(spark, sf):
-    line = V.table(spark, sf, "lineitem").join(V.table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    bridge = line.select(F.col("l_orderkey").alias("job_posting_id"), F.col("p_size").alias("category_id"))
-    rows = J.attach_categories(orders(spark, sf), bridge, V.categories(spark, sf))
+    rows = J.attach_categories(orders(spark, sf), V.line_categories(spark, sf), V.categories(spark, sf))
     return rows.select("id", F.array_join("categories", "|").alias("categories"))
 
 

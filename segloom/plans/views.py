@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segloom.config import MISSING
+from segloom.runtime import spread
 
 CATEGORY_NAMES = ("헤어", "스튜디오", "프로필", "패션", "뷰티", "일상", "인물스냅", "웨딩", "여행", "커플", "우정", "한복")
 MARKED_ENDS = (
@@ -167,13 +168,16 @@ def categories(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def line_categories(spark: SparkSession, sf: str) -> DataFrame:
+    """The category of each line; the lines of a posting are together, in parts of a bounded number of lines."""
+    line = table(spark, sf, "lineitem")
+    rows = line.join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = rows.select(F.col("l_orderkey").alias("job_posting_id"), F.col("p_size").alias("category_id"))
+    return spread(rows, line.count(), "job_posting_id")  # the count comes from the files' footers
+
+
 def posting_categories(spark: SparkSession, sf: str) -> DataFrame:
-    return (
-        table(spark, sf, "lineitem")
-        .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(F.col("l_orderkey").alias("job_posting_id"), F.col("p_size").alias("category_id"))
-        .distinct()
-    )
+    return line_categories(spark, sf).distinct()
 
 
 def rule_text(spark: SparkSession, sf: str) -> DataFrame:

@@ -83,6 +83,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows that a task of `spread` gets on average.
+TASK_ROWS = 200_000
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Rows of equal keys together, in as many parts as `rows` (about their number) asks for.
+
+    Parts that follow from Spark's defaults grow with the table up to 64 MB as shuffled, and what a
+    task makes of them in memory is many times that. Groups by these keys need no further shuffle.
+    """
+    return df.repartition(max(1, -(-rows // TASK_ROWS)), *keys)
+
+
 # Bytes on disk below which a table of few rows may be broadcast; columns of few rows can still be wide.
 BROADCAST_BYTES = 64 << 20
 

@@ -6,10 +6,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from segloom import runtime
 from segloom.config import AXES
 from segloom.operators import distance as D
 from segloom.operators import linkage as L
 from segloom.operators import models as MD
+from segloom.plans import joins_queries as JQ
+from segloom.plans import views as V
 
 
 def counted(df, spark):
@@ -90,14 +93,32 @@ def test_a_vector_is_sent_once_to_the_cells_it_visits(spark, monkeypatch):
     assert max(sent) <= 600 * 4  # a vector for each of the few bundles, not for each of 40 cells
 
 
-def test_weights_leave_the_rows_of_a_class_where_they_are(spark):
+@pytest.fixture
+def unbroadcast(spark):
+    """Joins as of large tables: nothing is broadcast unless it is marked."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, kept)
+
+
+def test_weights_leave_the_rows_of_a_class_where_they_are(spark, unbroadcast):
     rows = spark.range(0, 4000, 1, 8).select("id", (F.col("id") % 4 == 0).cast("int").alias("y"), F.lit(1.0).alias("n"))
-    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a large table
-    try:
-        got = MD.balanced_weights(rows, "y").groupBy(F.spark_partition_id().alias("part"), "y").agg(F.count("*").alias("n"), F.min("weight").alias("low"), F.max("weight").alias("high")).collect()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    weighted = MD.balanced_weights(rows, "y").groupBy(F.spark_partition_id().alias("part"), "y")
+    got = weighted.agg(F.count("*").alias("n"), F.min("weight").alias("low"), F.max("weight").alias("high")).collect()
     assert {r.part for r in got} == set(range(8)) and max(r.n for r in got) == 375  # and not a class in one task
     for y, n in ((0, 3000), (1, 1000)):
         assert {w for r in got if r.y == y for w in (r.low, r.high)} == {4000 / (2 * n)}
+
+
+def test_tasks_of_category_lists_do_not_grow_with_the_lines(spark, sf, unbroadcast, monkeypatch):
+    monkeypatch.setattr(runtime, "TASK_ROWS", 500)
+    lines = V.table(spark, sf, "lineitem").count()
+    for query in (JQ.posting_categories, JQ.repeated_categories):
+        rows = query(spark, sf)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(job_posting_id") == 1 and "hashpartitioning(category_id" not in plan
+        per = [r.n for r in rows.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("categories")).collect()]
+        assert len(per) == -(-lines // 500) and sum(per) == V.table(spark, sf, "orders").count()
+        assert max(per) < 2 * sum(per) / len(per)
