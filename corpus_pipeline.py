@@ -14,10 +14,20 @@ from segloom.llm.common import table
 from segloom.runtime import cut
 
 SHINGLE, PERCENT = 5, 80
+BATCH_ROWS = 1_000  # whole texts that Python gets at once
+
+
+def small_batches(spark: SparkSession) -> None:
+    """For this session: batches for Python of BATCH_ROWS rows at most, as worker and executor each hold a batch's texts several times over."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(name))
+    if not 0 < rows <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the lexicon, learnt from the labels, scores below 0.5."""
+    small_batches(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
     return toxicity.scored(docs.select(F.struct("*").alias("row"), "text"), model).where("predicted = 0").select("row.*")
 
@@ -33,6 +43,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies, with its smallest doc_id; all documents without words."""
+    small_batches(spark)
     return neardup.survivors(docs, size=SHINGLE, percent=PERCENT)
 
 
@@ -43,6 +54,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, ids and their number of every row."""
+    small_batches(spark)
     return pieces.encoded(docs.select("doc_id", "source", "text")).select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_ids"))
 
 

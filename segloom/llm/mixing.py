@@ -25,15 +25,14 @@ slots never are.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from segloom.llm.common import WORD, query, row_key, running_start, table
+from segloom.llm.common import GAP, WORD, let, query, row_key, running_start, table
 from segloom.runtime import cut
 
 BLOCK = 256  # words
@@ -42,6 +41,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 MOST = 2
 SEED = 20
+SPACE = " \t\n\v\f\r"
 _EXACT = 5e8  # numpy draws up to this many; a larger range is halved in proportion
 
 
@@ -172,6 +172,22 @@ def mix(sizes: DataFrame, plan: pd.DataFrame, block: int = BLOCK, shard: int = S
     return slots(sizes.sparkSession, plan, shard, seed).hint("merge").join(packed_blocks(sizes, plan, block), ["number", "block"])
 
 
+def stretches(text: Column, ranges: Column) -> Column:
+    """The text of each range (first word, words) with the white space between its words; a range of all words is the whole text.
+
+    Texts stay in Spark's rows: batches of whole texts for Python would add to the memory of both sides.
+    """
+
+    def cut_out(tokens: Column) -> Column:
+        def one(r: Column) -> Column:
+            some = F.slice(tokens, (r["first"] + 1).cast("int"), r["words"].cast("int"))
+            return F.when(r["words"] == F.size(tokens), text).otherwise(F.rtrim(F.array_join(some, ""), F.lit(SPACE)))
+
+        return F.transform(ranges, one)
+
+    return let(F.regexp_extract_all(text, F.lit(f"{WORD}(?:{GAP})?"), F.lit(0)), cut_out)
+
+
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The mixture as rows with the columns of `docs`.
 
@@ -182,28 +198,16 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     sizes = sized(docs, keyed=docs.columns)
     plan = source_plan(sizes)
     taken = mix(sizes, plan, **settings)
-    runs = taken.groupBy("row", "key", "pass").agg(F.collect_list(F.struct("first", "words")).alias("_ranges"))
+    # A range that starts where the one before it ends goes on with its stretch.
+    inside = Window.partitionBy("row", "key", "pass").orderBy("first")
+    ends = F.lag(F.col("first") + F.col("words")).over(inside)
+    marked = taken.select("row", "key", "pass", "first", "words", F.when(ends == F.col("first"), 0).otherwise(1).alias("_new"))
+    joined = marked.withColumn("_stretch", F.sum("_new").over(inside)).groupBy("row", "key", "pass", "_stretch").agg(F.min("first").alias("first"), F.sum("words").alias("words"))
+    runs = joined.groupBy("row", "key", "pass").agg(F.collect_list(F.struct("first", "words")).alias("_ranges"))
     # Rows that repeat in all columns share a key, so one of them stands for all.
     whole = docs.select(F.struct("*").alias("_row"), whole_key(docs.columns).alias("key")).dropDuplicates(["key"])
     rows = whole.join(runs.select("key", "_ranges"), "key")
-
-    word = re.compile(WORD)
-
-    def cut_out(text: str, ranges: list) -> list[str]:
-        found: list[list[int]] = []
-        for first, n in sorted((r["first"], r["words"]) for r in ranges):
-            if found and found[-1][1] == first:
-                found[-1][1] = first + n
-            else:
-                found.append([first, first + n])
-        spans = [m.span() for m in word.finditer(text)]
-        return [text if b - a == len(spans) else text[spans[a][0] : spans[b - 1][1]] for a, b in found]
-
-    @F.pandas_udf("array<string>")
-    def pieces(text: pd.Series, ranges: pd.Series) -> pd.Series:
-        return pd.Series([cut_out(x, y) for x, y in zip(text, ranges, strict=True)])
-
-    done = rows.select("_row", F.explode(pieces("_row.text", "_ranges")).alias("_text"))
+    done = rows.select("_row", F.explode(stretches(F.col("_row.text"), F.col("_ranges"))).alias("_text"))
     out = {c: F.col("_row")[c] for c in docs.columns} | {"text": F.col("_text")}
     if "n_chars" in docs.columns:
         out["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)

@@ -104,3 +104,18 @@ def test_hot_source(spark):
     assert per.where(F.col("n") > mixing.BLOCK).count() == 0
     assert blocks.agg(F.sum("words")).first()[0] == 4000 * 40
     assert per.where(F.col("n") < mixing.BLOCK).groupBy("number").count().where("count > 1").count() == 0
+
+
+def test_stretches(spark):
+    texts = [" a\tb \n c", "a  b\x0bc\x0c", "é 𝒳\u00a0y $\\ \r", "a", " \n a b  c d ", "x" * 50 + " y" * 40]
+    ranges = [[(0, 2), (2, 1)], [(0, 1), (1, 2)], [(0, 3), (1, 1)], [(0, 1)], [(1, 2)], [(0, 5), (7, 30)]]
+    df = spark.createDataFrame(list(zip(texts, ranges, strict=True)), "text string, ranges array<struct<first: long, words: long>>")
+    got = [r[0] for r in df.select(mixing.stretches(F.col("text"), F.col("ranges"))).collect()]
+    for text, some, found in zip(texts, ranges, got, strict=True):
+        spans = [m.span() for m in WORD.finditer(text)]
+        assert found == [text if n == len(spans) else text[spans[a][0] : spans[a + n - 1][1]] for a, n in some]
+
+
+def test_whole_texts_do_not_go_to_python(spark, docs):
+    plan = mixing.mixed_documents(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan
