@@ -10,8 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from segloom.runtime import sized
 
 BLOCK = 1024
 
@@ -36,20 +41,35 @@ def over_blocks(
     """`reduce(rows, others)` for each block of `rows` with each block of `others` of the same group.
 
     The two sides are dealt into blocks of their own, so a few rows are sent to
-    all blocks of the others, and the others to the few blocks of the rows.
+    all blocks of the others, and the others to the few blocks of the rows. The
+    numbers of blocks are a table of their own, so a large group is dealt where
+    its rows are, not in the task of its key.
     """
-    by = list(by)
-    left = with_block(rows, by, key, block).withColumnsRenamed({"_block": "_i", "_blocks": "_is"})
-    right = with_block(others.toDF(*others.columns), by, key, other_block or block).withColumnsRenamed({"_block": "_j", "_blocks": "_js"})
-    sides = left.select(*by, "_is").distinct().join(right.select(*by, "_js").distinct(), by)
+    by, keys = list(by), [*by, "_i", "_j"]
+    others = others.toDF(*others.columns)
 
-    def every(n: str):
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    def blocks(side: DataFrame, size: int, name: str) -> DataFrame:
+        return side.groupBy(*by).agg(F.ceil(F.count("*") / size).cast("int").alias(name))
 
-    left = left.join(sides.select(*by, "_js"), by).withColumn("_j", every("_js")).drop("_is", "_js")
-    right = right.join(sides.select(*by, "_is"), by).withColumn("_i", every("_is")).drop("_is", "_js")
-    keys = [*by, "_i", "_j"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_reduced(reduce, schema), schema)
+    sides = sized(blocks(rows, block, "_is").join(blocks(others, other_block or block, "_js"), by))
+
+    def dealt(side: DataFrame, own: str, of: str, every: str, all_of: str) -> DataFrame:
+        at = F.pmod(F.xxhash64(key), F.col(of)).cast("int").alias(own)
+        return side.join(sides, by).select(*side.columns, at, F.explode(F.sequence(F.lit(0), F.col(all_of) - 1)).alias(every))
+
+    left, right = dealt(rows, "_i", "_is", "_j", "_js"), dealt(others, "_j", "_js", "_i", "_is")
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_reduced_arrow(reduce, schema), schema)
+
+
+def _reduced_arrow(reduce: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str):
+    """Arrays come and go as Arrow has them: as columns of a pandas function Spark would convert each of them."""
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    run = _reduced(reduce, schema)
+
+    def run_arrow(rows: pa.Table, others: pa.Table) -> pa.Table:
+        return pa.Table.from_pandas(run(rows.to_pandas(), others.to_pandas()), schema=arrow, preserve_index=False)
+
+    return run_arrow
 
 
 def _reduced(reduce: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str):

@@ -244,8 +244,22 @@ class CosineForm:
     constant = 1.0
 
     @staticmethod
-    def totals(rows: pd.DataFrame, others: pd.DataFrame) -> np.ndarray:
-        return -np.stack(rows["total"].to_numpy()) @ np.stack(others["total"].to_numpy()).T
+    def vectors(rows: pd.DataFrame) -> np.ndarray:
+        """The sums of vectors as a matrix."""
+        return np.stack(rows["total"].to_numpy())
+
+    @staticmethod
+    def columned(vectors: np.ndarray) -> dict[str, list]:
+        return {"total": list(vectors)}
+
+    @staticmethod
+    def numbers() -> Column:
+        """How many numbers a cluster's vector has."""
+        return F.size("total")
+
+    @classmethod
+    def totals(cls, rows: pd.DataFrame, others: pd.DataFrame) -> np.ndarray:
+        return -cls.vectors(rows) @ cls.vectors(others).T
 
     @staticmethod
     def merged(parts: Column) -> list[Column]:
@@ -274,7 +288,9 @@ def unit_vector(c: str) -> Column:
     """The vector divided by its Euclidean norm (zero vectors stay zero)."""
     values = F.transform(F.col(c), lambda x: x.cast("double"))
     norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x * x))
-    return F.transform(values, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0)))
+    # Inside the function of an element, the norm would be worked out for each of them.
+    norms = F.array_repeat(norm, F.size(c))
+    return F.zip_with(values, norms, lambda x, n: F.when(n > 0, x / n).otherwise(F.lit(0.0)))
 
 
 def dot(a: str | Column, b: str | Column) -> Column:

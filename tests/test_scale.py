@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +75,77 @@ def test_blocks_of_a_round_grow_with_the_clusters(spark, monkeypatch):
     assert asked == [50]  # and not 8, of which every vector would be sent to 50
 
 
+def unit(x):
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def clusters_frame(spark, vectors):
+    return spark.createDataFrame([(i, 1.0, v.tolist()) for i, v in enumerate(vectors)], "id long, size double, total array<double>")
+
+
+def test_rounds_of_few_looking_clusters_need_no_plan_each(spark, monkeypatch):
+    # Along an arc whose steps grow, one pair merges in a round, and the merged cluster is nearest to the next one.
+    chain, rest = np.zeros((36, 36)), np.zeros((30, 36))
+    for k in range(3):
+        angle = np.cumsum(5e-5 * (1 + k / 10) * 2.2 ** np.arange(12))
+        chain[k::3, 2 * k], chain[k::3, 2 * k + 1] = np.cos(angle), np.sin(angle)
+    rest[np.arange(30), np.arange(6, 36)] = 1.0
+    points = clusters_frame(spark, np.concatenate([chain, rest]))
+    plans, watched, real = [], [], L.over_blocks
+
+    def counted(*args):
+        plans.append(args)
+        return real(*args)
+
+    monkeypatch.setattr(L, "over_blocks", counted)
+    many = L.average_linkage(points, [], D.CosineForm(), max_height=0.5, block=8, watch=lambda *n: watched.append(n))
+    one = L.average_linkage(points, [], D.CosineForm(), max_height=0.5)
+    keys = ["round", "a", "b"]
+    assert sorted(many.select(keys).collect()) == sorted(one.select(keys).collect()) and one.count() == 33
+    assert len(watched) > 7 and [r for r, _, _ in watched] == list(range(1, len(watched) + 1))
+    assert len(plans) == 1  # and not one for each round of more than a block
+
+
+def test_rounds_in_a_task_end_where_many_look_and_go_on_over_blocks(spark, monkeypatch):
+    x = unit(np.random.default_rng(5).normal(size=(300, 5)))
+    points = clusters_frame(spark, np.concatenate([x, x[:40]]))  # equal vectors, too
+    ways = []
+    for most, block in ((8000, 30), (1 << 29, 30), (1 << 29, 1024)):
+        monkeypatch.setattr(L, "ROUND_PAIRS", most)
+        merges = L.average_linkage(points, [], D.CosineForm(), max_height=0.7, block=block)
+        ways.append(sorted((r["round"], r.a, r.b, round(r.height, 8)) for r in merges.collect()))
+    assert ways[0] == ways[1] == ways[2] and len(ways[0]) > 200
+
+
+def test_single_precision_hides_no_nearest_vector(monkeypatch):
+    monkeypatch.setattr(L, "TILE", 16)
+    rng = np.random.default_rng(6)
+    x = unit(np.repeat(rng.normal(size=(30, 9)), 5, axis=0) + 1e-6 * rng.normal(size=(150, 9)))  # heights that differ from the 9th digit on
+    x = np.concatenate([x, x[:20], np.zeros((2, 9))])
+    sizes = rng.integers(1, 5, len(x)).astype(float)
+    all_of = L._Vectors(np.arange(len(x)) * 7, sizes, x * sizes[:, None])
+    mine, form = all_of[np.arange(0, len(x), 2)], D.CosineForm()
+    want = L._closest(mine.ids, mine.heights(all_of, form), all_of.ids)
+    got = L._nearest(mine, all_of, form, np.inf)
+    assert [w.tolist() for w in want] == [g.tolist() for g in got]
+    below = L._nearest(mine, all_of, form, 1e-12)
+    assert np.isfinite(below[0]).sum() == (want[0] < 1e-12).sum() > 0
+
+
+def test_points_of_one_group_are_dealt_where_they_are(spark, unbroadcast):
+    points = spark.range(0, 4000, 1, 8).select(F.lit(0).alias("g"), "id")
+    dealt = L.over_blocks(points, points, ["g"], "id", lambda rows, others: rows, "g int, id long", 500)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroups" in plan and not re.search(r"hashpartitioning\(g#\d+, \d+\)", plan)
+    assert dealt.groupBy("id").count().filter("count <> 8").count() == 0
+
+
+def test_norm_of_a_vector_is_not_worked_out_for_each_element(spark):
+    units = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],), ([],), (None,)], "v array<float>").select(D.unit_vector("v").alias("u"))
+    assert [r.u for r in units.collect()] == [[0.6, 0.8], [0.0, 0.0], [], None]
+    assert units._jdf.queryExecution().analyzed().toString().count("aggregate(") == 1
+
+
 def test_a_vector_is_sent_once_to_the_cells_it_visits(spark, monkeypatch):
     sent = []
     real = D.over_blocks
